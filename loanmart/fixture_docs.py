@@ -197,6 +197,12 @@ def _child(name: str, second: list[str]) -> str:
     return f"coalesce({raw}, {EMPTY_CONTRACTS})" if name == "contracts" else raw
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when a table is one small file; a table of many splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def docs(spark: SparkSession, sf_dir: str, *sections: str, values: dict[str, str] | None = None,
          cached: bool = False) -> DataFrame:
     """Documents with the given child sections and scalar values: _id, number, created, doc."""
@@ -208,7 +214,7 @@ def docs(spark: SparkSession, sf_dir: str, *sections: str, values: dict[str, str
         if cached:
             path = path.replace(ct.REPORT_077, ct.CACHE_077)
         raw[path] = _child(name, second)
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "*")
+    orders = spread(table(spark, sf_dir, "orders")).selectExpr("o_orderkey as k", "*")
     return orders.selectExpr(
         "cast(k as string) as _id", "k as number", "cast(o_orderdate as timestamp) as created", f"{_nest(raw)} as doc"
     )

@@ -7,6 +7,7 @@ name (oracle). All views are narrow except ``saldo``, which is one row per accou
 from __future__ import annotations
 
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -145,8 +146,15 @@ VIEWS["saldo_val"] = (
 )
 
 
+# Plans (no data) of the read-only tables per session, so that schemas are read once.
+_PLANS: WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    known = _PLANS.setdefault(spark, {})
+    if (sf_dir, name) not in known:
+        known[sf_dir, name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return known[sf_dir, name]
 
 
 def _used(text: str) -> list[str]:

@@ -43,8 +43,12 @@ def path_schema(paths: Iterable[str]) -> T.StructType:
     return build(_tree(paths))
 
 
+def _ref(root: str, path: str) -> str:
+    return ".".join([root, *[f"`{p}`" for p in path.split(".")]])
+
+
 def _at(root: str, path: str) -> Column:
-    return F.col(".".join([root, *[f"`{p}`" for p in path.split(".")]]))
+    return F.col(_ref(root, path))
 
 
 def json_path(doc: Column | str, path: str) -> Column:
@@ -62,8 +66,9 @@ def path_exists(doc: Column | str, path: str) -> Column:
 
 def select_paths(docs: DataFrame, paths: Mapping[str, str], keep: Iterable[str] = (), doc: str = "doc") -> DataFrame:
     """Read many paths with one parse: ``{output column: dotted path}``, all as text."""
+    keep = list(keep)
     parsed = docs.select(*keep, F.from_json(F.col(doc), path_schema(paths.values())).alias("_d"))
-    return parsed.select(*keep, *[_at("_d", p).alias(out) for out, p in paths.items()])
+    return parsed.selectExpr(*[f"`{c}`" for c in keep], *[f"{_ref('_d', p)} as `{out}`" for out, p in paths.items()])
 
 
 # -- one or many ------------------------------------------------------------------------------------------------------
@@ -121,16 +126,14 @@ def unnest(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFram
         rows = rows.select(*held, _at("_w", child).alias("_raw"))
     rows = rows.select(*held, F.explode(one_or_many("_raw", fields)).alias("_c"))
 
-    def value(c: str) -> Column:
-        options = []
-        if c in made:
-            options.append(_at("_c", made[c]))
+    def value(c: str) -> str:
+        options = [f"_c.`{made[c]}`"] if c in made else []
         if f"_p_{c}" in held:
-            options.append(F.col(f"`_p_{c}`").cast("string"))
-        out = F.coalesce(*options) if options else F.lit(None).cast("string")
-        return (out.try_cast("bigint") if c in NUMBER_COLUMNS else out).alias(c)
+            options.append(f"cast(`_p_{c}` as string)")
+        out = f"coalesce({', '.join(options)})" if options else "cast(null as string)"
+        return f"{f'try_cast({out} as bigint)' if c in NUMBER_COLUMNS else out} as `{c}`"
 
-    return rows.select(*[value(c) for c in entity.output])
+    return rows.selectExpr(*[value(c) for c in entity.output])
 
 
 def unnest_rejects(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:

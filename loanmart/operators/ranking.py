@@ -58,8 +58,8 @@ def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank
     ).scalar()
     v = F.col(value)
     # nulls get a band of their own above all others
-    band = F.when(v.isNull(), F.lit(bands)).otherwise(F.size(F.filter(F.coalesce(cuts, F.array()), lambda x: x < v)))
-    cut = pairs.withColumn("_band", band)
+    band = F.when(v.isNull(), F.lit(bands)).otherwise(F.size(F.filter("_cuts", lambda x: x < v)))
+    cut = pairs.withColumn("_cuts", cuts).withColumn("_band", band).drop("_cuts")
     sizes = cut.groupBy(*keys, "_band").agg(F.count("*").alias("_n"))
     below = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select(*keys, "_band", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_shift"))

@@ -21,6 +21,7 @@ from loanmart.functions.scalars import (
 from loanmart.operators.documents import select_paths
 from loanmart.operators.incremental import between_keys
 from loanmart.operators.ranking import first_per_group
+from loanmart.session import settled
 
 DUPLICATE_PATHS = {"avg_payment": "avg_monthly_payment"}
 
@@ -75,8 +76,9 @@ def applications(docs: DataFrame, above: int | None = None, upto: int | None = N
     """Application documents with ``above < number <= upto`` as the finished mart (76 columns)."""
     if above is not None:
         docs = between_keys(docs, "number", above, upto)
-    typed = type_applications(flatten_applications(docs), tz_shift_hours)
-    return flag_daily_first(typed).select(*application_columns())
+    # documents are far larger than the rows made from them: parse them once
+    typed = settled(type_applications(flatten_applications(docs), tz_shift_hours), "applications")
+    return flag_daily_first(typed).selectExpr(*[f"`{c}`" for c in application_columns()])
 
 
 def application_rejects(docs: DataFrame) -> DataFrame:

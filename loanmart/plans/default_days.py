@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loanmart.operators.merge import upsert
 from loanmart.operators.ranking import smallest_distinct
 from loanmart.operators.temporal import day
+from loanmart.session import settled
 
 # Account roles that carry overdue amounts, the day limits, and the sentinel for "no default".
 OVERDUE_ROLES = (2, 12)
@@ -99,6 +100,8 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
             *[F.max(c).alias(c) for c in ("d1", "m1", "m2", "m3")],
         )
     )
+    # one row per loan and account from here on; it is read three times below
+    per_account = settled(per_account, "default-days")
     loan_end = per_account.groupBy("glob_id").agg(F.max("datn").alias("loan_datn"))
 
     def days(a: str, b: str) -> Column:
@@ -138,6 +141,9 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
 
 
 def refresh(target: DataFrame, fresh: DataFrame, run_date: str) -> DataFrame:
-    """Stamp a recomputed window and merge it into the table: days and stamp are updated, new loans are added."""
-    stamped = fresh.withColumn("date_modified", F.lit(run_date))
+    """Stamp a recomputed window and merge it into the table: days and stamp are updated, new loans are added.
+
+    The recomputed rows go through a staging table, as the merge reads them more than once.
+    """
+    stamped = settled(fresh.withColumn("date_modified", F.lit(run_date)), "default-days-staging")
     return upsert(target, stamped, ["glob_id"], ["fpd", "spd", "tpd", "date_modified"])

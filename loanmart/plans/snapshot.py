@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.scalars import decode, key_from_parts
 from loanmart.operators.temporal import account_by_role, balance_on, day, days_past_due
+from loanmart.session import settled
 
 # Balance column per account role, in local and in nominal currency.
 EQUIVALENT = {2: "ost_pros_ekv", 4: "ost_157_ekv", 12: "ost_proc_ekv", 27: "ost_95413_ekv", 21: "ost_91501_ekv",
@@ -102,7 +103,8 @@ def portfolio_snapshot(tables: Mapping[str, DataFrame], date: str, report_dt: st
     balances = loan_balances(loans, tables["accounts"], tables["saldo"], tables["saldo_val"], date)
     zero_filled = [*EQUIVALENT.values(), *NOMINAL.values()]
     owed = balances.fillna(0.0, subset=zero_filled).where(sum(F.col(c) for c in REPORTED) != 0)
-    held = loans.join(owed, "glob_id")
+    # one row per reported loan; read for the result and for the search of overdue histories
+    owed = settled(owed.join(loans.select("glob_id", "id_mfo"), "glob_id"), "snapshot")
     classes = tables["classes"].select(F.col("kod").alias("klasskach"), F.col("name").alias("klass"))
     products = tables["products"].select(F.col("kod").alias("k_vid_cred"), F.col("name").alias("vid_kr"))
     purposes = tables["purposes"].select(
@@ -110,7 +112,8 @@ def portfolio_snapshot(tables: Mapping[str, DataFrame], date: str, report_dt: st
     )
     status = tables["statuses"].select("glob_id", decode("crit_cl", *CRITERIA, default="-").alias("criter"))
     return (
-        held.join(overdue_days(held, tables["saldo"], date), "glob_id", "left")
+        loans.join(owed.drop("id_mfo"), "glob_id")
+        .join(overdue_days(owed, tables["saldo"], date), "glob_id", "left")
         .join(status, "glob_id", "left")
         .join(classes, "klasskach", "left")
         .join(products, "k_vid_cred", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -17,6 +17,7 @@ def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -35,3 +36,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="loanmart-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there.
+
+    For results that several later steps read: the work before is done once, a lost executor does not repeat it, and
+    later scans read only the columns they need.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -118,8 +118,8 @@ def _json_export(spark, sf_dir):
     return spark.read.json(path, schema="doc_id bigint, lang string, text string")
 
 
-@query("q_two_sinks", f"select 'csv' as sink, count(*) as n, sum(o_custkey) as keys from ({BASE}) o union all "
-                      f"select 'table', count(*), sum(o_custkey) from ({BASE}) o")
+@query("q_two_sinks", f"select 'csv' as sink, count(*) as n, cast(sum(o_custkey) as bigint) as keys from ({BASE}) o union all "
+                      f"select 'table', count(*), cast(sum(o_custkey) as bigint) from ({BASE}) o")
 def _two_sinks(spark, sf_dir):
     base, rows = work_dir(spark, "both"), _orders(spark, sf_dir)
     wr.to_many(rows, lambda d: wr.dated_export(d, f"{base}/csv", "x"), lambda d: wr.append(d, f"{base}/table"))

@@ -237,8 +237,8 @@ def _application_oracle() -> str:
     cols = ", ".join(f'{APPLICATION_SQL.get(c, "cast(null as varchar)")} as "{c}"' for c in application_columns())
     return f"""
 select {cols} from (select o_orderkey as k, *, o_custkey % 100 as client,
-  case o_orderkey % 5 when 0 then 0 when 1 then 0 when 4 then -2 else 1 end as st,
-  case when o_orderstatus = 'F' then 1 else 0 end as res,
+  cast(case o_orderkey % 5 when 0 then 0 when 1 then 0 when 4 then -2 else 1 end as bigint) as st,
+  cast(case when o_orderstatus = 'F' then 1 else 0 end as bigint) as res,
   {_SHIFTED.replace('(k %', '(o_orderkey %')} as moment from orders) o"""
 
 

@@ -83,7 +83,8 @@ def _pad_code(spark, sf_dir):
 
 
 @query("q_status_flag", """
-select o_orderkey, case o_orderkey % 6 when 0 then 0 when 1 then 0 when 2 then 1 when 3 then -1 when 4 then 1 end as flag
+select o_orderkey, cast(case o_orderkey % 6 when 0 then 0 when 1 then 0 when 2 then 1 when 3 then -1 when 4 then 1 end
+  as bigint) as flag
 from orders""")
 def _status_flag(spark, sf_dir):
     raw = F.element_at(F.array(*[F.lit(v) for v in (None, "0.0", "3", "-1", "7", "abc")]), (_k(6) + 1).cast("int"))

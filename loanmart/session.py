@@ -25,16 +25,20 @@ def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8)
     )
 
 
+_FALLBACK: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Every executor must be able to reach it, so a local temporary folder is used only where the setting is
-    absent, as in local tests.
+    Every executor must be able to reach it, so a local temporary folder is used only where the setting is absent, as
+    in local tests.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="loanmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _FALLBACK:
+            _FALLBACK.append(tempfile.mkdtemp(prefix="loanmart-"))
+        base = _FALLBACK[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -44,8 +44,9 @@ def create_table(spark: SparkSession, name: str, columns: Sequence[str] | T.Stru
 
 
 def truncate(spark: SparkSession, name: str) -> None:
-    """Remove all rows, keep the table."""
-    spark.sql(f"TRUNCATE TABLE {valid_identifier(name)}")
+    """Remove all rows, keep the table (also an external one)."""
+    schema = spark.read.table(valid_identifier(name)).schema
+    spark.createDataFrame([], schema).write.insertInto(name, overwrite=True)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

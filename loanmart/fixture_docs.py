@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loanmart import contracts as ct
-from loanmart.fixtures import table
+from loanmart.fixtures import spread, table
 
 T = "string"
 
@@ -197,12 +197,6 @@ def _child(name: str, second: list[str]) -> str:
     return f"coalesce({raw}, {EMPTY_CONTRACTS})" if name == "contracts" else raw
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a table is one small file; a table of many splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def docs(spark: SparkSession, sf_dir: str, *sections: str, values: dict[str, str] | None = None,
          cached: bool = False) -> DataFrame:
     """Documents with the given child sections and scalar values: _id, number, created, doc."""

@@ -83,22 +83,20 @@ def one_or_many(container: Column | str, fields: Iterable[str]) -> Column:
     return F.from_json(container, schema)
 
 
-def _parent_source(docs: DataFrame, source: str) -> bool:
-    return source in docs.columns
-
-
-def _opened(docs: DataFrame, entity: Entity, path: str | None) -> DataFrame:
-    """Parent values and the raw container text of each document."""
-    path = path or entity.path
-    inside = {out: p for out, p in entity.parents.items() if not _parent_source(docs, p)}
+def containers(docs: DataFrame, entities: Iterable[Entity], path: str | None = None) -> DataFrame:
+    """Parent values (``_s_<source>``) and raw child text (``_r_<path>``) of several entities, from one parse."""
+    entities = list(entities)
+    sources = list(dict.fromkeys(p for e in entities for p in e.parents.values()))
+    paths = list(dict.fromkeys(path or e.path for e in entities))
+    inside = [p for p in sources if p not in docs.columns]
     parsed = docs.select(
-        *[F.col(p).alias(f"_p_{out}") for out, p in entity.parents.items() if out not in inside],
-        F.from_json("doc", path_schema([path, *inside.values()])).alias("_d"),
+        *[F.col(p).alias(f"_s_{p}") for p in sources if p not in inside],
+        F.from_json("doc", path_schema([*paths, *inside])).alias("_d"),
     )
     return parsed.select(
-        *[c for c in parsed.columns if c != "_d"],
-        *[_at("_d", p).alias(f"_p_{out}") for out, p in inside.items()],
-        _at("_d", path).alias("_raw"),
+        *[F.col(f"`{c}`") for c in parsed.columns if c != "_d"],
+        *[_at("_d", p).alias(f"_s_{p}") for p in inside],
+        *[_at("_d", p).alias(f"_r_{p}") for p in paths],
     )
 
 
@@ -107,11 +105,19 @@ def unnest(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFram
 
     Two-level entities accept every container shape: one object or a list, at the wrapper and at the child.
     """
+    return explode_container(containers(docs, [entity], path), entity, path)
+
+
+def explode_container(opened: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
+    """Rows of one entity from the output of :func:`containers`."""
     made = {c: entity.rename.get(c, c) for c in entity.columns}
     if not entity.child_wins:
         made = {c: f for c, f in made.items() if c not in entity.parents and c not in entity.carry}
     fields = list(dict.fromkeys(made.values()))
-    rows = _opened(docs, entity, path)
+    rows = opened.select(
+        *[F.col(f"`_s_{p}`").alias(f"_p_{out}") for out, p in entity.parents.items()],
+        F.col(f"`_r_{path or entity.path}`").alias("_raw"),
+    )
     held = [c for c in rows.columns if c != "_raw"]
     if entity.nested:
         wrapper, child = entity.nested

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loanmart.operators.merge import upsert
 from loanmart.operators.ranking import smallest_distinct
 from loanmart.operators.temporal import day
-from loanmart.session import settled
+from loanmart.session import only_few_keys, settled
 
 # Account roles that carry overdue amounts, the day limits, and the sentinel for "no default".
 OVERDUE_ROLES = (2, 12)
@@ -68,8 +68,11 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
     """One row per loan with a first-payment default: date_vyd_d, glob_id, k_vid_cred, fpd, spd, tpd (days)."""
     scope = loans_in_scope(loans, start, end, products)
     roles = accounts.where(F.col("kod_acc").isin(*OVERDUE_ROLES)).select("glob_id", "account")
-    held = scope.join(roles, "glob_id")
+    # Loan-account pairs in scope are few beside the balances. When their number is proven small the balance scan is
+    # filtered by a broadcast before anything is shuffled; otherwise the joins below come after the balances were reduced.
+    held = settled(scope.join(roles, "glob_id"), "default-days-scope")
     moves = saldo.where(F.col("obor_d_y") != 0).select("account", "id_mfo", "dati", "datn", "obor_c", "obor_d_y")
+    moves = only_few_keys(moves, held, ["account"])
 
     branches = held.select("account", F.col("id_mfo").alias("own_mfo")).distinct()
     own = F.col("id_mfo") == F.col("own_mfo")
@@ -118,7 +121,7 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
     cases = (
         per_account.where(F.col("m1").isNotNull())
         .join(loan_end, "glob_id")
-        .join(first_three_dates(schedule), "glob_id")
+        .join(first_three_dates(only_few_keys(schedule, held, ["glob_id"])), "glob_id")
         .where(days("m1", "p2") < SECOND_LIMIT_DAYS)
         .select(
             "glob_id", "account", "date_vyd_d", "k_vid_cred",
@@ -130,6 +133,7 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
         )
     )
     # an account may serve several loans; its minima run over all of them
+    cases = settled(cases, "default-days-cases")
     values = ("fpd", "spd_1", "spd_2", "tpd_1", "tpd_2")
     by_account = cases.groupBy("account").agg(*[F.min(c).alias(c) for c in values])
     late = cases.drop(*values).join(by_account.where(~F.col("fpd").isin(0, NO_DEFAULT)), "account")

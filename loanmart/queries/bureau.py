@@ -19,7 +19,7 @@ from loanmart.operators.documents import (
     path_values,
 )
 from loanmart.operators.merge import union_by_name
-from loanmart.plans.bureau import bureau_table, cache_ids, created_between, hints, id_map, missing_rows, new_rows
+from loanmart.plans.bureau import bureau_table, bureau_tables, cache_ids, created_between, hints, id_map, missing_rows, new_rows
 from loanmart.queries.base import query
 
 CLIENT = "request.clientId"
@@ -74,7 +74,8 @@ PER_LOAN = ("collaterals", "guarantors", "payments", "monthly_detail")
     f"(select '{n}' as kind, q.* from ({entity_sql(n)}) q)" for n in PER_LOAN))
 def _four_shapes(spark, sf_dir):
     docs = fd.docs(spark, sf_dir, *PER_LOAN, values=fd.pick(CLIENT))
-    return union_by_name(*[bureau_table(docs, n).withColumn("kind", F.lit(n)) for n in PER_LOAN])
+    tables = bureau_tables(docs, *PER_LOAN)
+    return union_by_name(*[rows.withColumn("kind", F.lit(n)) for n, rows in tables.items()])
 
 
 @query("q_hints", f"select o_orderkey as number, {fd.HINT.replace('k ', 'o_orderkey ')} as hint from orders "

@@ -12,6 +12,7 @@ from loanmart.plans import snapshot as snap
 from loanmart.plans.applications import applications
 from loanmart.plans.default_days import default_days, refresh
 from loanmart.queries.base import iso, query
+from loanmart.session import settled
 
 PRODUCTS = (24, 34, 32)
 START, END = "1996-01-01", "1998-12-31"
@@ -22,7 +23,9 @@ RUN_DATE = "2001-12-31"
 
 def default_days_on(spark, sf_dir, start=START, end=END):
     v = fx.views(spark, sf_dir, "loans", "loan_accounts", "saldo", "schedule")
-    return default_days(v["loans"], v["loan_accounts"], v["saldo"], v["schedule"], start, end, PRODUCTS)
+    # a balance table at rest, as the mart expects: it is scanned twice
+    saldo = settled(v["saldo"], "saldo")
+    return default_days(v["loans"], v["loan_accounts"], saldo, v["schedule"], start, end, PRODUCTS)
 
 
 def default_days_sql(start=START, end=END) -> str:
@@ -200,7 +203,9 @@ from base l where ost_pros_ekv + ost_proc_ekv + ost_157_ekv + ost_95413_ekv + os
 
 def snapshot_tables(spark, sf_dir):
     v = fx.views(spark, sf_dir, *SNAPSHOT_VIEWS)
-    return {**v, "accounts": v["loan_accounts"], "purposes": v["purpose_parts"]}
+    saldo = settled(v["saldo"], "saldo")
+    nominal = saldo.withColumn("saldo", F.floor(F.col("saldo") / F.lit(4.0)))
+    return {**v, "accounts": v["loan_accounts"], "purposes": v["purpose_parts"], "saldo": saldo, "saldo_val": nominal}
 
 
 @query("q_snapshot", SNAPSHOT_SQL)

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A few bytes per key: broadcasts of this many keys stay in the tens of megabytes.
+FEW_KEYS = 1_000_000
 
 
 def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -51,3 +55,14 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def only_few_keys(df: DataFrame, keys: DataFrame, on: list[str], limit: int = FEW_KEYS) -> DataFrame:
+    """Filter ``df`` to the keys by a broadcast semi-join when ``keys`` has at most ``limit`` rows, else return it as is.
+
+    ``keys`` is a settled table, so counting reads file footers only. Callers join on the keys afterwards in any case;
+    this step only saves work.
+    """
+    if keys.count() > limit:
+        return df
+    return df.join(F.broadcast(keys.select(*on)), on, "left_semi")

@@ -90,10 +90,11 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
     )
 
     unpaid, covered = F.col("paid") < F.col("d1"), F.col("paid") >= F.col("d1")
-    per_account = (
-        held.join(paid_by_day(moves), ["account", "id_mfo"])
+    # per account and branch first, so that an account shared by many loans is joined as a single row
+    account_facts = (
+        paid_by_day(moves)
         .join(marks, "account", "left")
-        .groupBy("glob_id", "account", "date_vyd_d", "k_vid_cred")
+        .groupBy("account", "id_mfo")
         .agg(
             F.count("*").alias("n_rows"),
             F.count_if(unpaid).alias("n_unpaid"),
@@ -103,6 +104,7 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
             *[F.max(c).alias(c) for c in ("d1", "m1", "m2", "m3")],
         )
     )
+    per_account = held.join(account_facts, ["account", "id_mfo"])
     # one row per loan and account from here on; it is read three times below
     per_account = settled(per_account, "default-days")
     loan_end = per_account.groupBy("glob_id").agg(F.max("datn").alias("loan_datn"))

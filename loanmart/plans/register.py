@@ -51,6 +51,8 @@ def contract_register(tables: Mapping[str, DataFrame], start: str, end: str) ->
         tables["applications"].where(F.col("rec_activ") == 0)
         .groupBy(F.col("glob_id").alias("id_apl")).agg(F.max("count_work_place").alias("kol_work"))
     )
+    # one row per client, so that the loans are shuffled by client once and a client with very many loans can be split
+    clients = tables["clients"].join(licences, "id_client", "left")
     grades = tables["grades"].select(F.col("klass_id").alias("kreditospos"), "klass_name")
     staff = tables["staff"].select(F.col("kod").alias("inspect"), "id_mfo", "fio")
 
@@ -59,8 +61,7 @@ def contract_register(tables: Mapping[str, DataFrame], start: str, end: str) ->
         .join(first_movement(loans, tables["saldo"]), "glob_id", "left")
         .join(jobs, "id_apl", "left")
         .join(accounts, ["id_mfo", "acc_new"])
-        .join(tables["clients"], "id_client")
-        .join(licences, "id_client", "left")
+        .join(clients, "id_client")
         .join(_names(tables["states"], "kod_sost", "name_sost_"), "kod_sost", "left")
         .join(_names(tables["currencies"], "kod_vals", "val_name"), "kod_vals", "left")
         .join(_names(tables["purposes"], "k_cel_ssudy", "cel_name"), "k_cel_ssudy", "left")

@@ -6,7 +6,8 @@ the three smallest distinct ones. So no task receives all movements of a busy ac
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from loanmart.operators.merge import upsert
 from loanmart.operators.ranking import smallest_distinct
 from loanmart.operators.temporal import day
 from loanmart.session import only_few_keys, settled
+from loanmart.sources.writers import backup, overwrite
 
 # Account roles that carry overdue amounts, the day limits, and the sentinel for "no default".
 OVERDUE_ROLES = (2, 12)
@@ -153,3 +155,23 @@ def refresh(target: DataFrame, fresh: DataFrame, run_date: str) -> DataFrame:
     """
     stamped = settled(fresh.withColumn("date_modified", F.lit(run_date)), "default-days-staging")
     return upsert(target, stamped, ["glob_id"], ["fpd", "spd", "tpd", "date_modified"])
+
+
+def refresh_window(run_date: dt.date, days: int = 120) -> tuple[str, str]:
+    """Disbursement dates to recompute: first of the month ``days`` before this month's first, up to that first."""
+    end = run_date.replace(day=1)
+    return (end - dt.timedelta(days=days)).replace(day=1).isoformat(), end.isoformat()
+
+
+def refresh_job(tables: Mapping[str, DataFrame], current: DataFrame, out_path: str, backup_path: str,
+                run_date: dt.date, products: Sequence[int], days: int = 120) -> DataFrame:
+    """The scheduled refresh: recompute the look-back window, back up the current table, write the merged one.
+
+    ``tables``: loans, accounts, saldo, schedule. The merged table goes to ``out_path``, which must not be the place
+    ``current`` is read from; pointing readers to the new place is the switch.
+    """
+    fresh = default_days(tables["loans"], tables["accounts"], tables["saldo"], tables["schedule"],
+                         *refresh_window(run_date, days), products)
+    backup(current, backup_path, run_date.isoformat(), "backup_date")
+    overwrite(refresh(current, fresh, run_date.isoformat()), out_path)
+    return current.sparkSession.read.schema(current.schema).parquet(out_path)

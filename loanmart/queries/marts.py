@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from loanmart import fixture_docs as fd
@@ -10,9 +12,10 @@ from loanmart.contracts import APPLICATION_PATHS, HINT_PATH, application_columns
 from loanmart.plans import register as reg
 from loanmart.plans import snapshot as snap
 from loanmart.plans.applications import applications
-from loanmart.plans.default_days import default_days, refresh
+from loanmart.plans.default_days import default_days, refresh, refresh_job
 from loanmart.queries.base import iso, query
-from loanmart.session import settled
+from loanmart.session import settled, work_dir
+from loanmart.sources.writers import overwrite
 
 PRODUCTS = (24, 34, 32)
 START, END = "1996-01-01", "1998-12-31"
@@ -90,6 +93,25 @@ def _merge_upsert(spark, sf_dir):
     return refresh(target, fresh, RUN_DATE)
 
 
+@query("q_refresh_job", _days_query(f"""
+  , merged as (select date_vyd_d, glob_id, k_vid_cred, fpd, spd, tpd, case when date_vyd_d < date '1998-05-01'
+    then '1998-07-10' else '1998-09-10' end as date_modified from days)
+  select 'table' as part, * replace ({iso('date_vyd_d')} as date_vyd_d) from merged
+  union all select 'backup', {iso('date_vyd_d')}, glob_id, k_vid_cred, fpd, spd, tpd, '1998-07-10' from merged
+  where date_vyd_d <= date '1998-06-30'""", "1998-01-01", "1998-09-01"))
+def _refresh_job(spark, sf_dir):
+    v = fx.views(spark, sf_dir, *DAYS_VIEWS)
+    tables = {**v, "accounts": v["loan_accounts"], "saldo": settled(v["saldo"], "saldo")}
+    base = work_dir(spark, "refresh")
+    loaded = default_days(tables["loans"], tables["accounts"], tables["saldo"], tables["schedule"], "1998-01-01",
+                          "1998-06-30", PRODUCTS)
+    overwrite(loaded.withColumn("date_modified", F.lit("1998-07-10")), f"{base}/1")
+    current = spark.read.parquet(f"{base}/1")
+    merged = refresh_job(tables, current, f"{base}/2", f"{base}/backup", dt.date(1998, 9, 10), PRODUCTS)
+    saved = spark.read.parquet(f"{base}/backup").drop("backup_date").withColumn("part", F.lit("backup"))
+    return merged.withColumn("part", F.lit("table")).unionByName(saved)
+
+
 def _clamped(c: str) -> str:
     return iso(f"case when {c} is null then date '1900-01-01' when {c} < date '1753-01-01' "
                f"then date '1753-01-01' else {c} end")

@@ -62,9 +62,9 @@ def with_run_date(df: DataFrame, run_date: str, column: str = "date_modified") -
     return df.withColumn(column, F.lit(run_date).cast("date"))
 
 
-def backup(df: DataFrame, path: str, run_date: str) -> None:
+def backup(df: DataFrame, path: str, run_date: str, column: str = "date_modified") -> None:
     """Add a dated snapshot of a table. One partition per run date, so a repeated run replaces its own snapshot."""
-    replace_partitions(with_run_date(df, run_date), path, ["date_modified"])
+    replace_partitions(with_run_date(df, run_date, column), path, [column])
 
 
 def full_reload(current: DataFrame | None, fresh: DataFrame, path: str, backup_path: str, run_date: str) -> None:

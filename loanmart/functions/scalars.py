@@ -12,6 +12,8 @@ MISSING_DATE = "1900-01-01"
 # Date layouts of the bureau feeds, tried in this order; the first that fits wins.
 DATE_LAYOUTS = ["d.M.yyyy", "d.M.yy", "d/M/yyyy", "d-M-yyyy", "yyyy-M-d", "yyyy.M.d"]
 
+TIMESTAMP_LAYOUT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -67,8 +69,12 @@ def parse_day_first(c: Column | str) -> Column:
 
 
 def parse_timestamp(c: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` with an optional fraction; null when it does not fit."""
-    return F.try_to_timestamp(_col(c), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"))
+    """``yyyy-MM-dd HH:mm:ss`` with an optional fraction; null when it does not fit.
+
+    The layout is checked by a pattern and read by the native cast, which is much faster than a date formatter.
+    """
+    c = _col(c)
+    return F.when(c.rlike(TIMESTAMP_LAYOUT), c.try_cast("timestamp"))
 
 
 def pad_code(c: Column | str, width: int = 3) -> Column:

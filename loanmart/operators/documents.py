@@ -228,7 +228,7 @@ def discover_paths(docs: DataFrame, doc: str = "doc") -> list[str]:
     merged = docs.agg(F.schema_of_variant_agg(F.try_parse_json(doc)).alias("s")).first()["s"]
     if not merged or not merged.startswith("OBJECT"):
         return []
-    schema = T._parse_datatype_string(merged.replace("OBJECT<", "STRUCT<"))
+    schema = T.DataType.fromDDL(merged.replace("OBJECT<", "STRUCT<"))
 
     def walk(t: T.StructType, prefix: str):
         for f in t.fields:

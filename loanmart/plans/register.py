@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.functions.scalars import clamp_date, concat_text, decode, nvl, nvl_text, pad_code
-from loanmart.operators.temporal import day, first_movement, role_pivot
+from loanmart.operators.temporal import BALANCE_KEYS, day, first_movement, role_pivot
+from loanmart.session import only_few_keys, settled
 
 # Labels of the commission and credit-line codes.
 COMMISSION = ((0, "Процент от суммы кредита"), (1, "Фиксир.сумма"), (2, "Наличная сумма"))
@@ -45,6 +46,9 @@ def contract_register(tables: Mapping[str, DataFrame], start: str, end: str) ->
     Code tables carry no broadcast hint: Spark broadcasts those that prove small.
     """
     loans = loans_in_period(tables["loans"], start, end)
+    # movements are looked up for the loans of the period only
+    keys = settled(loans.select("glob_id", "id_mfo", "acc_new", "date_vyd_d"), "register-loans")
+    moves = only_few_keys(tables["saldo"], keys.withColumnRenamed("acc_new", "account"), list(BALANCE_KEYS))
     accounts = tables["accounts"].select("id_mfo", F.col("account_new").alias("acc_new"), "id_client")
     licences = tables["licences"].groupBy("id_client").agg(F.max("date_end").alias("liz_end"))
     jobs = (
@@ -58,7 +62,7 @@ def contract_register(tables: Mapping[str, DataFrame], start: str, end: str) ->
 
     joined = (
         loans.join(role_pivot(tables["loan_accounts"], ROLES), "glob_id", "left")
-        .join(first_movement(loans, tables["saldo"]), "glob_id", "left")
+        .join(first_movement(keys, moves), "glob_id", "left")
         .join(jobs, "id_apl", "left")
         .join(accounts, ["id_mfo", "acc_new"])
         .join(clients, "id_client")

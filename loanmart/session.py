@@ -57,12 +57,12 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def only_few_keys(df: DataFrame, keys: DataFrame, on: list[str], limit: int = FEW_KEYS) -> DataFrame:
-    """Filter ``df`` to the keys by a broadcast semi-join when ``keys`` has at most ``limit`` rows, else return it as is.
+def only_few_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Filter ``df`` to the keys by a broadcast semi-join when there are at most ``FEW_KEYS``, else return it as is.
 
     ``keys`` is a settled table, so counting reads file footers only. Callers join on the keys afterwards in any case;
     this step only saves work.
     """
-    if keys.count() > limit:
+    if keys.count() > FEW_KEYS:
         return df
     return df.join(F.broadcast(keys.select(*on)), on, "left_semi")

@@ -9,7 +9,7 @@ import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,12 +168,31 @@ def find_lines(df: DataFrame, text: str, needle: str, keep: Sequence[str]) -> Da
 
 
 def find_in_files(spark: SparkSession, path: str, needle: str, glob: str | None = None) -> DataFrame:
-    """Search a file tree: file path, line number, line."""
+    """Search a file tree: file path, line number, stripped line.
+
+    Files are read in splits of any number. A line's number is its place in the split plus the lines of the splits
+    before it, which come from one small aggregate (a row per split).
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return find_lines(files, "value", needle, ["file_path"])
+    split = ["file_path", "_start"]
+    # the id counts up without gaps inside a split
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+        "value",
+    )
+    sizes = lines.groupBy(*split).agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    hits = lines.where(F.col("value").contains(needle))
+    return hits.join(shift, split).select(
+        "file_path",
+        (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line_number"),
+        F.regexp_replace("value", r"^\s+|\s+$", "").alias("line"),
+    )
 
 
 def valid_identifier(name: str) -> str:

@@ -113,6 +113,24 @@ def test_find_in_files(spark, tmp_path):
     assert sorted(got) == [("a.txt", 2, "needle here"), ("a.txt", 3, "needle"), ("b.txt", 2, "x needle")]
 
 
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    lines = [("needle " if i % 97 == 0 else "straw ") + str(i) for i in range(1, 5001)]
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("\n".join(lines))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        found = rd.find_in_files(spark, str(tmp_path), "needle")
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = sorted((r.file_path[-5:], r.line_number, r.line) for r in found.collect())
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    want = [(n, i, f"needle {i}") for n in ("a.txt", "b.txt") for i in range(97, 5001, 97)]
+    assert got == want
+
+
 def test_work_dir_is_below_the_shared_folder(spark):
     class Session:
         def __init__(self, base):

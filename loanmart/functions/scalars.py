@@ -71,10 +71,11 @@ def parse_day_first(c: Column | str) -> Column:
 def parse_timestamp(c: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with an optional fraction; null when it does not fit.
 
-    The layout is checked by a pattern and read by the native cast, which is much faster than a date formatter.
+    The value has no zone, so the session's zone plays no part. The layout is checked by a pattern and read by the
+    native cast, which is much faster than a date formatter.
     """
     c = _col(c)
-    return F.when(c.rlike(TIMESTAMP_LAYOUT), c.try_cast("timestamp"))
+    return F.when(c.rlike(TIMESTAMP_LAYOUT), c.try_cast("timestamp_ntz"))
 
 
 def pad_code(c: Column | str, width: int = 3) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loanmart.operators.merge import upsert
 from loanmart.operators.ranking import smallest_distinct
 from loanmart.operators.temporal import day
-from loanmart.session import only_few_keys, settled
+from loanmart.session import settled
 from loanmart.sources.writers import backup, overwrite
 
 # Account roles that carry overdue amounts, the day limits, and the sentinel for "no default".
@@ -70,11 +70,11 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
     """One row per loan with a first-payment default: date_vyd_d, glob_id, k_vid_cred, fpd, spd, tpd (days)."""
     scope = loans_in_scope(loans, start, end, products)
     roles = accounts.where(F.col("kod_acc").isin(*OVERDUE_ROLES)).select("glob_id", "account")
-    # Loan-account pairs in scope are few beside the balances. When their number is proven small the balance scan is
-    # filtered by a broadcast before anything is shuffled; otherwise the joins below come after the balances were reduced.
+    # balances and instalments are cut to the loans in scope before anything else; Spark broadcasts the written key
+    # table if its size allows, and shuffles by key otherwise
     held = settled(scope.join(roles, "glob_id"), "default-days-scope")
     moves = saldo.where(F.col("obor_d_y") != 0).select("account", "id_mfo", "dati", "datn", "obor_c", "obor_d_y")
-    moves = only_few_keys(moves, held, ["account"])
+    moves = moves.join(held.select("account"), "account", "left_semi")
 
     branches = held.select("account", F.col("id_mfo").alias("own_mfo")).distinct()
     own = F.col("id_mfo") == F.col("own_mfo")
@@ -125,7 +125,7 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
     cases = (
         per_account.where(F.col("m1").isNotNull())
         .join(loan_end, "glob_id")
-        .join(first_three_dates(only_few_keys(schedule, held, ["glob_id"])), "glob_id")
+        .join(first_three_dates(schedule.join(held.select("glob_id"), "glob_id", "left_semi")), "glob_id")
         .where(days("m1", "p2") < SECOND_LIMIT_DAYS)
         .select(
             "glob_id", "account", "date_vyd_d", "k_vid_cred",

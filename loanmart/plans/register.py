@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.scalars import clamp_date, concat_text, decode, nvl, nvl_text, pad_code
 from loanmart.operators.temporal import BALANCE_KEYS, day, first_movement, role_pivot
-from loanmart.session import only_few_keys, settled
+from loanmart.session import settled
 
 # Labels of the commission and credit-line codes.
 COMMISSION = ((0, "Процент от суммы кредита"), (1, "Фиксир.сумма"), (2, "Наличная сумма"))
@@ -48,7 +48,7 @@ def contract_register(tables: Mapping[str, DataFrame], start: str, end: str) ->
     loans = loans_in_period(tables["loans"], start, end)
     # movements are looked up for the loans of the period only
     keys = settled(loans.select("glob_id", "id_mfo", "acc_new", "date_vyd_d"), "register-loans")
-    moves = only_few_keys(tables["saldo"], keys.withColumnRenamed("acc_new", "account"), list(BALANCE_KEYS))
+    moves = tables["saldo"].join(keys.select("id_mfo", F.col("acc_new").alias("account")), list(BALANCE_KEYS), "left_semi")
     accounts = tables["accounts"].select("id_mfo", F.col("account_new").alias("acc_new"), "id_client")
     licences = tables["licences"].groupBy("id_client").agg(F.max("date_end").alias("liz_end"))
     jobs = (

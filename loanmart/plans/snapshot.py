@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.scalars import decode, key_from_parts
 from loanmart.operators.temporal import account_by_role, balance_on, day, days_past_due
-from loanmart.session import only_few_keys, settled
+from loanmart.session import settled
 
 # Balance column per account role, in local and in nominal currency.
 EQUIVALENT = {2: "ost_pros_ekv", 4: "ost_157_ekv", 12: "ost_proc_ekv", 27: "ost_95413_ekv", 21: "ost_91501_ekv",
@@ -84,7 +84,7 @@ def overdue_days(balances: DataFrame, saldo: DataFrame, date: str) -> DataFrame:
     ).where(F.col("account").isNotNull())
     # only the history of owing accounts matters
     owing = settled(owing, "snapshot-owing")
-    history = only_few_keys(saldo.select("id_mfo", "account", "dati", "datn", "saldo"), owing, ["id_mfo", "account"])
+    history = saldo.select("id_mfo", "account", "dati", "datn", "saldo").join(owing, ["id_mfo", "account"], "left_semi")
     days = owing.join(days_past_due(history, date), ["id_mfo", "account"])
     return days.groupBy("glob_id").agg(
         *[F.max(F.when(F.col("kod_acc") == k, F.col("dpd"))).alias(f"{c}_dpd") for k, c in OVERDUE.items()]

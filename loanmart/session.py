@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A few bytes per key: broadcasts of this many keys stay in the tens of megabytes.
-FEW_KEYS = 1_000_000
 
 
 def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -30,20 +28,41 @@ def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8)
 
 
 _FALLBACK: list[str] = []
+_STAGED: list[str] = []
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
+def base_dir(setting: str | None, master: str) -> str:
+    """The folder for intermediate tables: ``setting``, or in plain local mode a temporary folder of this process.
 
-    Every executor must be able to reach it, so a local temporary folder is used only where the setting is absent, as
-    in local tests.
+    Any other master needs the setting, since executors can't read the driver's temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not _FALLBACK:
-            _FALLBACK.append(tempfile.mkdtemp(prefix="loanmart-"))
-        base = _FALLBACK[0]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if setting:
+        return setting.rstrip("/")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _FALLBACK:
+        _FALLBACK.append(tempfile.mkdtemp(prefix="loanmart-"))
+    return _FALLBACK[0]
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    base = base_dir(spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.master", "local"))
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def settle(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """:func:`settled`, with the folder, for loops that remove the table of the round before."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    _STAGED.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -52,17 +71,19 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     For results that several later steps read: the work before is done once, a lost executor does not repeat it, and
     later scans read only the columns they need.
     """
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return settle(df, name)[0]
 
 
-def only_few_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Filter ``df`` to the keys by a broadcast semi-join when there are at most ``FEW_KEYS``, else return it as is.
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at its end, every intermediate table that was settled inside it.
 
-    ``keys`` is a settled table, so counting reads file footers only. Callers join on the keys afterwards in any case;
-    this step only saves work.
+    Results that read such tables must be written inside the block.
     """
-    if keys.count() > FEW_KEYS:
-        return df
-    return df.join(F.broadcast(keys.select(*on)), on, "left_semi")
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[before:]:
+            remove_dir(spark, path)
+        del _STAGED[before:]

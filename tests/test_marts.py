@@ -49,10 +49,10 @@ def lending(seed: int, shared: bool):
     return {"loans": loans, "loan_accounts": accounts, "saldo": saldo, "schedule": schedule}
 
 
-@pytest.mark.parametrize("seed,shared,few", [(1, False, 10**6), (2, True, 10**6), (3, True, 0), (4, False, 0)])
-def test_default_days(spark, monkeypatch, seed, shared, few):
-    # 0: the key table is too large to broadcast, the later joins do the work
-    monkeypatch.setattr(session, "FEW_KEYS", few)
+@pytest.mark.parametrize("seed,shared,limit", [(1, False, "10m"), (2, True, "10m"), (3, True, "-1"), (4, False, "-1")])
+def test_default_days(spark, seed, shared, limit):
+    # -1: no key table may be broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     data = lending(seed, shared)
     t = {n: spark.createDataFrame(data[n], s) for n, s in SCHEMAS.items()}
     got = default_days(t["loans"], t["loan_accounts"], t["saldo"], t["schedule"], "1997-01-01", "1997-12-31",
@@ -63,6 +63,7 @@ def test_default_days(spark, monkeypatch, seed, shared, few):
         con.execute(f"create table {n} as select * from arrow")
     want = con.sql(f"with {marts.default_days_sql('1997-01-01', '1997-12-31')} select * from days")
     mine = sorted_rows(got.columns, got.collect())
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert mine == sorted_rows(want.columns, want.fetchall())
     assert mine
 

@@ -171,8 +171,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     longest, shortest = tests.agg(F.max("n"), F.min("n")).first()
     sizes = sorted({min(ngram, n) for n in range(shortest or 1, ngram + 1)} | {ngram}) if shortest and shortest < ngram else [ngram]
     # at most BITS / 32 rows, whatever the size of the benchmark
-    place = F.col("gram").bitwiseAND(F.lit(BITS - 1))
-    lanes = seeds.groupBy(F.shiftright(place, 5).alias("lane")).agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int"))).alias("bits"))
+    lanes = seeds.select(F.expr(f"gram & {BITS - 1}").alias("at")).groupBy(F.expr("cast(at >> 5 as int)").alias("lane")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 31 as int)))").alias("bits"))
     bits = np.zeros(BITS // 32, dtype="<u4")
     for lane, value in lanes.collect():
         bits[lane] = value

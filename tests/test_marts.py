@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from loanmart import session
+
 from loanmart.plans.applications import application_rejects, applications
 from loanmart.plans.default_days import default_days, first_three_dates
 from loanmart.queries import marts

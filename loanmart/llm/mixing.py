@@ -31,7 +31,7 @@ from loanmart.session import settled
 
 AXES = ("source", "lang", "topic")
 SIZE = 64
-_SKETCH = f"doc_id long, source string, lang string, t1 long, t2 long, n_tokens long, sketch binary"  # noqa: F541
+_SKETCH = "doc_id long, source string, lang string, t1 long, t2 long, n_tokens long, sketch binary"
 
 
 def _sketches(batches):
@@ -109,39 +109,80 @@ def profiled(docs: DataFrame, topics: int = 8, rounds: int = 5) -> DataFrame:
     return settled(sketches.mapInArrow(assign, _SKETCH.replace("sketch binary", "topic int")), "profiles")
 
 
-def rake(cells: DataFrame, targets: Mapping[str, Mapping] | None = None, power: float = 0.5, tolerance: float = 1e-6, most_rounds: int = 50) -> DataFrame:
+def _goal(values: dict, targets: Mapping | None, power: float) -> dict:
+    """Share of each value that has tokens."""
+    raw = {k: (float(targets.get(k, 0.0)) if targets is not None else float(t) ** power) for k, t in values.items() if t > 0}
+    total = sum(raw.values())
+    return {k: v / total if total else 0.0 for k, v in raw.items()}
+
+
+def rake(cells: DataFrame, targets: Mapping[str, Mapping] | None = None, power: float = 0.5, tolerance: float = 1e-4, most_rounds: int = 15) -> DataFrame:
     """``cells`` (columns ``source``, ``lang``, ``topic``, ``tokens``) with ``w``, whose sums over each axis meet the targets.
 
-    ``targets`` maps an axis to shares by value. Ends when no marginal is off by more than ``tolerance`` of all, or
-    after ``most_rounds`` (targets that contradict each other have no exact solution).
+    ``targets`` maps an axis to shares by value. A source's row holds its cells, and a round scales each source to its
+    goal where the row lies, adds up languages by topics (two code sets of bounded size) and scales those in turn. Ends
+    when no marginal is off by more than ``tolerance`` of all, or after ``most_rounds`` (targets that contradict each
+    other have no exact solution).
     """
     spark = cells.sparkSession
-    goals = {}
-    for axis in AXES:
-        own = cells.groupBy(axis).agg(F.sum("tokens").alias("t")).where("t > 0")
-        if targets and axis in targets:
-            shares = spark.createDataFrame([(k, float(v)) for k, v in targets[axis].items()], f"k {cells.schema[axis].dataType.simpleString()}, raw double")
-            own = own.join(shares, F.col(axis).eqNullSafe(F.col("k"))).select(axis, "raw")
-        else:
-            own = own.select(axis, F.pow("t", F.lit(power)).alias("raw"))
-        goals[axis] = settled(own.crossJoin(F.broadcast(own.agg(F.sum("raw").alias("all")))).select(F.col(axis).alias("__k"), (F.col("raw") / F.col("all")).alias("__goal")), "goals")
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    now = settled(cells.where("tokens > 0").withColumn("w", F.col("tokens") / F.lit(float(max(total, 1)))), "raked")
-    for _ in range(most_rounds):
-        off = 0.0
-        for axis in AXES:
-            got = now.groupBy(F.col(axis).alias("__a")).agg(F.sum("w").alias("__got"))
-            pull = got.join(goals[axis], F.col("__a").eqNullSafe(F.col("__k")), "left").select(
-                "__a", F.when(F.col("__got") > 0, F.coalesce("__goal", F.lit(0.0)) / F.col("__got")).otherwise(0.0).alias("__f"),
-                F.abs(F.coalesce("__goal", F.lit(0.0)) - F.col("__got")).alias("__off"))
-            now = now.join(pull, F.col(axis).eqNullSafe(F.col("__a"))).select(
-                *cells.columns, (F.col("w") * F.col("__f")).alias("w"), *([F.greatest("__was", "__off").alias("__was")] if "__was" in now.columns else [F.col("__off").alias("__was")]))
-        now = settled(now, "raked")
-        off = now.agg(F.max("__was")).first()[0] or 0.0
-        now = now.drop("__was")
+    given = targets or {}
+    some = cells.where("tokens > 0")
+    sums_of = lambda axis: {r[0]: r[1] for r in some.groupBy(axis).agg(F.sum("tokens")).collect()}
+    goals = [_goal(sums_of(a), given.get(a), power) for a in ("lang", "topic")]
+    place = [{k: i for i, k in enumerate(g)} for g in goals]
+    goal_l, goal_t = (np.array(list(g.values())) for g in goals)
+    by = some.groupBy("source").agg(F.sum("tokens").alias("all"), F.collect_list(F.struct("lang", "topic", "tokens")).alias("cells"))
+    if "source" in given:
+        shares = spark.createDataFrame([(k, float(v)) for k, v in given["source"].items()], "__k string, raw double")
+        by = by.join(shares, F.col("source").eqNullSafe(F.col("__k")), "left").withColumn("raw", F.coalesce("raw", F.lit(0.0))).drop("__k")
+    else:
+        by = by.withColumn("raw", F.pow("all", F.lit(power)))
+    rows = settled(by, "source-cells")
+    whole = float(rows.agg(F.sum("raw")).first()[0] or 1.0)
+    factor_l, factor_t = np.ones(len(goal_l)), np.ones(len(goal_t))
+
+    def scaled(batch, factor_l, factor_t):
+        lists = batch.column("cells")
+        inner = lists.flatten()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        at_l = np.array([place[0][k] for k in inner.field("lang").to_pylist()], dtype=np.int64)
+        at_t = np.array([place[1][k] for k in inner.field("topic").to_pylist()], dtype=np.int64)
+        w = inner.field("tokens").to_numpy(zero_copy_only=False) * factor_l[at_l] * factor_t[at_t]
+        own = np.bincount(row, weights=w, minlength=batch.num_rows)
+        goal = batch.column("raw").to_numpy(zero_copy_only=False) / whole
+        return row, at_l, at_t, inner, w * np.where(own > 0, goal / np.where(own > 0, own, 1), 0)[row]
+
+    for _ in range(most_rounds if len(goal_l) and len(goal_t) else 0):
+        now = factor_l, factor_t
+
+        def add(batches, now=now):
+            total = np.zeros(len(goal_l) * len(goal_t))
+            for batch in batches:
+                _, at_l, at_t, _, w = scaled(batch, *now)
+                total += np.bincount(at_l * len(goal_t) + at_t, weights=w, minlength=len(total))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], ["total"])
+
+        part = rows.mapInArrow(add, "total array<double>").select(F.posexplode("total").alias("i", "v"))
+        m = np.zeros(len(goal_l) * len(goal_t))
+        for i, v in part.groupBy("i").agg(F.sum("v")).collect():  # languages x topics
+            m[i] = v
+        m = m.reshape(len(goal_l), len(goal_t))
+        off = max(np.abs(m.sum(axis=1) - goal_l).max(), np.abs(m.sum(axis=0) - goal_t).max())
         if off <= tolerance:
             break
-    return now
+        pull = np.divide(goal_l, m.sum(axis=1), out=np.zeros_like(goal_l), where=m.sum(axis=1) > 0)
+        m *= pull[:, None]
+        factor_l = factor_l * pull
+        factor_t = factor_t * np.divide(goal_t, m.sum(axis=0), out=np.zeros_like(goal_t), where=m.sum(axis=0) > 0)
+    last = factor_l, factor_t
+
+    def final(batches):
+        for batch in batches:
+            row, _, _, inner, w = scaled(batch, *last)
+            yield pa.RecordBatch.from_arrays([batch.column("source").take(pa.array(row)), inner.field("lang"), inner.field("topic"), inner.field("tokens"),
+                                              pa.array(w)], ["source", "lang", "topic", "tokens", "w"])
+
+    return settled(rows.mapInArrow(final, "source string, lang string, topic int, tokens long, w double"), "raked")
 
 
 def _rate(cells: DataFrame, share: float) -> float:

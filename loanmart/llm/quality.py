@@ -29,7 +29,7 @@ BUCKETS = 1 << 15
 MAX_TRAIN = 4_000
 EPOCHS, RATE, RIDGE = 80, 0.5, 3e-4
 
-_EXAMPLES = "doc_id long, bucket array<int>, share array<float>"
+_EXAMPLES = "doc_id long, bucket binary, share binary"
 
 
 @dataclass
@@ -79,17 +79,13 @@ def features(column: pa.Array):
 def _examples(batches):
     for batch in slices(batches):
         bucket, w = features(batch.column("text"))
-        buckets, shares, ends = [], [], [0]
+        buckets, shares = [], []
         for i, n in enumerate(w.counts):
             b, c = np.unique(bucket[w.bounds[i]:w.bounds[i + 1]], return_counts=True)
-            c = c[b < BUCKETS] / max(n, 1)
-            b = b[b < BUCKETS]
-            buckets.append(b)
-            shares.append(c)
-            ends.append(ends[-1] + len(b))
-        end = pa.array(ends, pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(end, pa.array(np.concatenate(buckets), pa.int32())),
-                                          pa.ListArray.from_arrays(end, pa.array(np.concatenate(shares), pa.float32()))], ["doc_id", "bucket", "share"])
+            buckets.append(b[b < BUCKETS].astype("<i4").tobytes())
+            shares.append((c[b < BUCKETS] / max(n, 1)).astype("<f4").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(buckets, pa.binary()), pa.array(shares, pa.binary())],
+                                         ["doc_id", "bucket", "share"])
 
 
 def fit(docs: DataFrame, graded: DataFrame, grade: str = "grade", max_train: int = MAX_TRAIN) -> OrdinalModel:
@@ -107,9 +103,9 @@ def fit(docs: DataFrame, graded: DataFrame, grade: str = "grade", max_train: int
     got = sorted((r for r in got if len(r.bucket)), key=lambda r: r.doc_id)
     if not got:
         return OrdinalModel(grades, weights, np.arange(len(grades) - 1, dtype=float))
-    row = np.repeat(np.arange(len(got)), [len(r.bucket) for r in got])
-    col = np.concatenate([np.array(r.bucket, dtype=np.int64) for r in got])
-    x = np.sqrt(np.concatenate([np.array(r.share) for r in got]))  # damped for the fit's scale, see `scores`
+    row = np.repeat(np.arange(len(got)), [len(r.bucket) // 4 for r in got])
+    col = np.frombuffer(b"".join(r.bucket for r in got), dtype="<i4")
+    x = np.sqrt(np.frombuffer(b"".join(r.share for r in got), dtype="<f4"))  # damped, as in `scores`
     y = np.searchsorted(grades, [known[r.doc_id] for r in got])
     return _fit(row, col, x, y, grades)
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.llm.decontaminate import benchmark_matches
+from loanmart.llm.embedding_dedup import embedding_components
+from loanmart.llm.license_scan import license_scan
 from loanmart.llm.line_dedup import apply_bitmaps, line_bitmaps
 from loanmart.llm.mixing import mixture
 from loanmart.llm.quality import fit as fit_quality
@@ -81,3 +83,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = apply_bitmaps(docs, line_bitmaps(docs, min_chars=40, min_docs=5))
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op1_embedding_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"), limit=0.9)
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))

@@ -29,6 +29,8 @@ MIN_SCORE = 0.75
 COST = 0.25
 #: Bits of the table that n-grams of documents are looked up in: the same at every size.
 BITS = 1 << 23
+#: Parts of an n-gram's hash, by shift, that must all be in the table.
+PROBES = (0, 32)
 #: An n-gram is rare if at most so many items have it; an item keeps so many of its rarest in any case.
 SHARED_BY, AT_LEAST = 8, 8
 
@@ -81,8 +83,10 @@ def _passages(table, sizes: list[int], margin: int):
             at, gram = [], []
             for k in sizes:
                 first, h = grams(w, k)
-                place = (h % np.uint64(BITS)).astype(np.int64)
-                hit = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                hit = np.ones(len(h), dtype=bool)
+                for shift in PROBES:
+                    place = ((h >> np.uint64(shift)) & np.uint64(BITS - 1)).astype(np.int64)
+                    hit &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
                 at.append(first[hit])
                 gram.append(h[hit])
             at, gram = np.concatenate(at), np.concatenate(gram)
@@ -171,7 +175,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     longest, shortest = tests.agg(F.max("n"), F.min("n")).first()
     sizes = sorted({min(ngram, n) for n in range(shortest or 1, ngram + 1)} | {ngram}) if shortest and shortest < ngram else [ngram]
     # at most BITS / 32 rows, whatever the size of the benchmark
-    lanes = seeds.select(F.expr(f"gram & {BITS - 1}").alias("at")).groupBy(F.expr("cast(at >> 5 as int)").alias("lane")).agg(
+    probes = ", ".join(f"shiftrightunsigned(gram, {shift}) & {BITS - 1}" for shift in PROBES)
+    lanes = seeds.select(F.expr(f"explode(array({probes}))").alias("at")).groupBy(F.expr("cast(at >> 5 as int)").alias("lane")).agg(
         F.expr("bit_or(shiftleft(1L, cast(at & 31 as int)))").alias("bits"))
     bits = np.zeros(BITS // 32, dtype="<u4")
     for lane, value in lanes.collect():

@@ -15,6 +15,8 @@ from loanmart.llm.mixing import mixture
 from loanmart.llm.quality import fit as fit_quality
 from loanmart.llm.quality import quality_grades
 from loanmart.llm.simhash import simhash_components
+from loanmart.llm.toxicity import fit as fit_toxicity
+from loanmart.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +95,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity(docs, model, limit=0.3)

@@ -12,8 +12,10 @@ from loanmart.llm.embedding_dedup import embedding_components
 from loanmart.llm.license_scan import license_scan
 from loanmart.llm.line_dedup import apply_bitmaps, line_bitmaps
 from loanmart.llm.mixing import mixture
+from loanmart.llm.pii import pii_spans
 from loanmart.llm.quality import fit as fit_quality
 from loanmart.llm.quality import quality_grades
+from loanmart.llm.secret_scan import secret_spans
 from loanmart.llm.simhash import simhash_components
 from loanmart.llm.toxicity import fit as fit_toxicity
 from loanmart.llm.toxicity import toxicity
@@ -102,3 +104,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity(docs, model, limit=0.3)
+
+
+@query("op6_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))

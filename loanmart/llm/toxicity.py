@@ -2,9 +2,9 @@
 
 Method: a sentence's score is ``sigmoid(bias + sum of its words' weights)``, and a document is toxic unless every
 sentence fails to be: ``1 - prod(1 - score)``. Weights of words and of their first bytes, and the bias, are trained from
-document labels alone. The words that may have a weight are chosen over all labelled training rows by how far their document counts lean from the label's
-share; the fit itself reads a bounded sample (``MAX_TRAIN``). Scoring covers every row and whole texts, and sentences with
-``SENTENCE_LIMIT`` or more are named.
+document labels alone, on a bounded sample of labelled rows (``MAX_TRAIN``, by smallest id hash); the words that may have
+a weight are those whose document counts lean far from the label's share. Scoring covers every row and whole texts, and
+sentences with ``SENTENCE_LIMIT`` or more are named.
 
 Words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII; sentences end at . ! ? or a line break, as a run.
 
@@ -28,7 +28,7 @@ from loanmart.session import settled
 
 BUCKETS = 1 << 18
 #: Labelled rows read for the fit; words that may have a weight; least documents that a word must be in.
-MAX_TRAIN, VOCABULARY, LEAST_DOCS = 8_000, 4_096, 4
+MAX_TRAIN, VOCABULARY, LEAST_DOCS = 16_000, 4_096, 4
 #: Bytes at a word's beginning that are a feature of their own.
 STEM = 4
 #: Standard deviations by which such a word's toxic documents must be off the label's share.
@@ -122,8 +122,10 @@ def _bags(chosen: np.ndarray):
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> ToxicModel:
     """Train on rows of ``labels`` (``doc_id``, ``toxic`` 0 or 1) that are not held out."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    own = docs.select(F.col("doc_id").cast("long"), "text")
-    counted = own.join(marks, F.col("doc_id") == F.col("__id")).select("text", "toxic").mapInArrow(_word_counts, "bucket long, n long, toxic long")
+    known = {r["__id"]: r.toxic for r in marks.orderBy(F.xxhash64("__id"), "__id").limit(max_train).collect()}  # max_train pairs
+    sample = docs.sparkSession.createDataFrame(list(known.items()), "__id long, toxic int")
+    picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
+    counted = picked.select("text", "toxic").mapInArrow(_word_counts, "bucket long, n long, toxic long")
     counts = settled(counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "word-counts")
     whole = counts.where("bucket = -1").first()
     share = whole.toxic / whole.n if whole and whole.n else 0.0
@@ -133,10 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Toxic
     # VOCABULARY buckets
     best = counts.where(f"bucket >= 0 and n >= {LEAST_DOCS}").where(F.abs(lean) >= LEAST_LEAN).orderBy(F.desc(F.abs(lean)), "bucket").limit(VOCABULARY).select("bucket").collect()
     chosen = np.array(sorted(r.bucket for r in best), dtype=np.int64)
-    known = {r["__id"]: r.toxic for r in marks.orderBy(F.xxhash64("__id"), "__id").limit(max_train).collect()}  # max_train pairs
-    ids = docs.sparkSession.createDataFrame([(i,) for i in known], "__id long")
-    picked = own.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    got = sorted(picked.mapInArrow(_bags(chosen), "doc_id long, sentences long, bag binary").collect(), key=lambda r: r.doc_id)
+    bags = picked.select("doc_id", "text").mapInArrow(_bags(chosen), "doc_id long, sentences long, bag binary").dropDuplicates(["doc_id"])
+    got = sorted(bags.collect(), key=lambda r: r.doc_id)
     if not got or not len(chosen):
         return ToxicModel(np.zeros(BUCKETS), 0.0, share)
     bags = [np.frombuffer(r.bag, dtype="<i4").reshape(2, -1) for r in got]

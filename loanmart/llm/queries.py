@@ -89,7 +89,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op1_embedding_dedup")
+@query("op1_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, w.component_id, v.vec_id = w.component_id AS kept
+FROM v JOIN low w ON v.vec_id = w.a LEFT JOIN degree d ON v.vec_id = d.a""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"), limit=0.9)
 

@@ -1,0 +1,290 @@
+"""The ten operators on defined cases, and against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loanmart.llm import decontaminate, embedding_dedup, graph, license_scan, line_dedup, mixing, pii, quality, secret_scan, simhash, toxicity, trees
+from loanmart.llm import queries as llm
+from loanmart.session import staging
+from tests.llm import data
+
+LABELS = "doc_id long, grade int, toxic int"
+
+
+def marks(spark, rows=((1, 2, 0), (2, 0, 1), (3, 1, None), (None, 1, 1), (4, None, 0), (1, 1, 0), (14, 2, 0), (13, 0, 1))):
+    return spark.createDataFrame(list(rows), LABELS)
+
+
+def run(spark, name, docs):
+    if name == "quality":
+        return quality.quality_grades(docs, quality.fit(docs, marks(spark)), least=1)
+    if name == "toxicity":
+        return toxicity.toxicity(docs, toxicity.fit(docs, marks(spark)))
+    return {"license": license_scan.license_scan, "simhash": simhash.simhash_components, "pii": pii.pii_spans, "secrets": secret_scan.secret_spans,
+            "mixing": mixing.mixture, "lines": line_dedup.line_bitmaps}[name](docs)
+
+
+ALL = ("quality", "license", "simhash", "toxicity", "pii", "secrets", "mixing", "lines")
+
+
+@pytest.mark.parametrize("name", ALL)
+def test_a_row_for_each_row(spark, name):
+    docs = data.documents(spark)
+    with staging(spark):
+        got = sorted((r.doc_id is None, r.doc_id or 0) for r in run(spark, name, docs).select("doc_id").collect())
+        assert got == sorted((r.doc_id is None, r.doc_id or 0) for r in docs.collect())
+
+
+@pytest.mark.parametrize("name", ALL)
+def test_no_rows(spark, name):
+    with staging(spark):
+        assert run(spark, name, data.documents(spark).limit(0)).collect() == []
+
+
+def test_no_rows_of_pairs(spark):
+    docs, items = data.documents(spark), spark.createDataFrame([(1, "some words of an item here"), (2, None), (3, "")], "item_id long, text string")
+    with staging(spark):
+        assert decontaminate.benchmark_matches(docs.limit(0), items).collect() == []
+        assert decontaminate.benchmark_matches(docs, items.limit(0)).collect() == []
+        assert embedding_dedup.embedding_components(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    pairs = chain + [(rng.randrange(60), rng.randrange(60)) for _ in range(50)] + [(7, 7)] + [(500, i) for i in range(501, 600)]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    ids = {x for p in pairs for x in p}
+    want = data.linked(ids, pairs)
+    assert all(want[i] == got.get(i, i) for i in ids)
+    assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def vectors(spark, n=300, d=40):
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=d)
+    rows = [(i, (rng.normal(size=d) if i % 3 else near + 0.12 * rng.normal(size=d)).tolist()) for i in range(n)]
+    rows += [(n, rows[4][1]), (n + 1, rows[4][1]), (n + 2, [0.0] * d), (n + 3, None), (n + 4, [float("nan")] + [1.0] * (d - 1)), (n + 5, [None] + [1.0] * (d - 1)),
+             (n + 6, [1.0, 2.0]), (n + 7, []), (None, rows[4][1]), (9, rows[9][1]), (n + 8, [1e300] * d), (n + 9, [1e-300] * d)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [64, 4096])
+def test_embeddings(spark, block):
+    rows = vectors(spark)
+    got = embedding_dedup.embedding_components(spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, cid int"), block=block).collect()
+    good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v and len(v) == 40 and None not in v and np.isfinite(v).all() and np.any(v)]
+    units = np.stack([v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for _, v in good])
+    near = units @ units.T >= 0.9
+    np.fill_diagonal(near, False)
+    root = data.linked(range(len(good)), zip(*map(list, np.nonzero(near))))
+    low = {}
+    for k, r in root.items():
+        low[r] = min(low.get(r, good[k][0]), good[k][0])
+    want = sorted((good[k][0], int(near[k].sum()), low[root[k]]) for k in range(len(good)))
+    usable = {i for i, _ in good}
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got if r.vec_id in usable) == want
+    assert all((r.n_links, r.component_id) == (0, r.vec_id) for r in got if r.vec_id not in usable)
+    assert len(got) == len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_simhash(spark, block):
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(50)}" for _ in range(120)]
+    texts = [" ".join(base[:k] + [f"x{rng.randrange(9)}"] + base[k + 1:]) for k in range(0, 120, 2) for _ in range(2)]
+    rows = [(i, t) for i, t in enumerate([*texts, None, "", "  ", "One", "one", "a b c d"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.simhash_components(docs, block=block).collect()}
+    fp = {i: data.fingerprint(t) for i, t in rows}
+    assert all(got[i].fingerprint == f"{fp[i]:016x}" for i in fp)
+    want = data.linked(fp, [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 3])
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs, simhash.simhash_components(docs)).collect()) == sorted(set(want.values()))
+
+
+def test_position_sets():
+    from itertools import combinations
+
+    sets = [set(s) for s in simhash.POSITION_SETS]
+    assert len(sets) == 14 and all(any(s <= set(five) for s in sets) for five in combinations(range(8), 5))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_lines(spark, parts):
+    rng = random.Random(2)
+    pool = [f"shared line number {k} that is longer than forty signs" for k in range(12)]
+    rows = [(rng.choice([None, *range(40)]), "\n".join([rng.choice(pool[:1 + i % 12]) for _ in range(rng.randrange(6))] + [f"own {i} " + "y" * 40])) for i in range(90)]
+    rows += [(r.doc_id, r.text) for r in data.documents(spark).collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        marked = line_dedup.line_bitmaps(docs)
+        got = line_dedup.apply_bitmaps(docs, marked).collect()
+        for r in marked.collect():
+            bits = np.unpackbits(np.frombuffer(zlib.decompress(r.keep), dtype=np.uint8), count=r.n_lines)
+            assert bits.sum() == r.n_lines - r.n_dropped
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+    assert sorted(((r.doc_id, r["__n_lines"], r["__n_dropped"], r.text) for r in got), key=key) == sorted(data.kept_lines(rows), key=key)
+
+
+def test_licenses(spark):
+    docs = data.documents(spark)
+    got = {(r.doc_id, r.n_words): r for r in license_scan.license_scan(docs).collect()}
+    for d in docs.collect():
+        words = data.license_words(d.text)
+        r = got[d.doc_id, len(words)]
+        assert (r.n_base, r.first_word, r.last_word, r.base_labels) == data.places(words, license_scan.PHRASES)
+    one = next(r for (i, _), r in got.items() if i == 14)
+    assert one.labels == "cc-by,cc-by-nc,gpl,reserved" and one.score == 1.0 and one.n_base == 6
+    # a word left out and one changed: the neighbouring diagonals merge
+    text = "Redistribution and use in source and binary forms, with or without any modification are allowed provided that the following conditions are met"
+    edited = license_scan.license_scan(spark.createDataFrame([(1, text), (2, "redistribution and use in source")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert edited[0].labels == "bsd" and 0.8 <= edited[0].score < 1 and edited[1].labels == "" and 0 < edited[1].score < 0.8
+
+
+def test_pii(spark):
+    odd = ["a@b.c_x@d.e 1.2.3.4.5.6.7.8 999.1.1.1", "1" * 3000 + " " + "a" * 30_000, "4111-1111-1111-1111 4111 1111 1111 1112", "😀 a.b@c.d.e +123456789",
+           "x@y x@@y.z 001.02.3.4", None, ""]
+    docs = data.documents(spark).select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(odd, 100)), "doc_id long, text string"))
+    got = sorted((r.doc_id or -1, r.base_sha256) for r in pii.pii_spans(docs).collect())
+    assert got == sorted((r.doc_id or -1, hashlib.sha256(data.pii(r.text).encode()).hexdigest()) for r in docs.collect())
+
+
+def test_pii_adds_spans(spark, sf_dir):
+    docs = llm.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    more = spark.createDataFrame([(10**6, "please call (456) 555-2186 now"), (10**6 + 1, "mail joe (at) host (dot) com")], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.pii_spans(docs.unionByName(more)).where("doc_id >= 1000000").collect()}
+    assert got == {10**6: "phone:12:26", 10**6 + 1: "email:5:28"}
+
+
+def test_secrets(spark):
+    docs = llm.table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r.doc_id: r for r in secret_scan.secret_spans(docs).collect()}
+    import re
+
+    for d in docs.collect():
+        sure = {m.span(1) for m in re.finditer(r'(?:token = "|password=)([0-9a-f]{18,40})|(?<![A-Z0-9])(?=AKIA)', d.text) if m[1]}
+        cards = {m.span() for m in re.finditer(r"(?<![0-9])[0-9]{16}(?![0-9])", d.text)}
+        spans = {tuple(map(int, x.split(":"))) for x in got[d.doc_id].spans.split(",") if x}
+        assert sure <= spans and not cards & spans
+    only = docs.limit(3).select("doc_id", "source", F.lit("id 0a1b2c3d4e5f60718293").alias("text"))
+    given = only.select("doc_id", F.lit(3).alias("s"), F.lit(23).alias("e"), F.lit(1).alias("label"))
+    assert [r.n_secrets for r in secret_scan.secret_spans(only, given).collect()] == [0, 0, 0]  # no negative findings
+
+
+def test_trees():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 4, size=(400, 3))
+    y = (x[:, 0] > 1) & (x[:, 1] < 2)
+    cells = trees.Cells(x, y * 5.0, ~y * 5.0)
+    start, grown = trees.boosted(cells)
+    z = start + sum(trees.evaluate(t, x) for t in grown)
+    share = sum(trees.evaluate(t, x) for t in trees.forest(cells)) / 24
+    assert ((z > 0) == y).all() and ((share > 0.5) == y).mean() > 0.98
+    assert trees.calibrated(z, cells, 0.95) <= z[y].min()
+
+
+def test_quality_is_ordinal(spark):
+    rng = random.Random(4)
+    words = {0: "!! ## %%", 1: "so so fair", 2: "clear prose here"}
+    rows = [(i, " ".join(rng.choice(words[i % 3].split() + ["the", "of"]) for _ in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(i, i % 3, 0) for i in range(150)], LABELS))
+    got = quality.quality_grades(docs, model, least=1).where("doc_id >= 150").collect()
+    assert (np.diff(model.thresholds) > 0).all()
+    assert np.mean([round(r.expected_grade) == r.doc_id % 3 for r in got]) > 0.95 and all(0 <= r.tail_prob <= 1 for r in got)
+
+
+def test_toxic_sentences(spark):
+    rng = random.Random(6)
+    plain = [f"w{k}" for k in range(60)]
+    rows, labels = [], []
+    for i in range(400):
+        sentences = [" ".join(rng.choice(plain) for _ in range(8)) + "." for _ in range(rng.randrange(2, 9))]
+        bad = i % 4 == 0
+        if bad:
+            sentences[rng.randrange(len(sentences))] = f"you vile {rng.choice(plain)} person."
+        rows.append((i, " ".join(sentences)))
+        labels.append((i, 2, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.toxicity(docs, toxicity.fit(docs, spark.createDataFrame(labels, LABELS))).collect()
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in held]) > 0.97
+    text = dict(rows)
+    hits = [text[r.doc_id][r.worst_start:r.worst_end] for r in held if r.predicted]
+    assert hits and np.mean([h.startswith("you vile") for h in hits]) > 0.95
+
+
+def test_held_out_accuracy(spark):
+    got = llm.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").join(llm.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out").toPandas()
+    assert (got.predicted == got.toxic).mean() > 0.96
+    rated = llm.QUERIES["op2_quality"](spark, "/root/testdata/sf0.1").join(llm.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").toPandas()
+    assert (rated.keep == (rated.quality == 1)).mean() > 0.98
+
+
+def test_alignment():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        item, window = rng.integers(0, 6, size=9), rng.integers(0, 6, size=(3, 14))
+        best, _ = decontaminate.smith_waterman(item, window)
+        assert best.tolist() == pytest.approx([data.align(item.tolist(), w.tolist()) for w in window])
+
+
+def test_benchmark_copies(spark):
+    rng = random.Random(8)
+    item = [f"q{rng.randrange(900)}" for _ in range(40)]
+    other = [f"p{rng.randrange(900)}" for _ in range(300)]
+    edited = [w if k % 8 else "zz" for k, w in enumerate(item)]  # 5 of 40 changed
+    longer = [x for k, w in enumerate(item) for x in ([w, "added"] if k % 10 == 5 else [w])]
+    half = item[:20]
+    texts = {1: other[:100] + item + other[100:], 2: other[:50] + edited, 3: longer + other, 4: other[:30] + half + other[30:], 5: other, 6: item + other + item, 7: [w.upper() for w in item]}
+    docs = spark.createDataFrame([(i, ", ".join(t)) for i, t in texts.items()] + [(None, " ".join(item)), (8, None), (8, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(item)), (6, ". ".join(item)), (7, "one two"), (8, None), (None, "!")], "item_id long, text string")
+    found = decontaminate.benchmark_matches(docs, items)
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
+    assert set(got) == {(i, 5) for i in (1, 2, 3, 6, 7, None)}
+    assert got[1, 5].score == 1 and got[1, 5].n_items == 2 and got[1, 5].end_word == 140
+    assert got[2, 5].score == pytest.approx(data.align(item, edited) / 40) and got[3, 5].score == pytest.approx(data.align(item, longer) / 40)
+    assert sorted(r.doc_id or 0 for r in decontaminate.without_matches(docs, found).collect()) == [0, 4, 5, 8, 8]
+
+
+def test_raking(spark):
+    rng = random.Random(9)
+    rows = [(s, lang, t, rng.randrange(1, 1000)) for s in ("a", "b", None) for lang in ("en", None) for t in range(3)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic int, tokens long")
+    targets = {"source": {"a": 1, "b": 2, None: 1}, "lang": {"en": 3, None: 1}, "topic": {0: 1, 1: 1, 2: 2}}
+    got = mixing.rake(cells, targets, tolerance=1e-9, most_rounds=100).collect()
+    w = np.array([r[3] for r in rows], dtype=float)
+    for _ in range(200):  # plain version
+        for axis, name in enumerate(("source", "lang", "topic")):
+            whole = sum(targets[name].values())
+            for value, t in targets[name].items():
+                at = np.array([r[axis] == value for r in rows])
+                w[at] *= t / whole / w[at].sum()
+    want = {r[:3]: x for r, x in zip(rows, w)}
+    assert all(r.w == pytest.approx(want[r.source, r.lang, r.topic], rel=1e-5) for r in got) and len(got) == len(rows)
+
+
+def test_mixture_meets_targets(spark):
+    docs = llm.table(spark, "/root/testdata/sf0.01", "documents")
+    mix = mixing.mixture(docs, {"source": {f"src{k}": 1 + k % 3 for k in range(20)}}, share=0.4)
+    got = mix.toPandas()
+    assert (got.n_tokens * got.prob).sum() / got.n_tokens.sum() == pytest.approx(0.4, abs=0.01)
+    meant = (got.n_tokens * got.prob * got.weight).groupby(got.source).sum()
+    goal = {f"src{k}": 1 + k % 3 for k in range(20)}
+    assert all(meant[s] / meant.sum() == pytest.approx(goal[s] / sum(goal.values()), abs=1e-3) for s in goal)
+    assert mixing.sampled(docs, mix).columns == [*docs.columns, "mix_weight"] and mixing.sampled(docs, mix).count() == got.selected.sum()

@@ -7,6 +7,7 @@ column ``doc``. Parsing is narrow work: one ``from_json`` per document reads onl
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping
 
 import pandas as pd
@@ -19,11 +20,24 @@ from loanmart.contracts import NUMBER_COLUMNS, Entity
 
 # -- paths ------------------------------------------------------------------------------------------------------------
 
+def steps(path: str) -> list[str]:
+    """The keys of a dotted path; a key that holds a dot is written in backquotes."""
+    return [quoted or plain for quoted, plain in re.findall(r"`([^`]*)`|([^.`]+)", path)]
+
+
+def _step(key: str) -> str:
+    return f"`{key}`" if "." in key else key
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _tree(paths: Iterable[str]) -> dict:
     tree: dict = {}
-    for path in sorted(set(paths), key=lambda p: p.count(".")):
+    for path in sorted(set(paths), key=lambda p: len(steps(p))):
         node = tree
-        *inner, leaf = path.split(".")
+        *inner, leaf = steps(path)
         for name in inner:
             node = node.setdefault(name, {})
             if node is None:
@@ -44,7 +58,7 @@ def path_schema(paths: Iterable[str]) -> T.StructType:
 
 
 def _ref(root: str, path: str) -> str:
-    return ".".join([root, *[f"`{p}`" for p in path.split(".")]])
+    return ".".join([root, *[f"`{p}`" for p in steps(path)]])
 
 
 def _at(root: str, path: str) -> Column:
@@ -54,21 +68,22 @@ def _at(root: str, path: str) -> Column:
 def json_path(doc: Column | str, path: str) -> Column:
     """One dotted path as text; null when any step is missing or no object."""
     doc = F.col(doc) if isinstance(doc, str) else doc
-    return F.get_json_object(doc, "$" + "".join(f"['{p}']" for p in path.split(".")))
+    return F.get_json_object(doc, "$" + "".join(f"['{p}']" for p in steps(path)))
 
 
 def path_exists(doc: Column | str, path: str) -> Column:
-    """True when the path is present, also when its value is JSON null."""
+    """True when the path is present, also when its value is JSON null or its key occurs twice."""
     doc = F.col(doc) if isinstance(doc, str) else doc
-    value = F.try_variant_get(F.try_parse_json(doc), "$" + "".join(f"['{p}']" for p in path.split(".")), "variant")
-    return value.isNotNull()
+    *inner, leaf = steps(path)
+    parent = json_path(doc, ".".join(map(_step, inner))) if inner else doc
+    return F.coalesce(F.array_contains(F.json_object_keys(parent), leaf), F.lit(False))
 
 
 def select_paths(docs: DataFrame, paths: Mapping[str, str], keep: Iterable[str] = (), doc: str = "doc") -> DataFrame:
     """Read many paths with one parse: ``{output column: dotted path}``, all as text."""
     keep = list(keep)
     parsed = docs.select(*keep, F.from_json(F.col(doc), path_schema(paths.values())).alias("_d"))
-    return parsed.selectExpr(*[f"`{c}`" for c in keep], *[f"{_ref('_d', p)} as `{out}`" for out, p in paths.items()])
+    return parsed.selectExpr(*[f"`{c}`" for c in keep], *[f"{_ref('_d', p)} as {_quoted(out)}" for out, p in paths.items()])
 
 
 # -- one or many ------------------------------------------------------------------------------------------------------
@@ -83,14 +98,36 @@ def one_or_many(container: Column | str, fields: Iterable[str]) -> Column:
     return F.from_json(container, schema)
 
 
+def elements(container: Column | str) -> Column:
+    """The elements of a one-or-many container, each as JSON text; anything but a list is one element.
+
+    Null, blank and JSON null give null. An element is an object if its text begins with a brace.
+    """
+    container = F.col(container) if isinstance(container, str) else container
+    text = F.btrim(container, F.lit(" \t\r\n"))
+    one = F.array(text)
+    many = F.coalesce(F.from_json(text, T.ArrayType(T.StringType())), one)
+    each = F.transform(F.when(text.startswith("["), many).otherwise(one), lambda x: F.coalesce(x, F.lit("null")))
+    return F.when(text.isNotNull() & ~text.isin("", "null"), each)
+
+
+def _is_object(element: Column) -> Column:
+    return F.coalesce(element.startswith("{"), F.lit(False))
+
+
 def containers(docs: DataFrame, entities: Iterable[Entity], path: str | None = None) -> DataFrame:
-    """Parent values (``_s_<source>``) and raw child text (``_r_<path>``) of several entities, from one parse."""
+    """Parent values (``_s_<source>``) and raw child text (``_r_<path>``) of several entities, from one parse.
+
+    ``_k_<key>`` are the document's own keys and ``_bad`` its text where it is no JSON object, for rejects.
+    """
     entities = list(entities)
     sources = list(dict.fromkeys(p for e in entities for p in e.parents.values()))
     paths = list(dict.fromkeys(path or e.path for e in entities))
     inside = [p for p in sources if p not in docs.columns]
     parsed = docs.select(
         *[F.col(p).alias(f"_s_{p}") for p in sources if p not in inside],
+        *[F.col(c).alias(f"_k_{c}") for c in ("_id", "number") if c in docs.columns],
+        F.when(F.json_object_keys("doc").isNull(), F.col("doc")).alias("_bad"),
         F.from_json("doc", path_schema([*paths, *inside])).alias("_d"),
     )
     return parsed.select(
@@ -105,65 +142,62 @@ def unnest(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFram
 
     Two-level entities accept every container shape: one object or a list, at the wrapper and at the child.
     """
-    return explode_container(containers(docs, [entity], path), entity, path)
+    return unnest_split(docs, entity, path)[0]
+
+
+def unnest_rejects(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
+    """What :func:`unnest` cannot read: ``_id``, ``number``, ``entity``, ``reason``, ``raw``."""
+    return unnest_split(docs, entity, path)[1]
 
 
-def explode_container(opened: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
-    """Rows of one entity from the output of :func:`containers`."""
+def unnest_split(docs: DataFrame, entity: Entity, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows and rejects of an entity. Every element of every level is either opened or rejected with its text."""
+    return split_container(containers(docs, [entity], path), entity, path)
+
+
+def split_container(opened: DataFrame, entity: Entity, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows and rejects of one entity from the output of :func:`containers`; each element is parsed once, by itself."""
     made = {c: entity.rename.get(c, c) for c in entity.columns}
     if not entity.child_wins:
         made = {c: f for c, f in made.items() if c not in entity.parents and c not in entity.carry}
     fields = list(dict.fromkeys(made.values()))
-    rows = opened.select(
-        *[F.col(f"`_s_{p}`").alias(f"_p_{out}") for out, p in entity.parents.items()],
-        F.col(f"`_r_{path or entity.path}`").alias("_raw"),
-    )
+    keys = [c for c in opened.columns if c.startswith("_k_")]
+
+    def rejected(frame: DataFrame, reason: str, raw: str) -> DataFrame:
+        return frame.select(*[F.col(k).alias(k[3:]) for k in keys], F.lit(entity.name).alias("entity"), F.lit(reason).alias("reason"),
+                            F.col(raw).alias("raw"))
+
+    rejects = rejected(opened.where(F.col("_bad").isNotNull()), "malformed document", "_bad")
+
+    def spread(frame: DataFrame, held: list[str], raw: Column, wanted: list[str], reason: str) -> DataFrame:
+        """One row for each object in ``raw``, parsed as ``_o``."""
+        nonlocal rejects
+        each = frame.select(*held, F.explode(elements(raw)).alias("_e"))
+        rejects = rejects.unionByName(rejected(each.where(~_is_object(F.col("_e"))), reason, "_e"))
+        schema = T.StructType([T.StructField(f, T.StringType()) for f in wanted])
+        return each.where(_is_object(F.col("_e"))).select(*held, F.from_json("_e", schema).alias("_o"))
+
+    rows = opened.select(*keys, *[F.col(f"`_s_{p}`").alias(f"_p_{out}") for out, p in entity.parents.items()],
+                         F.col(f"`_r_{path or entity.path}`").alias("_raw"))
     held = [c for c in rows.columns if c != "_raw"]
     if entity.nested:
         wrapper, child = entity.nested
         outer = list(dict.fromkeys([*entity.carry.values(), wrapper]))
-        rows = rows.select(*held, F.explode(one_or_many("_raw", outer)).alias("_o"))
-        rows = rows.select(
-            *held,
-            *[_at("_o", f).alias(f"_p_{out}") for out, f in entity.carry.items()],
-            F.explode(one_or_many(_at("_o", wrapper), [child])).alias("_w"),
-        )
-        held = [c for c in rows.columns if c != "_w"]
-        rows = rows.select(*held, _at("_w", child).alias("_raw"))
-    rows = rows.select(*held, F.explode(one_or_many("_raw", fields)).alias("_c"))
+        rows = spread(rows, held, F.col("_raw"), outer, "unreadable child")
+        rows = rows.select(*held, *[_at("_o", f).alias(f"_p_{out}") for out, f in entity.carry.items()], _at("_o", wrapper).alias("_raw"))
+        held = [c for c in rows.columns if c != "_raw"]
+        rows = spread(rows, held, F.col("_raw"), [child], "unreadable wrapper")
+        rows = rows.select(*held, _at("_o", child).alias("_raw"))
+    rows = spread(rows, held, F.col("_raw"), fields, "unreadable child")
 
     def value(c: str) -> str:
-        options = [f"_c.`{made[c]}`"] if c in made else []
+        options = [f"_o.`{made[c]}`"] if c in made else []
         if f"_p_{c}" in held:
             options.append(f"cast(`_p_{c}` as string)")
         out = f"coalesce({', '.join(options)})" if options else "cast(null as string)"
         return f"{f'try_cast({out} as bigint)' if c in NUMBER_COLUMNS else out} as `{c}`"
 
-    return rows.selectExpr(*[value(c) for c in entity.output])
-
-
-def unnest_rejects(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
-    """Documents the entity cannot read: no valid JSON, or a child that is neither object nor list of objects."""
-    keys = [c for c in ("_id", "number") if c in docs.columns]
-    raw = json_path("doc", path or entity.path)
-    probe = docs.select(
-        *keys,
-        F.col("doc"),
-        F.try_parse_json("doc").isNull().alias("_bad"),
-        F.trim(raw).alias("_raw"),
-    )
-    child = F.col("_raw")
-    odd = (
-        child.isNotNull()
-        & ~child.isin("", "null", "[]", "{}")
-        & ~(child.startswith("{") | child.rlike(r"^\[\s*\{"))
-    )
-    return probe.where(F.col("doc").isNotNull() & (F.col("_bad") | odd)).select(
-        *keys,
-        F.lit(entity.name).alias("entity"),
-        F.when(F.col("_bad"), F.lit("malformed document")).otherwise(F.lit("unreadable child")).alias("reason"),
-        F.coalesce(child, F.col("doc")).alias("raw"),
-    )
+    return rows.selectExpr(*[value(c) for c in entity.output]), rejects
 
 
 # -- shaping ----------------------------------------------------------------------------------------------------------
@@ -233,9 +267,9 @@ def discover_paths(docs: DataFrame, doc: str = "doc") -> list[str]:
     def walk(t: T.StructType, prefix: str):
         for f in t.fields:
             if isinstance(f.dataType, T.StructType):
-                yield from walk(f.dataType, f"{prefix}{f.name}.")
+                yield from walk(f.dataType, f"{prefix}{_step(f.name)}.")
             else:
-                yield prefix + f.name
+                yield prefix + _step(f.name)
 
     return list(walk(schema, ""))
 
@@ -252,7 +286,7 @@ def path_values(docs: DataFrame, keep: Iterable[str] = (), doc: str = "doc",
     """The long form of :func:`flatten_paths`: one row per document and path that holds a value."""
     keep = list(keep)
     wide = flatten_paths(docs, keep, doc, paths)
-    pairs = [F.struct(F.lit(c).alias("path"), F.col(f"`{c}`").alias("value")) for c in wide.columns if c not in keep]
+    pairs = [F.struct(F.lit(c).alias("path"), F.col(_quoted(c)).alias("value")) for c in wide.columns if c not in keep]
     return wide.select(*keep, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
@@ -276,6 +310,30 @@ def _objects_under(node, key: str):
                     yield {k: v for k, v in obj.items() if not isinstance(v, (dict, list))}
 
 
+def _found(key: str):
+    """Objects under a key as JSON texts; null for a document that cannot be walked."""
+
+    def one(text):
+        try:
+            tree = json.loads(text)
+            if not isinstance(tree, (dict, list)):
+                return []
+            return [json.dumps(o, ensure_ascii=False) for o in _objects_under(tree, key)]
+        except (ValueError, RecursionError):
+            return None
+
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return F.pandas_udf(found, T.ArrayType(T.StringType()))
+
+
+def _mentions(docs: DataFrame, key: str, doc: str) -> DataFrame:
+    # a key may be written with escapes, so a document with a backslash has to be read
+    written = json.dumps(key, ensure_ascii=False)
+    return docs.where(F.col(doc).contains(written) | F.col(doc).contains("\\"))
+
+
 def key_search(docs: DataFrame, key: str, fields: Iterable[str], keep: Iterable[str] = (),
                doc: str = "doc") -> DataFrame:
     """Every object stored under ``key`` anywhere in a document, with its atomic fields as text.
@@ -284,26 +342,19 @@ def key_search(docs: DataFrame, key: str, fields: Iterable[str], keep: Iterable[
     that do not mention the key never leave the JVM.
     """
     keep = list(keep)
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def found(texts: pd.Series) -> pd.Series:
-        def one(text):
-            try:
-                tree = json.loads(text)
-            except ValueError:
-                return []
-            if not isinstance(tree, (dict, list)):
-                return []
-            return [json.dumps(o, ensure_ascii=False) for o in _objects_under(tree, key)]
-
-        return texts.map(one)
-
-    mention = docs.where(F.col(doc).contains(json.dumps(key))).select(*keep, doc)
-    hits = mention.select(*keep, F.explode(found(F.col(doc))).alias("_hit"))
+    hits = _mentions(docs, key, doc).select(*keep, F.explode(_found(key)(F.col(doc))).alias("_hit"))
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     return hits.select(*keep, F.from_json("_hit", schema).alias("_f")).select(*keep, "_f.*")
 
 
+def key_search_rejects(docs: DataFrame, key: str, keep: Iterable[str] = (), doc: str = "doc") -> DataFrame:
+    """Documents :func:`key_search` cannot walk: no valid JSON, or nested too deep. ``raw`` holds the text."""
+    read = _mentions(docs, key, doc).select(*keep, F.col(doc).alias("raw"), _found(key)(F.col(doc)).alias("_hits"))
+    return read.where(F.col("_hits").isNull()).drop("_hits")
+
+
 def any_element(container: Column | str, fields: Iterable[str], test) -> Column:
-    """True when some element of a one-or-many container passes ``test(element)``."""
-    return F.coalesce(F.exists(one_or_many(container, fields), test), F.lit(False))
+    """True when some object of a one-or-many container passes ``test(element)``; other elements are passed over."""
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    objects = F.filter(elements(container), _is_object)
+    return F.coalesce(F.exists(F.transform(objects, lambda x: F.from_json(x, schema)), test), F.lit(False))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanmart.functions.scalars import number_from_text
 
@@ -16,10 +17,12 @@ def high_watermark(target: DataFrame, key: str) -> DataFrame:
 def incremental(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Source rows above the target's largest key; all of them when the target is empty.
 
-    The mark is a scalar subquery, so nothing is collected by hand and the filter still reaches the scan.
+    The mark is a scalar subquery, so nothing is collected by hand and the filter still reaches the scan where the key
+    is a number; text keys compare as numbers.
     """
     high = high_watermark(target, key).scalar()
-    return source.where(F.col(key) > F.coalesce(high, F.lit(-(2**63))))
+    text = isinstance(source.schema[key].dataType, T.StringType)
+    return source.where((number_from_text(F.col(key)) if text else F.col(key)) > F.coalesce(high, F.lit(-(2**63))))
 
 
 def between_keys(source: DataFrame, key: str, above: int, upto: int | None = None) -> DataFrame:

@@ -16,34 +16,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     null; other source rows are inserted. A null key matches nothing. A key that occurs twice in the source raises an
     error when the result is computed.
 
-    The target is read by a left join, so a small source is broadcast by Spark and the target is not shuffled.
+    One full outer join gives updated and inserted rows, so both sides are read once.
     """
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
     update = cols if update_cols is None else list(update_cols)
-    source = source.select(*target.columns)
     no_key = " or ".join(f"`{k}` is null" for k in keys)
 
-    counted = source.where(f"not ({no_key})").groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.any_value(F.struct(*cols)).alias("_s")
-    )
-    once = F.when(F.col("_n") == 1, F.lit(True)).otherwise(
+    # rows with a null key stay apart: they are no duplicates of each other
+    apart = source.select(*target.columns).withColumn("_apart", F.when(F.expr(no_key), F.monotonically_increasing_id()))
+    counted = apart.groupBy(*keys, "_apart").agg(F.count("*").alias("_n"), F.any_value(F.struct(*cols)).alias("_s"))
+    once = F.when((F.col("_n") == 1) | F.col("_apart").isNotNull(), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("duplicate source key "), F.to_json(F.struct(*keys)))).cast("boolean")
     )
     src = counted.select(*keys, F.col("_s"), once.alias("_hit"))
+    merged = target.select(*keys, F.struct(*cols).alias("_t"), F.lit(True).alias("_old")).join(src, keys, "full_outer")
+    old, hit = F.col("_old").isNotNull(), F.coalesce("_hit", F.lit(False))
 
-    merged = target.join(src, keys, "left")
-    updated = merged.select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_s.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            if c in update else F.col(f"`{c}`")
-            for c in target.columns
-        ]
-    )
-    matched = target.select(*keys).join(src.select(*keys), keys, "left_semi")
-    new = src.join(matched, keys, "left_anti").where("_hit")
-    inserted = new.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_s.`{c}`").alias(c) for c in target.columns])
-    return updated.unionByName(inserted).unionByName(source.where(no_key))
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.col(f"`{c}`")
+        mine, new = F.col(f"_t.`{c}`"), F.col(f"_s.`{c}`")
+        return F.when(hit & (~old | F.lit(c in update)), new).otherwise(mine).alias(c)
+
+    return merged.select(*[value(c) for c in target.columns])
 
 
 def reject_split(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:

@@ -25,9 +25,10 @@ def as_of(balances: DataFrame, date: str | dt.date, start: str = "dati", end: st
 
 
 def balance_on(balances: DataFrame, date: str | dt.date, per: int = 100) -> DataFrame:
-    """One absolute balance in major units per account on a date. Overlapping intervals: the latest start counts."""
+    """One absolute balance in major units per account on a date. Overlapping intervals: the latest start counts,
+    then the latest end, then the largest amount."""
     rows = as_of(balances, date)
-    return rows.groupBy(*BALANCE_KEYS).agg((F.abs(F.max_by("saldo", "dati")) / F.lit(per)).alias("balance"))
+    return rows.groupBy(*BALANCE_KEYS).agg((F.abs(F.max_by("saldo", F.struct("dati", "datn", "saldo"))) / F.lit(per)).alias("balance"))
 
 
 def account_by_role(accounts: DataFrame, roles: Sequence[int]) -> DataFrame:
@@ -63,7 +64,7 @@ def days_past_due(balances: DataFrame, date: str | dt.date) -> DataFrame:
     """
     history = balances.where(F.col("dati") <= day(date))
     daily = history.groupBy(*BALANCE_KEYS, "dati").agg(
-        F.max("datn").alias("datn"), F.max_by("saldo", "datn").alias("saldo")
+        F.max("datn").alias("datn"), F.max_by("saldo", F.struct("datn", "saldo")).alias("saldo")
     )
     back = Window.partitionBy(*BALANCE_KEYS).orderBy("dati")
     debt = F.coalesce(F.col("saldo") != 0, F.lit(False))

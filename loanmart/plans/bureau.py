@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.contracts import CACHE_ID_PATH, ENTITIES, HINT_PATH, Entity
-from loanmart.operators.documents import containers, explode_container, json_path, path_exists, unnest
+from loanmart.operators.documents import containers, json_path, path_exists, split_container, unnest, unnest_split
 from loanmart.operators.incremental import backfill, incremental, only_keys
 from loanmart.session import settled
 
@@ -32,14 +32,24 @@ def bureau_table(docs: DataFrame, name: str | Entity, path: str | None = None) -
     return unnest(docs, entity(name), path)
 
 
+def bureau_split(docs: DataFrame, name: str | Entity, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows and rejects of one bureau table."""
+    return unnest_split(docs, entity(name), path)
+
+
 def bureau_tables(docs: DataFrame, *names: str | Entity) -> dict[str, DataFrame]:
-    """Rows of several bureau tables with one pass over the documents.
+    """Rows of several bureau tables with one pass over the documents; see :func:`bureau_tables_split`."""
+    return {name: rows for name, (rows, _) in bureau_tables_split(docs, *names).items()}
+
+
+def bureau_tables_split(docs: DataFrame, *names: str | Entity) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Rows and rejects of several bureau tables with one pass over the documents.
 
     The raw children are written column by column; each table then reads its own column only.
     """
     wanted = [entity(n) for n in names]
     opened = settled(containers(docs, wanted), "bureau")
-    return {e.name: explode_container(opened, e) for e in wanted}
+    return {e.name: split_container(opened, e) for e in wanted}
 
 
 def new_rows(docs: DataFrame, loaded: DataFrame, name: str | Entity) -> DataFrame:

@@ -9,24 +9,32 @@ import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DOC_SCHEMA = "_id string, number bigint, created timestamp, doc string"
 
 
+def plain_json(doc: Column) -> Column:
+    """Extended JSON scalars (``{"$numberLong": "5"}``, ``{"$date": "..."}`` and the like) as their plain values."""
+    wrapped = r'\{\s*"\$(?:oid|date|numberLong|numberInt|numberDouble|numberDecimal)"\s*:\s*("[^"]*"|[-0-9.eE+]+)\s*\}'
+    inner = F.regexp_replace(doc, wrapped, "$1")  # a date may hold a wrapped number
+    return F.regexp_replace(inner, wrapped, "$1")
+
+
 def read_docs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Documents with key columns beside the JSON text, so key filters reach the scan.
 
     ``parquet`` or ``orc`` hold the columns of ``DOC_SCHEMA``; ``json`` holds one whole document per line.
     """
     if fmt == "json":
-        lines = spark.read.text(path).withColumnRenamed("value", "doc")
+        lines = spark.read.text(path).select(plain_json(F.col("value")).alias("doc"))
+        when = F.get_json_object("doc", "$.created")
         return lines.select(
-            F.coalesce(F.get_json_object("doc", "$._id['$oid']"), F.get_json_object("doc", "$._id")).alias("_id"),
+            F.get_json_object("doc", "$._id").alias("_id"),
             F.get_json_object("doc", "$.number").try_cast("bigint").alias("number"),
-            F.get_json_object("doc", "$.created").try_cast("timestamp").alias("created"),
+            F.when(when.rlike("^-?[0-9]+$"), F.timestamp_millis(when.try_cast("bigint"))).otherwise(when.try_cast("timestamp")).alias("created"),
             F.col("doc"),
         )
     return spark.read.format(fmt).load(path)
@@ -40,7 +48,7 @@ def read_collection(spark: SparkSession, options: Mapping[str, str], fmt: str =
         F.col("number").cast("bigint").alias("number"),
         F.col("created").cast("timestamp").alias("created") if "created" in raw.columns
         else F.lit(None).cast("timestamp").alias("created"),
-        F.to_json(F.struct("*")).alias("doc"),
+        F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSS", "timeZone": "UTC"}).alias("doc"),
     )
 
 

@@ -1,4 +1,7 @@
-"""Sinks and write modes. Every write is atomic per job and safe to repeat unless it is an append by nature."""
+"""Sinks and write modes. Writes are safe to repeat unless they append by nature.
+
+Replacing a plain path deletes before it writes; a job that must never leave a gap writes to a new place instead.
+"""
 
 from __future__ import annotations
 
@@ -46,7 +49,13 @@ def create_table(spark: SparkSession, name: str, columns: Sequence[str] | T.Stru
 def truncate(spark: SparkSession, name: str) -> None:
     """Remove all rows, keep the table (also an external one)."""
     schema = spark.read.table(valid_identifier(name)).schema
-    spark.createDataFrame([], schema).write.insertInto(name, overwrite=True)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")  # a dynamic overwrite by no rows would replace no partition
+    try:
+        spark.createDataFrame([], schema).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -10,26 +10,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 def arriving(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet", glob: str | None = None,
              files_per_batch: int | None = None) -> DataFrame:
-    """A stream of the files in a folder."""
+    """A stream of the files in a folder, with ``source_file`` and the time it ``arrived``."""
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.load(path).select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("arrived"))
 
 
 def load_available(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Load all files that are there now, then stop.
 
-    Each micro-batch replaces its own ``batch_id`` partition: a batch that is run again after a lost executor or driver
-    leaves the same rows, and no batch rewrites what earlier ones loaded.
+    Every source file has a partition of its own, and a batch replaces those of its files only. A batch that is run again
+    after a lost executor or driver, or a load with a new checkpoint, leaves the same rows and never touches what other
+    files brought.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+        batch.withColumn("file_key", F.hex(F.xxhash64("source_file"))).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(target)
+        ).partitionBy("file_key").parquet(target)
 
     return (
         stream.writeStream.foreachBatch(store)
@@ -40,12 +41,12 @@ def load_available(stream: DataFrame, target: str, checkpoint: str) -> Streaming
 
 
 def latest(loaded: DataFrame, keys: list[str]) -> DataFrame:
-    """The table as an upsert by key would leave it: per key the row of the newest batch.
+    """The table as an upsert by key would leave it: per key the row of the newest file.
 
-    Rows of one key in one batch are ordered by their remaining columns, largest last.
+    Files that arrived together are ordered by path, rows of one key in one file by their remaining columns, largest last.
     """
-    rest = [c for c in loaded.columns if c not in (*keys, "batch_id")]
-    newest = loaded.groupBy(*keys).agg(F.max(F.struct("batch_id", *rest)).alias("_row"))
+    rest = [c for c in loaded.columns if c not in (*keys, "file_key", "source_file", "arrived")]
+    newest = loaded.groupBy(*keys).agg(F.max(F.struct("arrived", "source_file", *rest)).alias("_row"))
     return newest.select(*keys, *[F.col(f"_row.`{c}`") for c in rest])
 
 

@@ -103,7 +103,7 @@ def test_rejects(spark):
     bad = unnest_rejects(docs(spark, good, "{broken", json.dumps(at(e.path, "text")), json.dumps(at(e.path, [1, 2])),
                               json.dumps(at(e.path, "")), "{}", raw=True), e)
     assert sorted((r.number, r.reason) for r in bad.collect()) == [
-        (1, "malformed document"), (2, "unreadable child"), (3, "unreadable child")]
+        (1, "malformed document"), (2, "unreadable child"), (3, "unreadable child"), (3, "unreadable child")]
 
 
 def test_paths(spark):

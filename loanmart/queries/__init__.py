@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("marts", "bureau", "scalars", "relational", "loads")
+MODULES = ("marts", "bureau", "scalars", "relational", "loads", "lifecycle")
 
 
 def catalogue():

@@ -31,6 +31,7 @@ from loanmart.session import settled
 
 AXES = ("source", "lang", "topic")
 SIZE = 64
+INNER_ROUNDS = 500
 _SKETCH = "doc_id long, source string, lang string, t1 long, t2 long, n_tokens long, sketch binary"
 
 
@@ -170,10 +171,15 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping] | None = None, power:
         off = max(np.abs(m.sum(axis=1) - goal_l).max(), np.abs(m.sum(axis=0) - goal_t).max())
         if off <= tolerance:
             break
-        pull = np.divide(goal_l, m.sum(axis=1), out=np.zeros_like(goal_l), where=m.sum(axis=1) > 0)
-        m *= pull[:, None]
-        factor_l = factor_l * pull
-        factor_t = factor_t * np.divide(goal_t, m.sum(axis=0), out=np.zeros_like(goal_t), where=m.sum(axis=0) > 0)
+        # the two code sets may pull against each other: they are raked to the end on their own table before the next pass
+        for _ in range(INNER_ROUNDS):
+            pull_l = np.divide(goal_l, m.sum(axis=1), out=np.zeros_like(goal_l), where=m.sum(axis=1) > 0)
+            m *= pull_l[:, None]
+            pull_t = np.divide(goal_t, m.sum(axis=0), out=np.zeros_like(goal_t), where=m.sum(axis=0) > 0)
+            m *= pull_t[None, :]
+            factor_l, factor_t = factor_l * pull_l, factor_t * pull_t
+            if np.abs(m.sum(axis=1) - goal_l).max() <= tolerance / 10:
+                break
     last = factor_l, factor_t
 
     def final(batches):

@@ -135,29 +135,25 @@ def smith_waterman(item: np.ndarray, windows: np.ndarray, cost: float = COST) ->
 
 
 def _aligned(batches):
-    """Score each window (``words`` from ``low`` to ``high``) with its item; windows of an item are aligned together."""
+    """Score each window (``words``, from word ``first`` of the document) with its item; windows of an item are aligned together."""
     for batch in batches:
         if not batch.num_rows:
             continue
         item = batch.column("item_id").to_numpy()
-        low, high = (np.maximum(batch.column(c).to_numpy(), 0) for c in ("low", "high"))
-        runs, tests = batch.column("words"), batch.column("item_words")
+        lists, tests = batch.column("words"), batch.column("item_words")
+        held, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         score, end = np.zeros(len(item)), np.zeros(len(item), dtype=np.int64)
         for i in np.unique(item):
             at = np.flatnonzero(item == i)
             test = np.array(tests[int(at[0])].as_py(), dtype=np.int64)
-            for part in np.array_split(at, max(1, len(at) * int((high - low)[at].max()) // 200_000 + 1)):
-                if not len(part):
-                    continue
-                cut = [runs[int(r)].values.to_numpy()[low[r]:high[r]] for r in part]
-                width = max(map(len, cut))
-                # the fill must not be a word: it is unequal to every word of the item
-                fill = next(x for x in range(len(test) + 1) if x not in set(test.tolist()))
-                grid = np.full((len(part), width), fill, dtype=np.int64)
-                for g, c in zip(grid, cut):
-                    g[:len(c)] = c
+            # the fill must not be a word: it is unequal to every word of the item
+            fill = next(x for x in range(len(test) + 1) if x not in set(test.tolist()))
+            for part in np.array_split(at, len(at) * int(np.diff(ends)[at].max()) // 200_000 + 1):
+                grid = np.full((len(part), int(np.diff(ends)[part].max(initial=0))), fill, dtype=np.int64)
+                for g, r in zip(grid, part):
+                    g[:ends[r + 1] - ends[r]] = held[ends[r]:ends[r + 1]]
                 best, stop = smith_waterman(test, grid)
-                score[part], end[part] = best / len(test), stop + low[part]
+                score[part], end[part] = best / len(test), stop
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "item_id")), pa.array(score),
                                           pa.array(end + batch.column("first").to_numpy(), pa.int64()), batch.column("seeds"), batch.column("n_items")],
                                          ["doc_id", "row", "item_id", "score", "end_word", "seeds", "n_items"])
@@ -198,8 +194,11 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
                                                                       F.max(F.col("at") - F.col("ipos")).alias("d2"))
     slack = F.ceil(F.col("n") / 4).cast("int") + 1
     windows = marks.select("pid", "item_id", "seeds", (F.col("d1") - slack).alias("low"), (F.col("d2") + F.col("n") + slack).alias("high"))
-    pairs = windows.join(passages.select("pid", "doc_id", "row", "first", "words"), "pid").join(sized.drop("n"), "item_id")
-    scored = pairs.select("doc_id", "row", "item_id", "first", "low", "high", "words", "item_words", "seeds", "n_items").mapInArrow(
+    # each window takes its own words along, so a passage of many windows is not repeated whole
+    low = F.greatest("low", F.lit(0))
+    cut = windows.join(passages.select("pid", "doc_id", "row", "first", "words"), "pid").select(
+        "doc_id", "row", "item_id", (F.col("first") + low).alias("first"), F.slice("words", low + 1, F.col("high") - low).alias("words"), "seeds")
+    scored = cut.join(sized.drop("n"), "item_id").select("doc_id", "row", "item_id", "first", "words", "item_words", "seeds", "n_items").mapInArrow(
         _aligned, "doc_id long, row long, item_id long, score double, end_word long, seeds long, n_items long")
     best = scored.where(F.col("score") >= min_score).groupBy("row", "item_id").agg(
         F.max(F.struct("score", "end_word")).alias("b"), F.max("seeds").alias("seeds"), F.max("n_items").alias("n_items"), F.max("doc_id").alias("doc_id"))

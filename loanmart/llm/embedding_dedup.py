@@ -2,11 +2,12 @@
 
 Method: vectors of length 1 are turned by the eigenvectors of their second moments, largest first, which keeps cosines.
 A product then gathers leading coordinates first; what is still missing is at most the product of the two suffix norms,
-so a comparison stops as soon as the limit is out of reach. The same bound prunes whole tiles: vectors are cut into
-blocks by a tree over the leading coordinates (split points from a bounded sample, every vector indexed), and two
-blocks meet only if their boxes and largest suffix norms allow the limit. Blocks hold about ``BLOCK`` vectors whatever
-the data; a tile is one unit of work and returns link counts and a spanning forest, never the pairs. Survivors are
-verified in double precision on the vectors as given. Equal vectors are one class with a count.
+so a comparison stops as soon as the limit is out of reach. The same bound prunes whole tiles: a tree over the leading
+coordinates (split points from a bounded sample, so at most ``SAMPLE`` / ``LEAST`` leaves; every vector indexed) gives
+leaves, and two leaves meet only if their boxes and largest suffix norms allow the limit. Leaves are cut into blocks of
+about ``BLOCK`` vectors whatever the data; a pair of blocks is a tile. Tiles are made by Spark, the driver holds split
+points and axes only. A tile is one unit of work and returns link counts and a spanning forest, never the pairs.
+Survivors are verified in double precision on the vectors as given. Equal vectors are one class with a count.
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or differ in length from the most
 common length (ties: the longer) link with nothing, nor do rows with a null ``vec_id``: they have no links and are their
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 from loanmart.llm.graph import components
 from loanmart.session import settled
 
-#: Vectors in a block, coordinates in a step and in a block's box, vectors read for the tree's split points.
-BLOCK, STEP, BOX, SAMPLE = 4096, 16, 8, 20_000
+#: Vectors in a block, coordinates in a step and in a leaf's box, vectors read for the tree's split points, and least such
+#: vectors for a leaf.
+BLOCK, STEP, BOX, SAMPLE, LEAST = 4096, 16, 8, 20_000, 8
 _SLACK = 1e-9
 
 
@@ -166,6 +168,19 @@ def _tile(axes: np.ndarray, limit: float, part: int = 512):
     return run
 
 
+def _tiles(boxes: DataFrame, leaves: int, width: int, limit: float) -> DataFrame:
+    """``t1``, ``t2``: blocks (leaf:part) that may hold a link. ``boxes`` has a row for each of at most ``leaves`` leaves."""
+    a, b = (boxes.select(*[F.col(c).alias(f"{side}_{c}") for c in boxes.columns]) for side in "ab")
+    corners = [F.greatest(*[F.col(f"a_{x}{k}") * F.col(f"b_{y}{k}") for x in ("lo", "hi") for y in ("lo", "hi")]) for k in range(width)]
+    most = sum(corners, start=F.col("a_rest") * F.col("b_rest"))
+    met = a.withColumn("b_leaf", F.explode(F.sequence("a_leaf", F.lit(leaves - 1).cast("long")))).join(b, "b_leaf").where(most >= limit - _SLACK)
+    # many parts of one leaf are dealt out before they meet
+    firsts = met.select("a_leaf", "b_leaf", "b_parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("a_parts") - 1)).alias("p")).repartition("a_leaf", "b_leaf", "p")
+    low = F.when(F.col("a_leaf") == F.col("b_leaf"), F.col("p")).otherwise(0)
+    both = firsts.select("a_leaf", "b_leaf", "p", F.explode(F.sequence(low, F.col("b_parts") - 1)).alias("q"))
+    return both.select(F.concat_ws(":", "a_leaf", "p").alias("t1"), F.concat_ws(":", "b_leaf", "q").alias("t2"))
+
+
 def embedding_components(vectors: DataFrame, limit: float = 0.9, block: int = BLOCK) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` of each row of ``vectors`` (``vec_id``, ``embedding``)."""
     spark = vectors.sparkSession
@@ -184,7 +199,7 @@ def embedding_components(vectors: DataFrame, limit: float = 0.9, block: int = BL
     total = classes.count()
     some = classes.orderBy(F.xxhash64("x"), "cid").limit(SAMPLE).select("x").collect()
     leaves = 1
-    while leaves * block < total:
+    while leaves * block < total and leaves * 2 * LEAST <= SAMPLE:
         leaves *= 2
     splits = _tree((_units([bytes(r.x) for r in some], d)[1] @ axes)[:, :BOX], leaves)
     width = min(BOX, d)
@@ -201,20 +216,13 @@ def embedding_components(vectors: DataFrame, limit: float = 0.9, block: int = BL
 
     schema = "cid long, m long, x binary, leaf long, rest double, " + ", ".join(f"y{k} double" for k in range(width))
     placed = settled(classes.select("cid", "m", "x").mapInArrow(place, schema), "placed")
-    # one row for each leaf, that is for about `block` vectors
-    boxes = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.max("rest").alias("rest"), *[f(f"y{k}").alias(f"{g}{k}") for k in range(width) for f, g in ((F.min, "lo"), (F.max, "hi"))]).orderBy("leaf").collect()
-    lo, hi = (np.array([[r[f"{g}{k}"] for k in range(width)] for r in boxes]) for g in ("lo", "hi"))
-    rest, number = np.array([r.rest for r in boxes]), np.array([-(-r.n // block) for r in boxes])
-    tiles = []
-    for i in range(len(boxes)):
-        top = np.maximum(np.maximum(lo[i] * lo[i:], lo[i] * hi[i:]), np.maximum(hi[i] * lo[i:], hi[i] * hi[i:])).sum(axis=1)
-        for j in i + np.flatnonzero(top + rest[i] * rest[i:] >= limit - _SLACK):
-            for p in range(number[i]):
-                tiles += [(int(boxes[i].leaf), p, int(boxes[j].leaf), q) for q in range(p if i == j else 0, number[j])]
-    cut = spark.createDataFrame([(int(r.leaf), int(n)) for r, n in zip(boxes, number)], "leaf long, parts int")
-    blocked = placed.select("cid", "m", "x", "leaf").join(cut, "leaf").select(
+    # one row for each leaf
+    boxed = placed.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"), F.max("rest").alias("rest"),
+                                       *[f(f"y{k}").alias(f"{g}{k}") for k in range(width) for f, g in ((F.min, "lo"), (F.max, "hi"))])
+    boxes = settled(boxed, "boxes")
+    blocked = placed.select("cid", "m", "x", "leaf").join(boxes.select("leaf", "parts"), "leaf").select(
         "cid", "m", "x", F.concat_ws(":", "leaf", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("block"))
-    pairs = spark.createDataFrame([(f"{a}:{p}", f"{b}:{q}") for a, p, b, q in tiles] or [("", "")], "t1 string, t2 string")
+    pairs = _tiles(boxes, leaves, width, limit)
     sides = pairs.select("t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("block"))
     found = settled(blocked.join(sides, "block").groupBy("t1", "t2").applyInPandas(_tile(axes, limit), "cid long, linked long, star long"), "links")
     roots = components(found.select(F.col("cid").alias("a"), F.col("star").alias("b")))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loanmart import contracts as ct
-from loanmart.fixtures import spread, table
+from loanmart.fixtures import table
 
 T = "string"
 
@@ -208,7 +208,7 @@ def docs(spark: SparkSession, sf_dir: str, *sections: str, values: dict[str, str
         if cached:
             path = path.replace(ct.REPORT_077, ct.CACHE_077)
         raw[path] = _child(name, second)
-    orders = spread(table(spark, sf_dir, "orders")).selectExpr("o_orderkey as k", "*")
+    orders = table(spark, sf_dir, "orders").repartition("o_orderkey").selectExpr("o_orderkey as k", "*")
     return orders.selectExpr(
         "cast(k as string) as _id", "k as number", "cast(o_orderdate as timestamp) as created", f"{_nest(raw)} as doc"
     )

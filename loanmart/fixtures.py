@@ -157,12 +157,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return known[sf_dir, name]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a table is one small file; a table of many splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _used(text: str) -> list[str]:
     return [t for t in TABLES if "{" + t + "}" in text]
 
@@ -170,8 +164,6 @@ def _used(text: str) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name].replace("{explode}", "explode").replace("{array}", "array")
     frames = {t: table(spark, sf_dir, t) for t in _used(text)}
-    if "lineitem" in frames:
-        frames["lineitem"] = spread(frames["lineitem"])
     return spark.sql(text, **frames)
 
 

@@ -1,7 +1,7 @@
 """Ranks, first rows and running totals that hold up when one key has a large part of all rows.
 
 A window sends all rows of a key to one task. The functions here aggregate first (partial aggregation runs before the
-shuffle), so what is left per key is bounded by distinct days, by ``k``, or by the number of value bands.
+shuffle), so what is left per key is bounded by distinct days or by ``k``, or is dealt by range of values.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanmart.session import settled
+
 
 def first_per_group(df: DataFrame, keys: Sequence[str], descending: Sequence[str], pick: str) -> DataFrame:
     """The ``pick`` value of the first row per key, sorted by the ``descending`` columns with nulls last.
@@ -45,27 +47,22 @@ def running_total(df: DataFrame, keys: Sequence[str], day: str, amount: str, out
     return daily.select(*keys, day, (total if scale == 1 else total / F.lit(scale)).alias(out))
 
 
-def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", bands: int = 64) -> DataFrame:
+def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank") -> DataFrame:
     """Dense rank of every distinct value per key, ascending with nulls last; one output row per (key, value).
 
-    Distinct values are cut into ``bands`` by approximate quantiles over all pairs. Ranks are counted inside each
-    (key, band) and shifted by the number of values in the lower bands, so no task sees all values of a key. The
-    quantiles steer the split only; ranks are exact.
+    Distinct pairs are dealt by range of key and value, so the number of ranges follows the session's partitions and a
+    key with most pairs lies in most of them. Ranks are counted inside each (key, range) and shifted by the number of
+    values in the ranges before. The dealt pairs are written once, as ranges are sampled anew when a plan runs twice.
     """
-    pairs = df.select(*keys, value).distinct()
-    cuts = pairs.agg(
-        F.percentile_approx(F.col(value), [i / bands for i in range(1, bands)], F.lit(10000)).alias("c")
-    ).scalar()
-    v = F.col(value)
-    # nulls get a band of their own above all others
-    band = F.when(v.isNull(), F.lit(bands)).otherwise(F.size(F.filter("_cuts", lambda x: x < v)))
-    cut = pairs.withColumn("_cuts", cuts).withColumn("_band", band).drop("_cuts")
-    sizes = cut.groupBy(*keys, "_band").agg(F.count("*").alias("_n"))
-    below = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(*keys, "_band", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*keys, "_band").orderBy(v.asc_nulls_last())
+    place = [*[F.col(k) for k in keys], F.col(value).asc_nulls_last()]
+    dealt = df.select(*keys, value).distinct().repartitionByRange(*place)
+    cut = settled(dealt.withColumn("_range", F.spark_partition_id()), "dense-ranks")
+    sizes = cut.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    below = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(F.col(value).asc_nulls_last())
     ranked = cut.withColumn("_r", F.row_number().over(inside))
-    same = [ranked[k].eqNullSafe(shift[k]) for k in [*keys, "_band"]]
+    same = [ranked[k].eqNullSafe(shift[k]) for k in [*keys, "_range"]]
     joined = ranked.join(shift, same, "inner")
     return joined.select(
         *[ranked[k] for k in keys], ranked[value], (F.col("_r") + F.col("_shift")).cast("int").alias(out)

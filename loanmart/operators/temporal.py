@@ -48,12 +48,18 @@ def role_pivot(accounts: DataFrame, roles: Mapping[int, str]) -> DataFrame:
 def first_movement(loans: DataFrame, balances: DataFrame) -> DataFrame:
     """First day on or after disbursement on which the loan account moved, per loan (glob_id, first_movement).
 
-    Movements are reduced to distinct days per account before the range join.
+    Days of movement and days of disbursement are set in one order per account, each once, and the next movement is the
+    minimum of what follows: a shared account costs its days, not its loans times its days.
     """
-    moves = balances.where(F.col("obor_d") != 0).select(*BALANCE_KEYS, "dati").distinct()
     loan = loans.select("glob_id", "id_mfo", F.col("acc_new").alias("account"), "date_vyd_d")
-    hit = loan.join(moves, list(BALANCE_KEYS), "inner").where(F.col("dati") >= F.col("date_vyd_d"))
-    return hit.groupBy("glob_id").agg(F.min("dati").alias("first_movement"))
+    asked = loan.select(*BALANCE_KEYS, F.col("date_vyd_d").alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    moves = balances.where(F.col("obor_d") != 0).select(*BALANCE_KEYS, "dati").join(asked, list(BALANCE_KEYS), "left_semi")
+    days = asked.withColumn("_moved", F.lit(None).cast("date")).unionByName(
+        moves.distinct().select(*BALANCE_KEYS, F.col("dati").alias("_day"), F.col("dati").alias("_moved")))
+    on = Window.partitionBy(*BALANCE_KEYS).orderBy("_day").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    nearest = days.withColumn("_next", F.min("_moved").over(on)).where(F.col("_moved").isNull() & F.col("_next").isNotNull())
+    hit = loan.join(nearest.select(*BALANCE_KEYS, F.col("_day").alias("date_vyd_d"), "_next"), [*BALANCE_KEYS, "date_vyd_d"])
+    return hit.groupBy("glob_id").agg(F.min("_next").alias("first_movement"))
 
 
 def days_past_due(balances: DataFrame, date: str | dt.date) -> DataFrame:

@@ -56,10 +56,13 @@ def loan_balances(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, saldo
     by_role = keys.join(roles, "glob_id")
     main = loans.select("glob_id", "id_mfo", "kod_vals", F.lit(MAIN_ACCOUNT).alias("kod_acc"),
                         F.col("acc_new").alias("account"))
-    local = by_role.unionByName(main).join(balance_on(saldo, date), ["id_mfo", "account"])
+    # balances are cut to the accounts of open loans before they are reduced
+    local = by_role.unionByName(main)
+    local = local.join(balance_on(saldo.join(local, ["id_mfo", "account"], "left_semi"), date), ["id_mfo", "account"])
     nominal = by_role.where(
         F.col("kod_acc").isin(*NOMINAL) & (~F.col("kod_acc").isin(*FOREIGN_ONLY) | (F.col("kod_vals") != 0))
-    ).join(balance_on(saldo_val, date), ["id_mfo", "account"])
+    )
+    nominal = nominal.join(balance_on(saldo_val.join(nominal, ["id_mfo", "account"], "left_semi"), date), ["id_mfo", "account"])
     role, amount = F.col("kod_acc"), F.col("balance")
     found = local.select("glob_id", role, amount, F.lit(False).alias("nom"), "account").unionByName(
         nominal.select("glob_id", role, amount, F.lit(True).alias("nom"), "account")

@@ -19,7 +19,6 @@ from loanmart.sources.writers import overwrite
 
 PRODUCTS = (24, 34, 32)
 START, END = "1996-01-01", "1998-12-31"
-LATER = "1998-09-01"
 REPORT_DATE, REPORT_DT = "1998-06-30", "199806"
 RUN_DATE = "2001-12-31"
 
@@ -78,17 +77,17 @@ def _default_days(spark, sf_dir):
 
 
 @query("q_merge_upsert", _days_query(f"""
-  , target as (select *, '2001-01-01' as date_modified from days where date_vyd_d < date '{LATER}' and glob_id % 2 = 0),
+  , target as (select *, '2001-01-01' as date_modified from days where k_vid_cred <> 32),
   source as (select date_vyd_d, glob_id, k_vid_cred, fpd + 1 as fpd, cast(null as int) as spd, tpd,
-    '{RUN_DATE}' as date_modified from days where glob_id % 3 = 0)
+    '{RUN_DATE}' as date_modified from days where k_vid_cred <> 24)
   select {iso('date_vyd_d')} as date_vyd_d, glob_id, k_vid_cred, fpd, spd, tpd, date_modified from source
   union all select {iso('date_vyd_d')}, glob_id, k_vid_cred, fpd, spd, tpd, date_modified from target
   where glob_id not in (select glob_id from source)"""))
 def _merge_upsert(spark, sf_dir):
     days = default_days_on(spark, sf_dir)
-    target = days.where(f"date_vyd_d < date '{LATER}' and glob_id % 2 = 0").withColumn(
-        "date_modified", F.lit("2001-01-01"))
-    fresh = days.where("glob_id % 3 = 0").withColumn("fpd", F.col("fpd") + 1).withColumn(
+    # one product is in the target only, one in both, one is new
+    target = days.where("k_vid_cred <> 32").withColumn("date_modified", F.lit("2001-01-01"))
+    fresh = days.where("k_vid_cred <> 24").withColumn("fpd", F.col("fpd") + 1).withColumn(
         "spd", F.lit(None).cast("int"))
     return refresh(target, fresh, RUN_DATE)
 

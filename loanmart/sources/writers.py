@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from loanmart.contracts import raw_schema
 from loanmart.operators.documents import conform
+from loanmart.session import remove_dir, settle
 from loanmart.sources.readers import valid_identifier
 
 
@@ -97,19 +98,16 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def jdbc_options(connection: Mapping[str, str], table: str, batchsize: int = 1000,
-                 columns: Sequence[str] | None = None) -> dict[str, str]:
-    """Writer options; ``columns`` asks for an all-text table wide enough for any raw value."""
-    options = {**connection, "dbtable": table, "batchsize": str(batchsize)}
-    if columns:
-        options["createTableColumnTypes"] = ", ".join(f"`{c}` VARCHAR(1000)" for c in columns)
-    return options
+def jdbc_options(connection: Mapping[str, str], table: str, batchsize: int = 1000) -> dict[str, str]:
+    """Writer options. Text columns get the dialect's unbounded text type, so no raw value is too long."""
+    return {**connection, "dbtable": table, "batchsize": str(batchsize)}
 
 
 def write_jdbc(df: DataFrame, connection: Mapping[str, str], table: str, mode: str = "append", batchsize: int = 1000,
                partitions: int | None = None, truncate: bool = False) -> None:
     """JDBC sink. ``partitions`` limits the number of parallel connections to the database."""
-    out = df.coalesce(partitions) if partitions else df
+    # a shuffle, so that the work before keeps its own tasks
+    out = df.repartition(partitions) if partitions else df
     options = jdbc_options(connection, table, batchsize)
     if truncate:
         options["truncate"] = "true"
@@ -117,10 +115,10 @@ def write_jdbc(df: DataFrame, connection: Mapping[str, str], table: str, mode: s
 
 
 def to_many(df: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:
-    """Compute once, write to several sinks."""
-    kept = df.persist()
+    """Compute once, write to several sinks. The rows wait in the shared folder, where a lost executor takes none along."""
+    kept, path = settle(df, "sinks")
     try:
         for sink in sinks:
             sink(kept)
     finally:
-        kept.unpersist()
+        remove_dir(df.sparkSession, path)

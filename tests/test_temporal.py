@@ -64,3 +64,12 @@ def test_first_movement(spark):
     loans = spark.createDataFrame([(7, 1, 1, d("2024-01-02")), (8, 1, 1, d("2024-02-02")), (9, 2, 1, d("2024-01-01"))],
                                   "glob_id bigint, id_mfo int, acc_new bigint, date_vyd_d date")
     assert [tuple(r) for r in first_movement(loans, df).collect()] == [(7, d("2024-01-15"))]
+
+
+def test_first_movement_of_a_shared_account(spark):
+    df = balances(spark, *[(1, f"2024-01-{k:02}", f"2024-01-{k + 1:02}", 1 if k % 5 == 0 else 0) for k in range(1, 28)])
+    days = [(k, 1, 1, d(f"2024-01-{k:02}")) for k in range(1, 28)] + [(99, 1, 1, None)]
+    loans = spark.createDataFrame(days, "glob_id bigint, id_mfo int, acc_new bigint, date_vyd_d date")
+    moved = {r.dati for r in df.where("obor_d <> 0").select("dati").collect()}
+    want = {k: min(m for m in moved if m >= day) for k, _, _, day in days if day and any(m >= day for m in moved)}
+    assert want and {r.glob_id: r.first_movement for r in first_movement(loans, df).collect()} == want

@@ -76,8 +76,9 @@ def vectors(spark, n=300, d=40):
     return rows
 
 
-@pytest.mark.parametrize("block", [64, 4096])
-def test_embeddings(spark, block):
+@pytest.mark.parametrize("block, sample", [(64, 20_000), (4096, 20_000), (16, 20)])
+def test_embeddings(spark, monkeypatch, block, sample):
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", sample)  # 20: two leaves of many parts
     rows = vectors(spark)
     got = embedding_dedup.embedding_components(spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, cid int"), block=block).collect()
     good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v and len(v) == 40 and None not in v and np.isfinite(v).all() and np.any(v)]
@@ -262,6 +263,14 @@ def test_benchmark_copies(spark):
     assert sorted(r.doc_id or 0 for r in decontaminate.without_matches(docs, found).collect()) == [0, 4, 5, 8, 8]
 
 
+def test_a_passage_of_many_windows(spark):
+    rng = random.Random(12)
+    tests = {i: [f"v{rng.randrange(5000)}" for _ in range(30)] for i in range(40)}
+    docs = spark.createDataFrame([(1, " ".join(w for i in range(40) for w in tests[i])), (2, "none of it")], "doc_id long, text string")
+    found = decontaminate.benchmark_matches(docs, spark.createDataFrame([(i, " ".join(t)) for i, t in tests.items()], "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.score, r.end_word) for r in found.collect()) == [(1, i, 1.0, 30 * (i + 1)) for i in range(40)]
+
+
 def test_raking(spark):
     rng = random.Random(9)
     rows = [(s, lang, t, rng.randrange(1, 1000)) for s in ("a", "b", None) for lang in ("en", None) for t in range(3)]

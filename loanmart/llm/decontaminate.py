@@ -1,15 +1,16 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark passages in training documents: rare word pairs as seeds, then Smith-Waterman alignment of words.
 
-Method: documents' word n-grams (five words) are joined with the benchmark's. Each document pass drops n-grams that no
-test item can have by a bit table of fixed size (1 MB); what stays is joined exactly. Seeds are the rare n-grams: those
-that few items share, and for an item without such, its rarest over items and corpus. Seeds of a document and an item
-on neighbouring diagonals mark a window, and the window is aligned with the item: +1 for an equal word, -1/4 for a
-changed, left out or added one. ``score`` is the best local score by the item's words. Four of five words equal, the
-others changed, give 0.75, the default limit.
+Method: neighbouring words of an item are a pair, and a document has it if at most ``ADDED`` words stand between the two.
+A copy that reaches ``min_score`` lacks a bounded number of the item's pairs (``_seeds_needed``), so one more than that
+number, the item's rarest in the corpus, are its seeds: each such copy has one of them. An item too short for the bound
+is found by its rarest words in the same way. Each document pass drops pairs that no test item can have by a bit table of
+fixed size (1 MB); what stays is joined exactly: the first pass counts pairs, the second takes the passages around seeds.
+Seeds of a document and an item on neighbouring diagonals mark a window, and the window is aligned with the item: +1 for
+an equal word, -1/4 for a changed, left out or added one. ``score`` is the best local score by the item's words. Four of
+five words equal, the others changed, give 0.75, the default limit.
 
 Defined cases: words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII. Documents or items without words match
-nothing; null texts are empty. An item of fewer than five words is one n-gram of its own length. Items equal in words
-are one item, named by the smallest id, with ``n_items`` of them. A row with a null ``doc_id`` matches like any other.
+nothing; null texts are empty. An item of one word is found by it. Items equal in words are one item, named by the smallest id, with ``n_items`` of them. A row with a null ``doc_id`` matches like any other.
 Every input row is a document; rows that repeat an id or text give a row each. Other columns are not read. Empty tables
 give no rows.
 """
@@ -21,18 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanmart.llm.text import grams, raw, slices, word_codes, words
+from loanmart.llm.text import Words, mixed, raw, slices, word_codes, words
 from loanmart.session import settled
 
-NGRAM = 5
 MIN_SCORE = 0.75
 COST = 0.25
-#: Bits of the table that n-grams of documents are looked up in: the same at every size.
+#: Words that a document may have between the two words of a pair.
+ADDED = 2
+#: Bits of the table that pairs of documents are looked up in: the same at every size.
 BITS = 1 << 23
-#: Parts of an n-gram's hash, by shift, that must all be in the table.
+#: Parts of a pair's hash, by shift, that must all be in the table.
 PROBES = (0, 32)
-#: An n-gram is rare if at most so many items have it; an item keeps so many of its rarest in any case.
-SHARED_BY, AT_LEAST = 8, 8
 
 _ITEMS = "item_id long, words array<long>, n int"
 _PASSAGES = "doc_id long, row long, first int, words array<long>, at array<int>, gram array<long>"
@@ -50,48 +50,94 @@ def _item_words(batches):
         yield pa.RecordBatch.from_arrays([batch.column("item_id"), lists, pa.array(w.counts, pa.int32())], ["item_id", "words", "n"])
 
 
-def _item_grams(n: int):
+def _runs(w: Words, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first word and hash of every two words of one text that stand ``apart``; of every word for 0."""
+    n = max(len(w.doc) - apart, 0)
+    if not apart:
+        return np.arange(n), mixed(w.hash + np.uint64(1))
+    first = np.flatnonzero(w.doc[:n] == w.doc[apart:])
+    return first, mixed(mixed(w.hash[first] + np.uint64(2)) + w.hash[first + apart])
+
+
+def _seeds_needed(n: int, min_score: float) -> tuple[bool, int]:
+    """Whether an item of ``n`` words is found by pairs (else by words), and by how many of them.
+
+    A score of ``min_score`` leaves ``n * (1 - min_score)`` to lose. A word that is changed or left out costs 1 + COST and
+    breaks two pairs, one missing at an end costs 1 and breaks one; ADDED + 1 words added in a pair break it.
+    """
+    lost = n * (1 - min_score) + 1e-9
+    broken = int(lost / min((1 + COST) / 2, COST * (ADDED + 1), 1.0))
+    return (True, broken + 1) if broken + 1 <= n - 1 else (False, min(int(lost) + 1, n))
+
+
+def _item_grams(min_score: float):
     def run(batches):
         for batch in batches:
-            item, at, gram = [], [], []
+            item, at, gram, need, pair = [], [], [], [], []
             for i, row in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist()):
-                k = min(n, len(row))
-                first, h = grams(_as_words(np.array(row, dtype=np.int64)), k)
+                by_pairs, k = _seeds_needed(len(row), min_score)
+                first, h = _runs(_as_words(np.array(row, dtype=np.int64)), int(by_pairs))
                 item += [i] * len(first)
                 at += first.tolist()
                 gram += _signed(h).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(at, pa.int32()), pa.array(gram, pa.int64())],
-                                             ["item_id", "ipos", "gram"])
+                need += [k] * len(first)
+                pair += [by_pairs] * len(first)
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(at, pa.int32()), pa.array(gram, pa.int64()), pa.array(need, pa.int32()),
+                                              pa.array(pair, pa.bool_())], ["item_id", "ipos", "gram", "need", "pair"])
 
     return run
 
 
 def _as_words(h: np.ndarray):
-    from loanmart.llm.text import Words
-
     zero = np.zeros(len(h), dtype=np.int64)
     return Words(zero, zero, zero, h.view(np.uint64), np.array([0, len(h)]))
 
 
-def _passages(table, sizes: list[int], margin: int):
-    """Runs of words around n-grams that the bit table knows; hits within two margins are in one passage."""
+def _known(w: Words, bits: np.ndarray, apart: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first word and hash of the pairs (words for 0) that the bit table knows, in order."""
+    at, gram = [], []
+    for k in apart:
+        first, h = _runs(w, k)
+        hit = np.ones(len(h), dtype=bool)
+        for shift in PROBES:
+            place = ((h >> np.uint64(shift)) & np.uint64(BITS - 1)).astype(np.int64)
+            hit &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        at.append(first[hit])
+        gram.append(h[hit])
+    at, gram = np.concatenate(at), np.concatenate(gram)
+    order = np.argsort(at, kind="stable")
+    return at[order], gram[order]
+
+
+def _counts(table, apart: list[int]):
+    def run(batches):
+        codes, bits = word_codes(), np.frombuffer(table.value, dtype=np.uint8)
+        for batch in slices(batches):
+            gram, n = np.unique(_known(words(*raw(batch.column("text")), codes), bits, apart)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(gram)), pa.array(n, pa.int64())], ["gram", "df"])
+
+    return run
+
+
+def _bit_table(grams: DataFrame):
+    """Broadcast table of the hashes ``gram``; at most BITS / 32 rows are collected, whatever the size of the benchmark."""
+    probes = ", ".join(f"shiftrightunsigned(gram, {shift}) & {BITS - 1}" for shift in PROBES)
+    lanes = grams.select(F.expr(f"explode(array({probes}))").alias("at")).groupBy(F.expr("cast(at >> 5 as int)").alias("lane")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 31 as int)))").alias("bits"))
+    bits = np.zeros(BITS // 32, dtype="<u4")
+    for lane, value in lanes.collect():
+        bits[lane] = value
+    return grams.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+
+def _passages(table, apart: list[int], margin: int):
+    """Runs of words around seeds that the bit table knows; hits within two margins are in one passage."""
 
     def run(batches):
         codes, bits = word_codes(), np.frombuffer(table.value, dtype=np.uint8)
         for batch in slices(batches):
             w = words(*raw(batch.column("text")), codes)
-            at, gram = [], []
-            for k in sizes:
-                first, h = grams(w, k)
-                hit = np.ones(len(h), dtype=bool)
-                for shift in PROBES:
-                    place = ((h >> np.uint64(shift)) & np.uint64(BITS - 1)).astype(np.int64)
-                    hit &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                at.append(first[hit])
-                gram.append(h[hit])
-            at, gram = np.concatenate(at), np.concatenate(gram)
-            order = np.argsort(at, kind="stable")
-            at, gram = at[order], gram[order]
+            at, gram = _known(w, bits, apart)
             if not len(at):
                 continue
             doc = w.doc[at]
@@ -101,7 +147,7 @@ def _passages(table, sizes: list[int], margin: int):
             heads, tails = at[cuts[:-1]], at[cuts[1:] - 1]
             owner = doc[cuts[:-1]]
             low = np.maximum(heads - margin, w.bounds[owner])
-            high = np.minimum(tails + max(sizes) + margin, w.bounds[owner + 1])
+            high = np.minimum(tails + margin, w.bounds[owner + 1])
             base = w.bounds[owner]
             runs = [_signed(w.hash[a:b]) for a, b in zip(low, high)]
             ends = np.concatenate([[0], np.cumsum(high - low)])
@@ -159,36 +205,27 @@ def _aligned(batches):
                                          ["doc_id", "row", "item_id", "score", "end_word", "seeds", "n_items"])
 
 
-def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, ngram: int = NGRAM) -> DataFrame:
+def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``doc_id``, ``item_id``, ``score``, ``end_word`` (word of the document after the best match), ``seeds``, ``n_items``, ``row``.
 
     One row for each document row (``row`` tells rows apart) and item that align with ``min_score`` or more.
     """
-    spark = docs.sparkSession
     read = items.select(F.col("item_id").cast("long"), "text").mapInArrow(_item_words, _ITEMS).where("n > 0")
     tests = settled(read.groupBy("words", "n").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items")), "items")
-    seeds = settled(tests.select("item_id", "words").mapInArrow(_item_grams(ngram), "item_id long, ipos int, gram long"), "item-grams")
-    longest, shortest = tests.agg(F.max("n"), F.min("n")).first()
-    sizes = sorted({min(ngram, n) for n in range(shortest or 1, ngram + 1)} | {ngram}) if shortest and shortest < ngram else [ngram]
-    # at most BITS / 32 rows, whatever the size of the benchmark
-    probes = ", ".join(f"shiftrightunsigned(gram, {shift}) & {BITS - 1}" for shift in PROBES)
-    lanes = seeds.select(F.expr(f"explode(array({probes}))").alias("at")).groupBy(F.expr("cast(at >> 5 as int)").alias("lane")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(at & 31 as int)))").alias("bits"))
-    bits = np.zeros(BITS // 32, dtype="<u4")
-    for lane, value in lanes.collect():
-        bits[lane] = value
-    table = spark.sparkContext.broadcast(bits.tobytes())
+    grams = settled(tests.select("item_id", "words").mapInArrow(_item_grams(min_score), "item_id long, ipos int, gram long, need int, pair boolean"), "item-grams")
+    longest = tests.agg(F.max("n")).first()[0]
+    kinds = {r.pair for r in grams.select("pair").distinct().collect()}
+    apart = [0] * (kinds != {True}) + list(range(1, ADDED + 2)) * (True in kinds)
+    seen = docs.select("text").mapInArrow(_counts(_bit_table(grams), apart), "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
+    order = Window.partitionBy("item_id").orderBy(F.coalesce("df", F.lit(0)), "gram", "ipos")
+    rated = grams.join(seen, "gram", "left").withColumn("rank", F.row_number().over(order))
+    rare = settled(rated.where("rank <= need").select("gram", "item_id", "ipos"), "seeds")
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
-    passages = settled(rows.mapInArrow(_passages(table, sizes, int(1.5 * (longest or 1)) + ngram), _PASSAGES)
+    passages = settled(rows.mapInArrow(_passages(_bit_table(rare), apart, int(1.5 * (longest or 1)) + 5), _PASSAGES)
                        .withColumn("pid", F.monotonically_increasing_id()), "passages")
     hits = passages.select("pid", F.explode(F.arrays_zip("at", "gram")).alias("x")).select("pid", "x.at", "x.gram")
-    seen = hits.groupBy("gram").agg(F.count("*").alias("df"))
-    shared = seeds.groupBy("gram").agg(F.count_distinct("item_id").alias("n_with"))
-    rated = seeds.join(seen, "gram").join(shared, "gram")
-    order = Window.partitionBy("item_id").orderBy(F.col("n_with"), F.col("df"), "ipos")
-    rare = rated.withColumn("rank", F.row_number().over(order)).where((F.col("n_with") <= SHARED_BY) | (F.col("rank") <= AT_LEAST))
     sized = tests.select("item_id", "n", F.col("words").alias("item_words"), "n_items")
-    met = hits.join(rare.select("gram", "item_id", "ipos"), "gram").join(sized.select("item_id", "n"), "item_id")
+    met = hits.join(rare, "gram").join(sized.select("item_id", "n"), "item_id")
     band = F.floor((F.col("at") - F.col("ipos")) / F.col("n")).cast("int")
     marks = met.groupBy("pid", "item_id", "n", band.alias("band")).agg(F.count("*").alias("seeds"), F.min(F.col("at") - F.col("ipos")).alias("d1"),
                                                                       F.max(F.col("at") - F.col("ipos")).alias("d2"))

@@ -271,6 +271,27 @@ def test_a_passage_of_many_windows(spark):
     assert sorted((r.doc_id, r.item_id, r.score, r.end_word) for r in found.collect()) == [(1, i, 1.0, 30 * (i + 1)) for i in range(40)]
 
 
+def test_copies_without_five_words_in_a_row(spark):
+    rng = random.Random(21)
+    item = [f"q{k}" for k in range(40)]
+    short = [f"s{k}" for k in range(9)]
+    added = [x for k, w in enumerate(item) for x in ([w, f"a{k}"] if k % 4 == 3 and k < 39 else [w])]
+    changed = [f"c{k}" if k % 5 == 4 and k < 39 else w for k, w in enumerate(item)]
+    middle = short[:4] + ["x"] + short[5:]
+    tests = {100: item, 101: short, 102: ["alone"], 103: ["two", "words"], 104: ["of", "three", "words"]}
+    shared, own = [f"h{k}" for k in range(36)], {i: [f"o{i}x{k}" for k in range(12)] for i in range(12)}
+    tests |= {i: shared + w for i, w in own.items()}  # more items than a rare one would have
+    other = [f"p{rng.randrange(900)}" for _ in range(60)]
+    texts = {1: other + added + other, 2: changed, 3: middle + other, 4: other + shared + other, 5: [x for w in own.values() for x in w + other],
+             6: other + ["alone"], 7: "two more added words".split(), 8: "of the three words".split(), 9: other}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = decontaminate.benchmark_matches(docs, spark.createDataFrame([(i, " ".join(t)) for i, t in tests.items()], "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.score for r in found}
+    want = {(d, i): data.align(t, words) / len(t) for d, words in texts.items() for i, t in tests.items()}
+    assert got == pytest.approx({k: x for k, x in want.items() if x >= 0.75})
+    assert {(1, 100), (2, 100), (3, 101), (6, 102), (7, 103), (8, 104), *((4, i) for i in own)} == set(got)
+
+
 def test_raking(spark):
     rng = random.Random(9)
     rows = [(s, lang, t, rng.randrange(1, 1000)) for s in ("a", "b", None) for lang in ("en", None) for t in range(3)]

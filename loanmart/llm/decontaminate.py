@@ -5,9 +5,11 @@ A copy that reaches ``min_score`` lacks a bounded number of the item's pairs (``
 number, the item's rarest in the corpus, are its seeds: each such copy has one of them. An item too short for the bound
 is found by its rarest words in the same way. Each document pass drops pairs that no test item can have by a bit table of
 fixed size (1 MB); what stays is joined exactly: the first pass counts pairs, the second takes the passages around seeds.
-Seeds of a document and an item on neighbouring diagonals mark a window, and the window is aligned with the item: +1 for
-an equal word, -1/4 for a changed, left out or added one. ``score`` is the best local score by the item's words. Four of
-five words equal, the others changed, give 0.75, the default limit.
+Seeds of a document and an item on neighbouring diagonals mark a window that reaches as many words further on both sides
+as a copy at the limit may have added, so it holds the whole of each copy that one of its seeds is in. The window is
+aligned with the item: +1 for an equal word, -1/4 for a changed, left out or added one. ``score`` is the best local score
+by the item's words, and of the places with this score the last is named. Four of five words equal, the others changed,
+give 0.75, the default limit. ``seeds`` counts the document's hits of the item's seeds.
 
 Defined cases: words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII. Documents or items without words match
 nothing; null texts are empty. An item of one word is found by it. Items equal in words are one item, named by the smallest id, with ``n_items`` of them. A row with a null ``doc_id`` matches like any other.
@@ -70,6 +72,11 @@ def _seeds_needed(n: int, min_score: float) -> tuple[bool, int]:
     return (True, broken + 1) if broken + 1 <= n - 1 else (False, min(int(lost) + 1, n))
 
 
+def _most_added(n, min_score: float):
+    """Words that a copy of an item of ``n`` words may have added and still score ``min_score``; a number or a Column."""
+    return n * ((1 - min_score) / COST) + 1e-9
+
+
 def _item_grams(min_score: float):
     def run(batches):
         for batch in batches:
@@ -163,7 +170,7 @@ def _passages(table, apart: list[int], margin: int):
 
 
 def smith_waterman(item: np.ndarray, windows: np.ndarray, cost: float = COST) -> tuple[np.ndarray, np.ndarray]:
-    """Best local score of ``item`` with each row of ``windows``, and the column after its end."""
+    """Best local score of ``item`` with each row of ``windows``, and the column after its end, the last of several."""
     n, width = windows.shape
     above, best, end = np.zeros((n, width + 1)), np.zeros(n), np.zeros(n, dtype=np.int64)
     drop = cost * np.arange(width + 1)
@@ -172,9 +179,9 @@ def smith_waterman(item: np.ndarray, windows: np.ndarray, cost: float = COST) ->
         np.maximum(above[:, :-1] + np.where(windows == word, 1.0, -cost), above[:, 1:] - cost, out=row[:, 1:])
         np.maximum(row, 0, out=row)
         row = np.maximum.accumulate(row + drop, axis=1) - drop  # gaps along the window
-        top = row.argmax(axis=1)
+        top = width - row[:, ::-1].argmax(axis=1)
         value = row[np.arange(n), top]
-        better = value > best
+        better = (value > best) | ((value == best) & (top > end) & (value > 0))
         best[better], end[better] = value[better], top[better]
         above = row
     return best, end
@@ -221,7 +228,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     rated = grams.join(seen, "gram", "left").withColumn("rank", F.row_number().over(order))
     rare = settled(rated.where("rank <= need").select("gram", "item_id", "ipos"), "seeds")
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
-    passages = settled(rows.mapInArrow(_passages(_bit_table(rare), apart, int(1.5 * (longest or 1)) + 5), _PASSAGES)
+    margin = (longest or 1) + int(_most_added(longest or 1, min_score))
+    passages = settled(rows.mapInArrow(_passages(_bit_table(rare), apart, margin), _PASSAGES)
                        .withColumn("pid", F.monotonically_increasing_id()), "passages")
     hits = passages.select("pid", F.explode(F.arrays_zip("at", "gram")).alias("x")).select("pid", "x.at", "x.gram")
     sized = tests.select("item_id", "n", F.col("words").alias("item_words"), "n_items")
@@ -229,7 +237,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     band = F.floor((F.col("at") - F.col("ipos")) / F.col("n")).cast("int")
     marks = met.groupBy("pid", "item_id", "n", band.alias("band")).agg(F.count("*").alias("seeds"), F.min(F.col("at") - F.col("ipos")).alias("d1"),
                                                                       F.max(F.col("at") - F.col("ipos")).alias("d2"))
-    slack = F.ceil(F.col("n") / 4).cast("int") + 1
+    slack = F.floor(_most_added(F.col("n"), min_score)).cast("int")
     windows = marks.select("pid", "item_id", "seeds", (F.col("d1") - slack).alias("low"), (F.col("d2") + F.col("n") + slack).alias("high"))
     # each window takes its own words along, so a passage of many windows is not repeated whole
     low = F.greatest("low", F.lit(0))
@@ -237,8 +245,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
         "doc_id", "row", "item_id", (F.col("first") + low).alias("first"), F.slice("words", low + 1, F.col("high") - low).alias("words"), "seeds")
     scored = cut.join(sized.drop("n"), "item_id").select("doc_id", "row", "item_id", "first", "words", "item_words", "seeds", "n_items").mapInArrow(
         _aligned, "doc_id long, row long, item_id long, score double, end_word long, seeds long, n_items long")
-    best = scored.where(F.col("score") >= min_score).groupBy("row", "item_id").agg(
-        F.max(F.struct("score", "end_word")).alias("b"), F.max("seeds").alias("seeds"), F.max("n_items").alias("n_items"), F.max("doc_id").alias("doc_id"))
+    best = scored.groupBy("row", "item_id").agg(F.max(F.struct("score", "end_word")).alias("b"), F.sum("seeds").alias("seeds"),
+                                               F.max("n_items").alias("n_items"), F.max("doc_id").alias("doc_id")).where(F.col("b.score") >= min_score)
     return best.select("doc_id", "item_id", "b.score", "b.end_word", "seeds", "n_items", "row")
 
 

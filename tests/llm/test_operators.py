@@ -292,6 +292,30 @@ def test_copies_without_five_words_in_a_row(spark):
     assert {(1, 100), (2, 100), (3, 101), (6, 102), (7, 103), (8, 104), *((4, i) for i in own)} == set(got)
 
 
+def test_copies_with_words_added_in_the_middle(spark):
+    rng = random.Random(22)
+    tests = {i: [f"m{i}x{rng.randrange(60)}" for _ in range(n)] for i, n in enumerate((40, 40, 25, 12, 7, 5, 3, 1))}
+    fresh = (f"f{k}" for k in range(10**6))
+    texts = {}
+    for shift in range(40):  # the place in the passage must not matter
+        t = tests[shift % 2]
+        texts[shift] = [next(fresh) for _ in range(shift)] + t[:20] + [next(fresh) for _ in range(20 + shift % 3 * 4)] + t[20:]
+    for i in range(100, 160):  # edits of all kinds about the limit
+        t = list(tests[i % len(tests)])
+        for _ in range(rng.randrange(len(t) // 3 + 2)):
+            k = rng.randrange(len(t))
+            t[k:k + 1] = rng.choice([[], [next(fresh)], [t[k], next(fresh)], [t[k], next(fresh), next(fresh), next(fresh)]])
+            t = t or [next(fresh)]
+        texts[i] = [next(fresh) for _ in range(rng.randrange(30))] + t + [next(fresh)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = decontaminate.benchmark_matches(docs, spark.createDataFrame([(i, " ".join(t)) for i, t in tests.items()], "item_id long, text string")).collect()
+    want = {(d, i): data.align(t, words) / len(t) for d, words in texts.items() for i, t in tests.items()}
+    want = {k: x for k, x in want.items() if x >= 0.75}
+    assert len(want) > 60 and {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
+    ends = {r.doc_id: r.end_word for r in found if r.doc_id < 40}
+    assert ends == {i: len(texts[i]) for i in ends} and len(ends) == 40
+
+
 def test_raking(spark):
     rng = random.Random(9)
     rows = [(s, lang, t, rng.randrange(1, 1000)) for s in ("a", "b", None) for lang in ("en", None) for t in range(3)]

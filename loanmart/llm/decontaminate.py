@@ -12,7 +12,9 @@ by the item's words, and of the places with this score the last is named. Four o
 give 0.75, the default limit. ``seeds`` counts the document's hits of the item's seeds.
 
 Defined cases: words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII. Documents or items without words match
-nothing; null texts are empty. An item of one word is found by it. Items equal in words are one item, named by the smallest id, with ``n_items`` of them. A row with a null ``doc_id`` matches like any other.
+nothing; null texts are empty. An item of one word is found by it. Items equal in words are one item,
+named by the smallest id, with ``n_items`` of them; the name is null if none has an id. An id with several texts is several
+items and may have a row for each. A row with a null ``doc_id`` matches like any other.
 Every input row is a document; rows that repeat an id or text give a row each. Other columns are not read. Empty tables
 give no rows.
 """
@@ -81,7 +83,7 @@ def _item_grams(min_score: float):
     def run(batches):
         for batch in batches:
             item, at, gram, need, pair = [], [], [], [], []
-            for i, row in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist()):
+            for i, row in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist()):
                 by_pairs, k = _seeds_needed(len(row), min_score)
                 first, h = _runs(_as_words(np.array(row, dtype=np.int64)), int(by_pairs))
                 item += [i] * len(first)
@@ -90,7 +92,7 @@ def _item_grams(min_score: float):
                 need += [k] * len(first)
                 pair += [by_pairs] * len(first)
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(at, pa.int32()), pa.array(gram, pa.int64()), pa.array(need, pa.int32()),
-                                              pa.array(pair, pa.bool_())], ["item_id", "ipos", "gram", "need", "pair"])
+                                              pa.array(pair, pa.bool_())], ["item", "ipos", "gram", "need", "pair"])
 
     return run
 
@@ -192,7 +194,7 @@ def _aligned(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        item = batch.column("item_id").to_numpy()
+        item = batch.column("item").to_numpy()
         lists, tests = batch.column("words"), batch.column("item_words")
         held, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         score, end = np.zeros(len(item)), np.zeros(len(item), dtype=np.int64)
@@ -207,9 +209,9 @@ def _aligned(batches):
                     g[:ends[r + 1] - ends[r]] = held[ends[r]:ends[r + 1]]
                 best, stop = smith_waterman(test, grid)
                 score[part], end[part] = best / len(test), stop
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "item_id")), pa.array(score),
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "item", "item_id")), pa.array(score),
                                           pa.array(end + batch.column("first").to_numpy(), pa.int64()), batch.column("seeds"), batch.column("n_items")],
-                                         ["doc_id", "row", "item_id", "score", "end_word", "seeds", "n_items"])
+                                         ["doc_id", "row", "item", "item_id", "score", "end_word", "seeds", "n_items"])
 
 
 def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -218,35 +220,38 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     One row for each document row (``row`` tells rows apart) and item that align with ``min_score`` or more.
     """
     read = items.select(F.col("item_id").cast("long"), "text").mapInArrow(_item_words, _ITEMS).where("n > 0")
-    tests = settled(read.groupBy("words", "n").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items")), "items")
-    grams = settled(tests.select("item_id", "words").mapInArrow(_item_grams(min_score), "item_id long, ipos int, gram long, need int, pair boolean"), "item-grams")
+    texts = read.groupBy("words", "n").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
+    # ids may be null or repeated: each text has a number of its own
+    tests = settled(texts.withColumn("item", F.monotonically_increasing_id()), "items")
+    grams = settled(tests.select("item", "words").mapInArrow(_item_grams(min_score), "item long, ipos int, gram long, need int, pair boolean"), "item-grams")
     longest = tests.agg(F.max("n")).first()[0]
     kinds = {r.pair for r in grams.select("pair").distinct().collect()}
     apart = [0] * (kinds != {True}) + list(range(1, ADDED + 2)) * (True in kinds)
     seen = docs.select("text").mapInArrow(_counts(_bit_table(grams), apart), "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-    order = Window.partitionBy("item_id").orderBy(F.coalesce("df", F.lit(0)), "gram", "ipos")
+    order = Window.partitionBy("item").orderBy(F.coalesce("df", F.lit(0)), "gram", "ipos")
     rated = grams.join(seen, "gram", "left").withColumn("rank", F.row_number().over(order))
-    rare = settled(rated.where("rank <= need").select("gram", "item_id", "ipos"), "seeds")
+    rare = settled(rated.where("rank <= need").select("gram", "item", "ipos"), "seeds")
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
     margin = (longest or 1) + int(_most_added(longest or 1, min_score))
     passages = settled(rows.mapInArrow(_passages(_bit_table(rare), apart, margin), _PASSAGES)
                        .withColumn("pid", F.monotonically_increasing_id()), "passages")
     hits = passages.select("pid", F.explode(F.arrays_zip("at", "gram")).alias("x")).select("pid", "x.at", "x.gram")
-    sized = tests.select("item_id", "n", F.col("words").alias("item_words"), "n_items")
-    met = hits.join(rare, "gram").join(sized.select("item_id", "n"), "item_id")
+    sized = tests.select("item", "item_id", "n", F.col("words").alias("item_words"), "n_items")
+    met = hits.join(rare, "gram").join(sized.select("item", "n"), "item")
     band = F.floor((F.col("at") - F.col("ipos")) / F.col("n")).cast("int")
-    marks = met.groupBy("pid", "item_id", "n", band.alias("band")).agg(F.count("*").alias("seeds"), F.min(F.col("at") - F.col("ipos")).alias("d1"),
-                                                                      F.max(F.col("at") - F.col("ipos")).alias("d2"))
+    marks = met.groupBy("pid", "item", "n", band.alias("band")).agg(F.count("*").alias("seeds"), F.min(F.col("at") - F.col("ipos")).alias("d1"),
+                                                                   F.max(F.col("at") - F.col("ipos")).alias("d2"))
     slack = F.floor(_most_added(F.col("n"), min_score)).cast("int")
-    windows = marks.select("pid", "item_id", "seeds", (F.col("d1") - slack).alias("low"), (F.col("d2") + F.col("n") + slack).alias("high"))
+    windows = marks.select("pid", "item", "seeds", (F.col("d1") - slack).alias("low"), (F.col("d2") + F.col("n") + slack).alias("high"))
     # each window takes its own words along, so a passage of many windows is not repeated whole
     low = F.greatest("low", F.lit(0))
     cut = windows.join(passages.select("pid", "doc_id", "row", "first", "words"), "pid").select(
-        "doc_id", "row", "item_id", (F.col("first") + low).alias("first"), F.slice("words", low + 1, F.col("high") - low).alias("words"), "seeds")
-    scored = cut.join(sized.drop("n"), "item_id").select("doc_id", "row", "item_id", "first", "words", "item_words", "seeds", "n_items").mapInArrow(
-        _aligned, "doc_id long, row long, item_id long, score double, end_word long, seeds long, n_items long")
-    best = scored.groupBy("row", "item_id").agg(F.max(F.struct("score", "end_word")).alias("b"), F.sum("seeds").alias("seeds"),
-                                               F.max("n_items").alias("n_items"), F.max("doc_id").alias("doc_id")).where(F.col("b.score") >= min_score)
+        "doc_id", "row", "item", (F.col("first") + low).alias("first"), F.slice("words", low + 1, F.col("high") - low).alias("words"), "seeds")
+    scored = cut.join(sized.drop("n"), "item").select("doc_id", "row", "item", "item_id", "first", "words", "item_words", "seeds", "n_items").mapInArrow(
+        _aligned, "doc_id long, row long, item long, item_id long, score double, end_word long, seeds long, n_items long")
+    best = scored.groupBy("row", "item").agg(
+        F.max(F.struct("score", "end_word")).alias("b"), F.sum("seeds").alias("seeds"), F.max("n_items").alias("n_items"), F.max("doc_id").alias("doc_id"),
+        F.max("item_id").alias("item_id")).where(F.col("b.score") >= min_score)
     return best.select("doc_id", "item_id", "b.score", "b.end_word", "seeds", "n_items", "row")
 
 

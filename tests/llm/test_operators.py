@@ -316,6 +316,17 @@ def test_copies_with_words_added_in_the_middle(spark):
     assert ends == {i: len(texts[i]) for i in ends} and len(ends) == 40
 
 
+def test_items_without_an_id_or_with_one_id_twice(spark):
+    tests = [(None, [f"n{k}" for k in range(30)]), (None, [f"o{k}" for k in range(30)]), (0, [f"a{k}" for k in range(30)]), (0, [f"b{k}" for k in range(20)]),
+             (None, [f"c{k}" for k in range(10)]), (3, [f"c{k}" for k in range(10)])]
+    docs = spark.createDataFrame([(i, " ".join(["x"] * i + t + ["y"])) for i, (_, t) in enumerate(tests[:5])] + [(9, " ".join(tests[2][1] + tests[3][1]))],
+                                 "doc_id long, text string")
+    found = decontaminate.benchmark_matches(docs, spark.createDataFrame([(i, " ".join(t)) for i, t in tests], "item_id long, text string"))
+    got = sorted(((r.doc_id, r.item_id, r.score, r.end_word, r.n_items) for r in found.collect()), key=str)
+    assert got == [(0, None, 1.0, 30, 1), (1, None, 1.0, 31, 1), (2, 0, 1.0, 32, 1), (3, 0, 1.0, 23, 1), (4, 3, 1.0, 14, 2), (9, 0, 1.0, 30, 1), (9, 0, 1.0, 50, 1)]
+    assert decontaminate.without_matches(docs, found).count() == 0
+
+
 def test_raking(spark):
     rng = random.Random(9)
     rows = [(s, lang, t, rng.randrange(1, 1000)) for s in ("a", "b", None) for lang in ("en", None) for t in range(3)]

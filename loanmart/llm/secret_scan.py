@@ -1,6 +1,9 @@
 """Secrets in documents: random forest on candidates, in DataFrame expressions only.
 
-Method: a high-recall pattern proposes candidates (long tokens with a digit, private key headers). Labelled findings
+Method: high-recall patterns propose candidates: key formats wherever they stand between other letters and digits, also
+in a path or a joined name; in the rest of the text every value after a secret's name, whatever its length and characters
+(in quotes up to the closing quote, else up to a blank, quote or one of ``,;&<>``, without closing punctuation), and every
+long token with a digit within its first 200 other characters. Labelled findings
 train a random forest that takes out false positives; its features are binned length, character transitions, kind of
 characters, dictionary coverage, path and neighbouring words. The forest is fitted on counts by feature combination
 over all labelled findings, its threshold is calibrated on findings outside the fit to ``PRECISION``, and scoring is one
@@ -26,17 +29,25 @@ PRECISION = 0.95
 CONTEXT = 32
 
 # The generator, key formats that are sure, names that a secret is assigned to, words of ordinary tokens.
-GENERATOR = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+KEYS = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+        r"|(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+        r"|sk_(?:live|test)_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-]))")
+SECRET = r"(?:password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key|auth)[\"']? ?[:=]{1,2} ?[\"']?"
+NAMES = SECRET + "$"
+#: The first look back is the cheap one.
+GENERATOR = (rf"(?<=[:=] ?[\"']?)(?<=(?i:{SECRET}))(?:(?<=[\"'])[^\"'\r\n]++(?=[\"'])"
+             r"|[^\s\"'`<>,;&:=.!?)\]}](?:[^\s\"'`<>,;&]*[^\s\"'`<>,;&:.!?)\]}])?)"
              r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}")
 FORMATS = (r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
            r"|^sk_(?:live|test)_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^-----BEGIN")
-NAMES = r"(?:password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key|auth)[\"']? ?[:=]{1,2} ?[\"']?$"
 ORDINARY = r"^[0-9]+$|^[0-9]{4}-[0-9]{2}-[0-9]{2}[T0-9-]*$|^[+0-9-]+$"
 DICTIONARY = ("about account address april august case chapter class code config data date december default document error event example "
               "february figure file first group image index item january july june level line list march model month name november number "
               "object october order page part path product project record report sample section september server source state string system "
               "table test time type update user value version week year").split()
-BINS = {"length": 8, "turns": 5, "signs": 5, "cover": 3, "path": 3, "named": 2, "assigned": 2, "quoted": 2}
+#: Every text with a key format holds one of these.
+HINT = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_(?:live|test)_|AIza|PRIVATE KEY"
+BINS = {"length": 11, "turns": 5, "signs": 5, "cover": 3, "path": 3, "named": 2, "assigned": 2, "quoted": 2}
 
 
 def _features(c: Column, text: Column, path: Column) -> Column:
@@ -52,19 +63,33 @@ def _features(c: Column, text: Column, path: Column) -> Column:
     label = F.when(v.rlike(FORMATS) | before.rlike(NAMES), 1).when(v.rlike(ORDINARY) | (covered * 2 >= n), 0)
     return F.struct(
         c["s"].alias("s"), c["e"].alias("e"), label.cast("int").alias("label"), v.rlike(FORMATS).alias("sure"),
-        banded(n, 14, 16, 18, 20, 24, 32, 40).alias("length"), banded(runs * 10 / n, 1, 3, 5, 7).alias("turns"), signs.alias("signs"),
+        banded(n, 4, 8, 11, 14, 16, 18, 20, 24, 32, 40).alias("length"), banded(runs * 10 / n, 1, 3, 5, 7).alias("turns"), signs.alias("signs"),
         F.when(covered == 0, 0).when(covered * 2 < n, 1).otherwise(2).alias("cover"),
         F.when(path.isNull() | ~path.rlike("[./]"), 0).when(F.lower(path).rlike("test|example|sample|fixture|doc"), 1).otherwise(2).alias("path"),
         flag(before.rlike("password|passwd|pwd|secret|token|key|auth|credential")).alias("named"), flag(before.rlike("[:=] ?[\"']?$")).alias("assigned"),
         flag(after.rlike("[\"']")).alias("quoted"))
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with a line feed for each character of ``spans``, so that all places stay."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def add(state, c):
+        return F.struct(c["e"].alias("at"), F.concat(state["out"], F.substring(text, state["at"] + 1, c["s"] - state["at"]), F.repeat(F.lit("\n"), c["e"] - c["s"])).alias("out"))
+
+    return F.aggregate(spans, start, add, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
+
+
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """``doc_id`` and ``cands`` (places, features, fixed label) of each row; one pass over the texts."""
     text = F.coalesce("text", F.lit(""))
-    spans = found(text, GENERATOR, text.rlike("[0-9]") | text.contains("PRIVATE KEY"))
     at = F.col(path).cast("string")
-    return settled(docs.select(F.col("doc_id").cast("long"), F.transform(spans, lambda c: _features(c, text, at)).alias("cands")), "secrets")
+    keyed = docs.select(F.col("doc_id").cast("long"), text.alias("text"), at.alias("at"), found(text, KEYS, text.rlike(HINT)).alias("keys"))
+    # known keys are blanked, so that what they are joined with is looked at by itself
+    left = F.when(F.size("keys") > 0, _blanked(F.col("text"), F.col("keys"))).otherwise(F.col("text"))
+    spans = keyed.select("doc_id", "text", "at", "keys", left.alias("left")).select(
+        "doc_id", "text", "at", F.array_sort(F.concat("keys", found(F.col("left"), GENERATOR, F.col("left").rlike("[0-9:=]")))).alias("spans"))
+    return settled(spans.select("doc_id", F.transform("spans", lambda c: _features(c, F.col("text"), F.col("at"))).alias("cands")), "secrets")
 
 
 def secret_spans(docs: DataFrame, findings: DataFrame | None = None, precision: float = PRECISION, path: str = "source") -> DataFrame:

@@ -29,7 +29,7 @@ def near_copies_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return decontaminate.without_matches(docs, decontaminate.benchmark_matches(docs, table(spark, sf_dir, "benchmark")))
+    return decontaminate.without_matches(docs, decontaminate.benchmark_matches(docs, table(spark, sf_dir, "benchmark")), null_ids_stay=False)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ BITS = 1 << 23
 PROBES = (0, 32)
 
 _ITEMS = "item_id long, words array<long>, n int"
-_PASSAGES = "doc_id long, row long, first int, words array<long>, at array<int>, gram array<long>"
+_PASSAGES = "doc_id long, row long, t1 long, t2 long, first int, words array<long>, at array<int>, gram array<long>"
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -162,11 +162,11 @@ def _passages(table, apart: list[int], margin: int):
             ends = np.concatenate([[0], np.cumsum(high - low)])
             of = np.repeat(np.arange(len(owner)), np.diff(cuts))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(owner)), batch.column("row").take(pa.array(owner)), pa.array(low - base, pa.int32()),
+                *(batch.column(c).take(pa.array(owner)) for c in ("doc_id", "row", "t1", "t2")), pa.array(low - base, pa.int32()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(runs))),
                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(at - low[of], pa.int32())),
                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(_signed(gram)))],
-                ["doc_id", "row", "first", "words", "at", "gram"])
+                ["doc_id", "row", "t1", "t2", "first", "words", "at", "gram"])
 
     return run
 
@@ -215,7 +215,7 @@ def _aligned(batches):
 
 
 def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``doc_id``, ``item_id``, ``score``, ``end_word`` (word of the document after the best match), ``seeds``, ``n_items``, ``row``.
+    """``doc_id``, ``item_id``, ``score``, ``end_word`` (word of the document after the best match), ``seeds``, ``n_items``, ``row``, ``t1``, ``t2`` (the text's hashes).
 
     One row for each document row (``row`` tells rows apart) and item that align with ``min_score`` or more.
     """
@@ -231,7 +231,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     order = Window.partitionBy("item").orderBy(F.coalesce("df", F.lit(0)), "gram", "ipos")
     rated = grams.join(seen, "gram", "left").withColumn("rank", F.row_number().over(order))
     rare = settled(rated.where("rank <= need").select("gram", "item", "ipos"), "seeds")
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *_digests(), F.monotonically_increasing_id().alias("row"))
     margin = (longest or 1) + int(_most_added(longest or 1, min_score))
     passages = settled(rows.mapInArrow(_passages(_bit_table(rare), apart, margin), _PASSAGES)
                        .withColumn("pid", F.monotonically_increasing_id()), "passages")
@@ -252,10 +252,17 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     best = scored.groupBy("row", "item").agg(
         F.max(F.struct("score", "end_word")).alias("b"), F.sum("seeds").alias("seeds"), F.max("n_items").alias("n_items"), F.max("doc_id").alias("doc_id"),
         F.max("item_id").alias("item_id")).where(F.col("b.score") >= min_score)
-    return best.select("doc_id", "item_id", "b.score", "b.end_word", "seeds", "n_items", "row")
+    texts = passages.select("row", "t1", "t2").distinct()
+    return best.join(texts, "row").select("doc_id", "item_id", "b.score", "b.end_word", "seeds", "n_items", "row", "t1", "t2")
 
 
-def without_matches(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id has no match; rows with a null id match by no id and stay."""
-    hit = found.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+def _digests():
+    return F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")
+
+
+def without_matches(docs: DataFrame, found: DataFrame, null_ids_stay: bool = True) -> DataFrame:
+    """Rows of ``docs`` whose id and text have no match; rows with a null id stay unless ``null_ids_stay`` is false."""
+    hit = found.where("doc_id is not null") if null_ids_stay else found
+    hit = hit.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__b1"), F.col("t2").alias("__b2")).distinct()
+    t1, t2 = _digests()
+    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (t1 == F.col("__b1")) & (t2 == F.col("__b2")), "left_anti")

@@ -67,7 +67,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontaminate")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("row")
+    return found.drop("row", "t1", "t2")
 
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

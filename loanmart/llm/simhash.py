@@ -53,14 +53,15 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``doc_id``, ``fp`` (long) for each row."""
+    """``doc_id``, ``t1``, ``t2`` (the text's hashes), ``fp`` (long) for each row."""
 
     def run(batches):
         for batch in slices(batches):
             fp = [fingerprint(t, words) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), pa.array(fp, pa.int64())], ["doc_id", "t1", "t2", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    hashed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    return hashed.mapInArrow(run, "doc_id long, t1 long, t2 long, fp long")
 
 
 def _posting(s: tuple[int, ...], number: int):
@@ -143,25 +144,29 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 3, block: int = 512) ->
 
 
 def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 3, block: int = 512) -> DataFrame:
-    """``doc_id``, ``fp``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id linked) for each row."""
+    """``doc_id``, ``fp``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id linked), ``root`` (a component's
+    fingerprint), ``t1``, ``t2`` (the text's hashes) for each row."""
     rows = settled(fingerprints(docs, words), "fingerprints")
     fps = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
     roots = linked_fingerprints(fps, max_bits, block)
     rooted = settled(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low"), "roots")
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = rooted.select("fp", "root").join(lows, "root").select("fp", "component_id")
+    of = rooted.select("fp", "root").join(lows, "root").select("fp", "root", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(of, "fp").select("doc_id", "fp", digits.alias("fingerprint"), "component_id")
+    return rows.join(of, "fp").select("doc_id", "fp", digits.alias("fingerprint"), "component_id", "root", "t1", "t2")
 
 
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id stands for its component in ``found``, one row for each such id; null ids stay.
+    """One row of ``docs`` for each component in ``found``: with the smallest id that is not null, then by text hashes.
 
-    Of rows that repeat an id, the one with the smallest text hash stays.
+    Decisions are made for id and text: rows that repeat an id with another text belong to their own texts' components.
     """
     from pyspark.sql import Window
 
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    numbered = docs.join(kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi").withColumn(
-        "__n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
-    return numbered.where("__n = 1").drop("__n").unionByName(docs.where("doc_id is null"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), F.col("t1").alias("__b1"), F.col("t2").alias("__b2")))
+    kept = found.groupBy("root").agg(first.alias("k")).select("k.__id", "k.__b1", "k.__b2")
+    own = docs.withColumns({"__t1": F.xxhash64("text"), "__t2": F.xxhash64(F.lit(1), F.col("text"))})
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__t1") == F.col("__b1")) & (F.col("__t2") == F.col("__b2"))
+    # rows equal in id and text are one
+    numbered = own.join(kept, on, "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__t1", "__t2").orderBy(F.lit(0))))
+    return numbered.where("__n = 1").select(*docs.columns)

@@ -347,6 +347,21 @@ def test_items_without_an_id_or_with_one_id_twice(spark):
     assert decontaminate.without_matches(docs, found).count() == 0
 
 
+def test_decisions_hold_for_id_and_text(spark):
+    rng = random.Random(31)
+    a, b, c, item = ([f"{x}{rng.randrange(900)}" for _ in range(60)] for x in "abci")
+    rows = [(1, a), (1, b), (2, a), (2, c), (None, a), (None, item), (None, item), (3, item), (3, a), (None, b + c), (1, a)]
+    rows = [(i, " ".join(t)) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    single = simhash.one_of_each(docs, simhash.simhash_components(docs))
+    want = [(1, rows[0][1]), (1, rows[1][1]), (2, rows[3][1]), (3, rows[7][1]), (None, rows[9][1])]
+    assert sorted(map(tuple, single.collect()), key=key) == sorted(want, key=key)
+    found = decontaminate.benchmark_matches(docs, spark.createDataFrame([(5, " ".join(item))], "item_id long, text string"))
+    clean = decontaminate.without_matches(docs, found, null_ids_stay=False)
+    assert sorted(map(tuple, clean.collect()), key=key) == sorted((r for k, r in enumerate(rows) if k not in (5, 6, 7)), key=key)
+
+
 def test_raking(spark):
     rng = random.Random(9)
     rows = [(s, lang, t, rng.randrange(1, 1000)) for s in ("a", "b", None) for lang in ("en", None) for t in range(3)]

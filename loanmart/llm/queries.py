@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmart.llm import byte_bpe
 from loanmart.llm.decontaminate import benchmark_matches
 from loanmart.llm.embedding_dedup import embedding_components
 from loanmart.llm.license_scan import license_scan
@@ -41,6 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def quality_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings from the labels: 0 bad, 1 good but toxic, 2 good."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
@@ -121,3 +129,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_secret_scan")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op13_byte_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and bytes by the multilingual byte-level merges; SQL has no merge queue, see tests/llm/test_tokenizers.py."""
+    import public_tokenizers
+
+    ranks = byte_bpe.load_ranks(vocabulary("byte_bpe_multi_50k.tiktoken"))
+    ids = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    whole = byte_bpe.decoded(ids.drop("text"), ranks)
+    return whole.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmart.llm import byte_bpe
+from loanmart.llm import byte_bpe, token_alignment
 from loanmart.llm.decontaminate import benchmark_matches
 from loanmart.llm.embedding_dedup import embedding_components
 from loanmart.llm.license_scan import license_scan
@@ -141,3 +141,14 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = byte_bpe.decoded(ids.drop("text"), ranks)
     return whole.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two vocabularies; SQL has no tokenizers, see tests/llm/test_tokenizers.py."""
+    left, right = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    found = token_alignment.aligned(table(spark, sf_dir, "documents").select("doc_id", "text"), left, right)
+    # the groups' text is needed as a digest only
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    slim = found.withColumn("groups_sha256", digest).drop("text", "groups")
+    return token_alignment.counted(slim, token_alignment.piece_count(right))

@@ -4,7 +4,7 @@ Method: a text is cut by a pattern; each piece that is no token itself starts as
 one bucket of list positions for each merge rank and a bitmap of two levels of the buckets in use: find-first-set in the
 top level and then in the word it names gives the lowest rank, and the bucket, a heap, its leftmost position. Each merge unlinks one node and files
 at most two new pairs; entries of pairs that a merge has changed since are stale and skipped when they come up. A piece
-of n bytes takes O(n log n) steps, whatever its length. Pieces that come often are merged once per task.
+of n bytes takes O(n log n) steps, whatever its length. Pieces that come again soon are merged once.
 
 Spark deals the rows; nothing is shuffled. The rank table is read on the driver and broadcast: its size is that of the
 vocabulary file, not of the data.
@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from heapq import heappop, heappush
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ from pyspark.sql import types as T
 
 from loanmart.llm.text import slices
 
-#: Pieces up to so many characters, and so many of them, are remembered in a task.
-REMEMBERED_CHARS, REMEMBERED = 64, 200_000
+#: Pieces up to so many characters, and so many of them in each of two generations, are remembered in a task.
+REMEMBERED_CHARS, REMEMBERED = 64, 250_000
 
 # Letters and digits that Unicode has had since version 17. The merge tables' own library counts by
 # version 16, so for it they are neither; ``regex`` knows them.
@@ -68,32 +69,32 @@ class Encoder:
         letters, digits = rf"[\p{{L}}--[{NEWER_LETTERS}]]", rf"[\p{{N}}--[{NEWER_DIGITS}]]"
         self.strict = regex.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", digits), regex.V1)
         self.newer = regex.compile(f"[{NEWER_LETTERS}{NEWER_DIGITS}]")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.pairs = {(a, b): ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)}
+        self.known = _Known(self)
 
     def piece(self, data: bytes) -> tuple[int, ...]:
         whole = self.ranks.get(data)
         return (whole,) if whole is not None else tuple(self.merged(data))
 
-    def merged(self, data: bytes) -> Iterator[int]:
+    def merged(self, data: bytes) -> list[int]:
         """Ids of bytes after all merges, lowest rank first, of one rank leftmost first."""
         n, rank_of, bits, shift, mask = len(data), self.ranks.get, self.bits, self.shift, self.mask
         after, before = list(range(1, n + 1)), list(range(-1, n))
         # the rank of the pair that begins at a node; -1 for none
-        pair = [rank_of(data[i:i + 2], -1) for i in range(n - 1)]
+        pair = [self.pairs[x] for x in zip(data, data[1:])]
         pair.append(-1)
         # buckets in use, a bit for each; bit w of ``used`` says that word w has one
         buckets, words, used = {}, self.words, 0
-        filed = [(rank, i) for i, rank in enumerate(pair) if rank >= 0]
-        while True:
-            for rank, i in filed:
+        for i, rank in enumerate(pair):
+            if rank >= 0:
                 if rank in buckets:
-                    heappush(buckets[rank], i)
+                    buckets[rank].append(i)
                 else:
                     buckets[rank] = [i]
-                    words[rank >> shift] |= bits[rank & mask]
-                    used |= bits[rank >> shift]
-            if not used:
-                break
+                    w = rank >> shift
+                    words[w] |= bits[rank & mask]
+                    used |= bits[w]
+        while used:
             w = (used & -used).bit_length() - 1
             word = words[w]
             rank = w << shift | (word & -word).bit_length() - 1
@@ -103,44 +104,62 @@ class Encoder:
                 i = heappop(bucket)  # that one was stale
             if not bucket:
                 del buckets[rank]
-                words[w] = word & (word - 1)
-                if not words[w]:
+                words[w] = word = word & (word - 1)
+                if not word:
                     used &= used - 1
-            filed = []
             if pair[i] != rank:
                 continue
             gone = after[i]
             end = after[i] = after[gone]
             pair[gone] = pair[i] = -1
+            left = before[i]
+            filed = []
             if end < n:
                 before[end] = i
                 new = pair[i] = rank_of(data[i:after[end]], -1)
                 if new >= 0:
                     filed.append((new, i))
-            left = before[i]
             if left >= 0:
                 new = pair[left] = rank_of(data[left:end], -1)
                 if new >= 0:
                     filed.append((new, left))
-        at = 0
+            for new, at in filed:
+                if new in buckets:
+                    heappush(buckets[new], at)
+                else:
+                    buckets[new] = [at]
+                    w = new >> shift
+                    words[w] |= bits[new & mask]
+                    used |= bits[w]
+        out, at, ranks = [], 0, self.ranks
         while at < n:
-            yield self.ranks[data[at:after[at]]]
-            at = after[at]
-
-    def word(self, text: str) -> tuple[int, ...]:
-        ids = self.known.get(text)
-        if ids is None:
-            ids = self.piece(text.encode("utf-8", "replace"))
-            if len(text) <= REMEMBERED_CHARS:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = ids
-        return ids
+            end = after[at]
+            out.append(ranks[data[at:end]])
+            at = end
+        return out
 
     def text(self, text: str) -> array:
         pattern = self.plain if text.isascii() or not self.newer.search(text) else self.strict
         ids = array("i")
-        ids.extend(chain.from_iterable(self.word(m[0]) for m in pattern.finditer(text)))
+        ids.extend(chain.from_iterable(map(self.known.__getitem__, map(itemgetter(0), pattern.finditer(text)))))
+        return ids
+
+
+class _Known(dict):
+    """Ids by piece, of the pieces met last: what is not met again while a generation fills up goes with the next one."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder, self.older = encoder, {}
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.encoder.piece(text.encode("utf-8", "replace"))
+        if len(text) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[text] = ids
         return ids
 
 

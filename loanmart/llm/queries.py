@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmart.llm import byte_bpe, token_alignment
+from loanmart.llm import byte_bpe, conversation_trie, token_alignment
 from loanmart.llm.decontaminate import benchmark_matches
 from loanmart.llm.embedding_dedup import embedding_components
 from loanmart.llm.license_scan import license_scan
@@ -152,3 +152,32 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
     slim = found.withColumn("groups_sha256", digest).drop("text", "groups")
     return token_alignment.counted(slim, token_alignment.piece_count(right))
+
+
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query("op11_conversation_trie", f"""
+WITH turn AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+known AS (SELECT conv_id, turn, role, sha256(strlen(role) || ':' || role || text) AS id, strlen(text) AS bytes FROM turn),
+own AS (SELECT conv_id, id, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) - 1 AS pos FROM known),
+conv AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+head AS (SELECT c.conv_id, o.pos, o.id, o.bytes FROM conv c JOIN own o ON o.conv_id = c.base WHERE o.pos < c.h),
+rest AS (SELECT c.conv_id, 1000000 + o.pos AS pos, o.id, o.bytes FROM conv c JOIN own o ON o.conv_id = c.conv_id WHERE o.pos >= c.h),
+whole AS (SELECT conv_id, bytes, row_number() OVER w AS depth, string_agg(id, '') OVER w AS prefix FROM (FROM head UNION ALL FROM rest)
+          WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+member AS (SELECT conv_id, depth, prefix, bytes FROM whole UNION ALL SELECT conv_id, 0, '', 0 FROM conv),
+last AS (SELECT conv_id, max(depth) AS depth FROM member GROUP BY conv_id),
+node AS (SELECT prefix, depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes, left(prefix, 64 * (depth - 1)) AS above,
+         sha256(coalesce(string_agg(l.conv_id::VARCHAR, ',' ORDER BY l.conv_id), '')) AS ends
+         FROM member m LEFT JOIN last l USING (conv_id, depth) GROUP BY prefix, depth),
+child AS (SELECT above, count(*) AS n FROM node WHERE depth > 0 GROUP BY above),
+part AS (SELECT n.prefix, left(n.prefix, 64 * i) AS top, (c.n IS NULL)::BIGINT AS leaf, (n_convs - 1) * bytes AS saved
+         FROM node n LEFT JOIN child c ON c.above = n.prefix, unnest(range(0, n.depth + 1)) AS t(i)),
+below AS (SELECT top, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved FROM part GROUP BY top)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.n_leaves, b.saved AS saved_tokens, n.ends AS ends_sha256
+FROM node n JOIN below b ON b.top = n.prefix LEFT JOIN child c ON c.above = n.prefix LEFT JOIN node p ON n.depth > 0 AND p.prefix = n.above""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.conversation_turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.rebuilt(turns))

@@ -1,21 +1,27 @@
 """Nested documents to rows.
 
 A document table has real columns for the keys people filter on (``_id``, ``number``, ``created``) and one JSON text
-column ``doc``. Parsing is narrow work: one ``from_json`` per document reads only the wanted paths, nothing is shuffled.
+column ``doc``. A document is parsed once, to a variant, and everything below is taken from that: nothing is parsed
+again and nothing is shuffled.
+
+Numbers keep all their digits: a leaf is the number in plain notation, without trailing zeros behind the point
+(``100000000.00`` is ``100000000``). Numbers with an exponent, or of more than 38 digits, are read as doubles. Objects and
+lists at a leaf are JSON text with keys in order. A document with a key twice in one object is malformed, unless
+``spark.sql.variant.allowDuplicateKeys`` is set; then the last one counts.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanmart.contracts import NUMBER_COLUMNS, Entity
+from loanmart.session import settled
 
 
 # -- paths ------------------------------------------------------------------------------------------------------------
@@ -46,15 +52,45 @@ def _tree(paths: Iterable[str]) -> dict:
     return tree
 
 
-def path_schema(paths: Iterable[str]) -> T.StructType:
-    """The narrowest schema that holds all paths. Leaves are text; an object or list at a leaf stays JSON text."""
+def path_schema(paths: Iterable[str], whole: Iterable[str] = ()) -> T.StructType:
+    """The narrowest schema that holds all paths: text leaves, variants for the paths in ``whole``."""
+    kinds = {tuple(steps(p)): T.VariantType() for p in whole}
+
+    def build(node: dict, above: tuple) -> T.StructType:
+        return T.StructType([
+            T.StructField(k, kinds.get((*above, k), T.StringType()) if v is None else build(v, (*above, k))) for k, v in node.items()
+        ])
+
+    return build(_tree([*paths, *whole]), ())
+
+
+def _ddl(kind: T.DataType) -> str:
+    if isinstance(kind, T.StructType):
+        return f"struct<{','.join(f'{_quoted(f.name)}:{_ddl(f.dataType)}' for f in kind.fields)}>"
+    return kind.simpleString()
+
+
+def _texts(fields: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(f, T.StringType()) for f in fields])
+
 
-    def build(node: dict) -> T.StructType:
-        return T.StructType(
-            [T.StructField(k, T.StringType() if v is None else build(v)) for k, v in node.items()]
-        )
+def read_object(value: Column | str, schema: T.StructType) -> Column:
+    """A variant as a struct; null where it is no object. A field that is missing or does not fit is null."""
+    return F.try_variant_get(value, "$", _ddl(schema))
 
-    return build(_tree(paths))
+
+def as_list(value: Column | str) -> Column:
+    """The elements of a variant list; null for anything else."""
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def is_object(value: Column | str) -> Column:
+    return F.try_variant_get(value, "$", "struct<>").isNotNull()
+
+
+def as_text(value: Column | str) -> Column:
+    """A variant's text; JSON null gives null, an object or a list its JSON text."""
+    return F.try_variant_get(value, "$", "string")
 
 
 def _ref(root: str, path: str) -> str:
@@ -65,58 +101,68 @@ def _at(root: str, path: str) -> Column:
     return F.col(_ref(root, path))
 
 
+def _place(path: str) -> str:
+    return "$" + "".join(f"['{p}']" if '"' in p else f'["{p}"]' for p in steps(path))
+
+
 def json_path(doc: Column | str, path: str) -> Column:
     """One dotted path as text; null when any step is missing or no object."""
-    doc = F.col(doc) if isinstance(doc, str) else doc
-    return F.get_json_object(doc, "$" + "".join(f"['{p}']" for p in steps(path)))
+    return F.try_variant_get(F.try_parse_json(doc), _place(path), "string")
 
 
 def path_exists(doc: Column | str, path: str) -> Column:
-    """True when the path is present, also when its value is JSON null or its key occurs twice."""
-    doc = F.col(doc) if isinstance(doc, str) else doc
-    *inner, leaf = steps(path)
-    parent = json_path(doc, ".".join(map(_step, inner))) if inner else doc
-    return F.coalesce(F.array_contains(F.json_object_keys(parent), leaf), F.lit(False))
+    """True when the path is present, also when its value is JSON null."""
+    return F.try_variant_get(F.try_parse_json(doc), _place(path), "variant").isNotNull()
 
 
 def select_paths(docs: DataFrame, paths: Mapping[str, str], keep: Iterable[str] = (), doc: str = "doc") -> DataFrame:
     """Read many paths with one parse: ``{output column: dotted path}``, all as text."""
     keep = list(keep)
-    parsed = docs.select(*keep, F.from_json(F.col(doc), path_schema(paths.values())).alias("_d"))
+    parsed = docs.select(*keep, read_object(F.try_parse_json(doc), path_schema(paths.values())).alias("_d"))
     return parsed.selectExpr(*[f"`{c}`" for c in keep], *[f"{_ref('_d', p)} as {_quoted(out)}" for out, p in paths.items()])
 
 
 # -- one or many ------------------------------------------------------------------------------------------------------
 
-def one_or_many(container: Column | str, fields: Iterable[str]) -> Column:
-    """JSON text of one object or a list of objects as an array; null, blank and absent give null.
+def items(container: Column | str) -> Column:
+    """The elements of a one-or-many variant; null, JSON null and blank text give null.
 
-    ``from_json`` wraps a single root object into an array by itself, so no case split is needed.
+    Anything but a list is one element. A text that holds a list or an object is opened as well.
     """
     container = F.col(container) if isinstance(container, str) else container
-    schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    return F.from_json(container, schema)
+    text = F.btrim(as_text(container), F.lit(" \t\r\n"))
+    inner = F.coalesce(F.when(text.startswith("[") | text.startswith("{"), F.try_parse_json(text)), container)
+    one = F.when(text != "", F.coalesce(as_list(inner), F.array(inner)))
+    return F.coalesce(as_list(container), F.when(is_object(container), F.array(container)).otherwise(one))
+
+
+def _container(text: Column | str) -> Column:
+    """Text as a variant: what it holds if it is JSON, else the text itself."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(F.try_parse_json(text), text.cast("variant"))
 
 
 def elements(container: Column | str) -> Column:
-    """The elements of a one-or-many container, each as JSON text; anything but a list is one element.
+    """The elements of a one-or-many container given as text, each as text; anything but a list is one element.
 
-    Null, blank and JSON null give null. An element is an object if its text begins with a brace.
+    Null, blank and JSON null give null.
     """
-    container = F.col(container) if isinstance(container, str) else container
-    text = F.btrim(container, F.lit(" \t\r\n"))
-    one = F.array(text)
-    many = F.coalesce(F.from_json(text, T.ArrayType(T.StringType())), one)
-    each = F.transform(F.when(text.startswith("["), many).otherwise(one), lambda x: F.coalesce(x, F.lit("null")))
-    return F.when(text.isNotNull() & ~text.isin("", "null"), each)
+    return F.transform(items(_container(container)), lambda x: F.coalesce(as_text(x), F.lit("null")))
+
+
+def one_or_many(container: Column | str, fields: Iterable[str]) -> Column:
+    """JSON text of one object or a list as an array of its objects; null, blank and absent give null."""
+    schema = _texts(fields)
+    return F.filter(F.transform(items(_container(container)), lambda x: read_object(x, schema)), lambda x: x.isNotNull())
 
 
-def _is_object(element: Column) -> Column:
-    return F.coalesce(element.startswith("{"), F.lit(False))
+def any_element(container: Column | str, fields: Iterable[str], test) -> Column:
+    """True when some object of a one-or-many container passes ``test(element)``; other elements are passed over."""
+    return F.coalesce(F.exists(one_or_many(container, fields), test), F.lit(False))
 
 
 def containers(docs: DataFrame, entities: Iterable[Entity], path: str | None = None) -> DataFrame:
-    """Parent values (``_s_<source>``) and raw child text (``_r_<path>``) of several entities, from one parse.
+    """Parent values (``_s_<source>``) and children (``_r_<path>``, variants) of several entities, from one parse.
 
     ``_k_<key>`` are the document's own keys and ``_bad`` its text where it is no JSON object, for rejects.
     """
@@ -127,11 +173,11 @@ def containers(docs: DataFrame, entities: Iterable[Entity], path: str | None = N
     parsed = docs.select(
         *[F.col(p).alias(f"_s_{p}") for p in sources if p not in inside],
         *[F.col(c).alias(f"_k_{c}") for c in ("_id", "number") if c in docs.columns],
-        F.when(F.json_object_keys("doc").isNull(), F.col("doc")).alias("_bad"),
-        F.from_json("doc", path_schema([*paths, *inside])).alias("_d"),
+        "doc", read_object(F.try_parse_json("doc"), path_schema(inside, paths)).alias("_d"),
     )
     return parsed.select(
-        *[F.col(f"`{c}`") for c in parsed.columns if c != "_d"],
+        *[F.col(f"`{c}`") for c in parsed.columns if c not in ("_d", "doc")],
+        F.when(F.col("_d").isNull(), F.col("doc")).alias("_bad"),
         *[_at("_d", p).alias(f"_s_{p}") for p in inside],
         *[_at("_d", p).alias(f"_r_{p}") for p in paths],
     )
@@ -142,12 +188,12 @@ def unnest(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFram
 
     Two-level entities accept every container shape: one object or a list, at the wrapper and at the child.
     """
-    return unnest_split(docs, entity, path)[0]
+    return only_rows(unnest_tagged(docs, entity, path))
 
 
 def unnest_rejects(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
     """What :func:`unnest` cannot read: ``_id``, ``number``, ``entity``, ``reason``, ``raw``."""
-    return unnest_split(docs, entity, path)[1]
+    return only_rejects(unnest_tagged(docs, entity, path), entity)
 
 
 def unnest_split(docs: DataFrame, entity: Entity, path: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -156,48 +202,70 @@ def unnest_split(docs: DataFrame, entity: Entity, path: str | None = None) -> tu
 
 
 def split_container(opened: DataFrame, entity: Entity, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows and rejects of one entity from the output of :func:`containers`; each element is parsed once, by itself."""
+    """Rows and rejects of one entity from the output of :func:`containers`."""
+    tagged = tag_container(opened, entity, path)
+    return only_rows(tagged), only_rejects(tagged, entity)
+
+
+def only_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("reason").isNull()).select("row.*")
+
+
+def only_rejects(tagged: DataFrame, entity: Entity) -> DataFrame:
+    return tagged.where(F.col("reason").isNotNull()).select("key.*", F.lit(entity.name).alias("entity"), "reason", "raw")
+
+
+def unnest_tagged(docs: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
+    """Rows and rejects of an entity in one pass; see :func:`tag_container`."""
+    return tag_container(containers(docs, [entity], path), entity, path)
+
+
+def tag_container(opened: DataFrame, entity: Entity, path: str | None = None) -> DataFrame:
+    """One row for each element of the entity, opened or rejected, from the output of :func:`containers`.
+
+    ``reason`` is null for rows; ``raw`` is a reject's text; ``key`` has the document's keys, ``row`` the entity's columns.
+    """
     made = {c: entity.rename.get(c, c) for c in entity.columns}
     if not entity.child_wins:
         made = {c: f for c, f in made.items() if c not in entity.parents and c not in entity.carry}
     fields = list(dict.fromkeys(made.values()))
     keys = [c for c in opened.columns if c.startswith("_k_")]
+    none = F.lit(None).cast("string")
+    rows = opened.select(
+        *keys, *[F.col(f"`_s_{p}`").alias(f"_p_{out}") for out, p in entity.parents.items()],
+        F.when(F.col("_bad").isNotNull(), "malformed document").alias("_reason"), F.col("_bad").alias("_raw"),
+        F.col(f"`_r_{path or entity.path}`").alias("_c"),
+    )
 
-    def rejected(frame: DataFrame, reason: str, raw: str) -> DataFrame:
-        return frame.select(*[F.col(k).alias(k[3:]) for k in keys], F.lit(entity.name).alias("entity"), F.lit(reason).alias("reason"),
-                            F.col(raw).alias("raw"))
-
-    rejects = rejected(opened.where(F.col("_bad").isNotNull()), "malformed document", "_bad")
-
-    def spread(frame: DataFrame, held: list[str], raw: Column, wanted: list[str], reason: str) -> DataFrame:
-        """One row for each object in ``raw``, parsed as ``_o``."""
-        nonlocal rejects
-        each = frame.select(*held, F.explode(elements(raw)).alias("_e"))
-        rejects = rejects.unionByName(rejected(each.where(~_is_object(F.col("_e"))), reason, "_e"))
-        schema = T.StructType([T.StructField(f, T.StringType()) for f in wanted])
-        return each.where(_is_object(F.col("_e"))).select(*held, F.from_json("_e", schema).alias("_o"))
+    def opened_by(frame: DataFrame, schema: T.StructType, reason: str) -> DataFrame:
+        """One row for each element of ``_c``, read as ``_o``, or rejected; what is rejected already goes through."""
+        held = [c for c in frame.columns if c not in ("_reason", "_raw", "_c")]
+        gone = F.array(F.struct(F.col("_reason").alias("reason"), F.col("_raw").alias("raw"), F.lit(None).cast("variant").alias("e")))
+        each = F.transform(items("_c"), lambda e: F.struct(none.alias("reason"), none.alias("raw"), e.alias("e")))
+        one = frame.select(*held, F.explode(F.when(F.col("_reason").isNotNull(), gone).otherwise(each)).alias("_x"))
+        read = one.select(*held, "_x", read_object("_x.e", schema).alias("_o"))
+        bad = F.col("_x.reason").isNull() & F.col("_o").isNull()
+        return read.select(*held, F.when(bad, reason).otherwise(F.col("_x.reason")).alias("_reason"),
+                           F.when(bad, F.coalesce(as_text("_x.e"), F.lit("null"))).otherwise(F.col("_x.raw")).alias("_raw"), "_o")
 
-    rows = opened.select(*keys, *[F.col(f"`_s_{p}`").alias(f"_p_{out}") for out, p in entity.parents.items()],
-                         F.col(f"`_r_{path or entity.path}`").alias("_raw"))
-    held = [c for c in rows.columns if c != "_raw"]
     if entity.nested:
         wrapper, child = entity.nested
-        outer = list(dict.fromkeys([*entity.carry.values(), wrapper]))
-        rows = spread(rows, held, F.col("_raw"), outer, "unreadable child")
-        rows = rows.select(*held, *[_at("_o", f).alias(f"_p_{out}") for out, f in entity.carry.items()], _at("_o", wrapper).alias("_raw"))
-        held = [c for c in rows.columns if c != "_raw"]
-        rows = spread(rows, held, F.col("_raw"), [child], "unreadable wrapper")
-        rows = rows.select(*held, _at("_o", child).alias("_raw"))
-    rows = spread(rows, held, F.col("_raw"), fields, "unreadable child")
+        rows = opened_by(rows, path_schema(dict.fromkeys(map(_step, entity.carry.values())), [_step(wrapper)]), "unreadable child")
+        kept = [c for c in rows.columns if c != "_o"]
+        rows = rows.select(*kept, *[_at("_o", _step(f)).alias(f"_p_{out}") for out, f in entity.carry.items()], _at("_o", _step(wrapper)).alias("_c"))
+        rows = opened_by(rows, path_schema([], [_step(child)]), "unreadable wrapper")
+        rows = rows.withColumn("_c", _at("_o", _step(child))).drop("_o")
+    rows = opened_by(rows, _texts(fields), "unreadable child")
 
     def value(c: str) -> str:
         options = [f"_o.`{made[c]}`"] if c in made else []
-        if f"_p_{c}" in held:
+        if f"_p_{c}" in rows.columns:
             options.append(f"cast(`_p_{c}` as string)")
         out = f"coalesce({', '.join(options)})" if options else "cast(null as string)"
         return f"{f'try_cast({out} as bigint)' if c in NUMBER_COLUMNS else out} as `{c}`"
 
-    return rows.selectExpr(*[value(c) for c in entity.output]), rejects
+    return rows.select(F.col("_reason").alias("reason"), F.col("_raw").alias("raw"), F.struct(*[F.col(k).alias(k[3:]) for k in keys]).alias("key"),
+                       F.struct(*[F.expr(value(c)) for c in entity.output]).alias("row"))
 
 
 # -- shaping ----------------------------------------------------------------------------------------------------------
@@ -254,24 +322,12 @@ def flatten_prefix(df: DataFrame, sep: str = "_") -> DataFrame:
 
 
 def discover_paths(docs: DataFrame, doc: str = "doc") -> list[str]:
-    """All dotted paths that occur, from one distributed aggregate. Lists count as leaves.
+    """All dotted paths that occur. Lists count as leaves.
 
-    Only the merged schema reaches the driver; its size depends on the document shape, not on the row count. A path
-    that is an object in some documents and a scalar in others is a leaf.
+    They become columns, so their number must fit into a schema; :func:`path_values` needs no such list and takes
+    documents whose keys are ids.
     """
-    merged = docs.agg(F.schema_of_variant_agg(F.try_parse_json(doc)).alias("s")).first()["s"]
-    if not merged or not merged.startswith("OBJECT"):
-        return []
-    schema = T.DataType.fromDDL(merged.replace("OBJECT<", "STRUCT<"))
-
-    def walk(t: T.StructType, prefix: str):
-        for f in t.fields:
-            if isinstance(f.dataType, T.StructType):
-                yield from walk(f.dataType, f"{prefix}{_step(f.name)}.")
-            else:
-                yield prefix + _step(f.name)
-
-    return list(walk(schema, ""))
+    return sorted(r["path"] for r in path_values(docs, doc=doc).select("path").distinct().collect())
 
 
 def flatten_paths(docs: DataFrame, keep: Iterable[str] = (), doc: str = "doc",
@@ -281,53 +337,59 @@ def flatten_paths(docs: DataFrame, keep: Iterable[str] = (), doc: str = "doc",
     return select_paths(docs, {p: p for p in paths}, keep, doc)
 
 
-def path_values(docs: DataFrame, keep: Iterable[str] = (), doc: str = "doc",
-                paths: Iterable[str] | None = None) -> DataFrame:
-    """The long form of :func:`flatten_paths`: one row per document and path that holds a value."""
+#: Levels opened in one job; a deeper document takes further jobs.
+LEVELS = 8
+
+
+def _descend(frame: DataFrame, keep: list[str], step: Callable[[], Column]) -> DataFrame:
+    """Open ``_v`` level by level until nothing is left to open; ``keep`` and the ``_v``, ``_at`` of what was found.
+
+    ``step`` gives, for a row that is still open, its pieces as structs ``done``, ``at``, ``v``. ``LEVELS`` levels are one
+    narrow plan; what is then still open is written and taken up by the next.
+    """
+    found = None
+    while True:
+        for _ in range(LEVELS):
+            ready = F.array(F.struct(F.lit(True).alias("done"), F.col("_at").alias("at"), F.col("_v").alias("v")))
+            frame = frame.select(*keep, F.explode(F.when(F.col("_done"), ready).otherwise(step())).alias("_x")).select(
+                *keep, F.col("_x.done").alias("_done"), F.col("_x.at").alias("_at"), F.col("_x.v").alias("_v"))
+        frame = settled(frame, "levels")
+        done = frame.where("_done").drop("_done")
+        found = done if found is None else found.unionByName(done)
+        frame = frame.where("not _done")
+        if frame.isEmpty():
+            return found
+
+
+def _entries(value: str = "_v") -> Column:
+    """An object's fields as structs ``key``, ``value``; null for anything else."""
+    return F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+
+
+def path_values(docs: DataFrame, keep: Iterable[str] = (), doc: str = "doc", paths: Iterable[str] | None = None) -> DataFrame:
+    """``path``, ``value`` (text): a row for each document and dotted path that holds a value; lists are kept whole as JSON text.
+
+    With ``paths`` only those, else all that a document has, whatever its keys: no list of them is made.
+    """
     keep = list(keep)
-    wide = flatten_paths(docs, keep, doc, paths)
-    pairs = [F.struct(F.lit(c).alias("path"), F.col(_quoted(c)).alias("value")) for c in wide.columns if c not in keep]
-    return wide.select(*keep, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    if paths is not None:
+        wide = flatten_paths(docs, keep, doc, paths)
+        pairs = [F.struct(F.lit(c).alias("path"), F.col(_quoted(c)).alias("value")) for c in wide.columns if c not in keep]
+        return wide.select(*keep, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
+    def step() -> Column:
+        def piece(e: Column) -> Column:
+            key = F.when(e["key"].contains("."), F.concat(F.lit("`"), e["key"], F.lit("`"))).otherwise(e["key"])
+            return F.struct((~is_object(e["value"])).alias("done"), F.concat_ws(".", F.col("_at"), key).alias("at"), e["value"].alias("v"))
 
-# -- search -----------------------------------------------------------------------------------------------------------
+        return F.transform(_entries(), piece)
 
-def _objects_under(node, key: str):
-    """Atomic fields of every object found under ``key``, at any depth; a match is not searched further."""
-    todo = [node]
-    while todo:
-        here = todo.pop()
-        if isinstance(here, list):
-            todo.extend(x for x in here if isinstance(x, (dict, list)))
-            continue
-        for name, value in here.items():
-            if name != key:
-                if isinstance(value, (dict, list)):
-                    todo.append(value)
-                continue
-            for obj in value if isinstance(value, list) else [value]:
-                if isinstance(obj, dict):
-                    yield {k: v for k, v in obj.items() if not isinstance(v, (dict, list))}
-
-
-def _found(key: str):
-    """Objects under a key as JSON texts; null for a document that cannot be walked."""
-
-    def one(text):
-        try:
-            tree = json.loads(text)
-            if not isinstance(tree, (dict, list)):
-                return []
-            return [json.dumps(o, ensure_ascii=False) for o in _objects_under(tree, key)]
-        except (ValueError, RecursionError):
-            return None
-
-    def found(texts: pd.Series) -> pd.Series:
-        return texts.map(one)
-
-    return F.pandas_udf(found, T.ArrayType(T.StringType()))
+    open_ = docs.select(*keep, F.lit(False).alias("_done"), F.lit(None).cast("string").alias("_at"), F.try_parse_json(doc).alias("_v"))
+    return _descend(open_, keep, step).select(*keep, F.col("_at").alias("path"), as_text("_v").alias("value")).where("value is not null")
 
 
+# -- search -----------------------------------------------------------------------------------------------------------
+
 def _mentions(docs: DataFrame, key: str, doc: str) -> DataFrame:
     # a key may be written with escapes, so a document with a backslash has to be read
     written = json.dumps(key, ensure_ascii=False)
@@ -338,23 +400,31 @@ def key_search(docs: DataFrame, key: str, fields: Iterable[str], keep: Iterable[
                doc: str = "doc") -> DataFrame:
     """Every object stored under ``key`` anywhere in a document, with its atomic fields as text.
 
-    Built-in functions cannot descend without a depth limit, so an Arrow-batched function walks each document. Documents
-    that do not mention the key never leave the JVM.
+    Documents that mention the key are opened level by level, to any depth; what stands below a match is not searched.
     """
     keep = list(keep)
-    hits = _mentions(docs, key, doc).select(*keep, F.explode(_found(key)(F.col(doc))).alias("_hit"))
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    return hits.select(*keep, F.from_json("_hit", schema).alias("_f")).select(*keep, "_f.*")
+    none = F.lit(None).cast("string").alias("at")
 
+    def step() -> Column:
+        def field(e: Column) -> Column:
+            hits = F.coalesce(as_list(e["value"]), F.array(e["value"]))
+            found = F.transform(hits, lambda x: F.struct(F.lit(True).alias("done"), none, x.alias("v")))
+            return F.when(e["key"] == key, found).otherwise(F.array(F.struct(F.lit(False).alias("done"), none, e["value"].alias("v"))))
 
-def key_search_rejects(docs: DataFrame, key: str, keep: Iterable[str] = (), doc: str = "doc") -> DataFrame:
-    """Documents :func:`key_search` cannot walk: no valid JSON, or nested too deep. ``raw`` holds the text."""
-    read = _mentions(docs, key, doc).select(*keep, F.col(doc).alias("raw"), _found(key)(F.col(doc)).alias("_hits"))
-    return read.where(F.col("_hits").isNull()).drop("_hits")
+        inside = F.transform(as_list("_v"), lambda x: F.struct(F.lit(False).alias("done"), none, x.alias("v")))
+        return F.coalesce(F.flatten(F.transform(_entries(), field)), inside)
 
+    open_ = _mentions(docs, key, doc).select(*keep, F.lit(False).alias("_done"), F.lit(None).cast("string").alias("_at"), F.try_parse_json(doc).alias("_v"))
+    schema = T.StructType([T.StructField(f, T.VariantType()) for f in fields])
+    hits = _descend(open_, keep, step).select(*keep, read_object("_v", schema).alias("_f")).where("_f is not null")
 
-def any_element(container: Column | str, fields: Iterable[str], test) -> Column:
-    """True when some object of a one-or-many container passes ``test(element)``; other elements are passed over."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    objects = F.filter(elements(container), _is_object)
-    return F.coalesce(F.exists(F.transform(objects, lambda x: F.from_json(x, schema)), test), F.lit(False))
+    def atomic(f: str) -> Column:
+        value = F.col(f"_f.{_quoted(f)}")
+        return F.when(as_list(value).isNull() & ~is_object(value), as_text(value)).alias(f)
+
+    return hits.select(*keep, *[atomic(f) for f in fields])
+
+
+def key_search_rejects(docs: DataFrame, key: str, keep: Iterable[str] = (), doc: str = "doc") -> DataFrame:
+    """Documents :func:`key_search` cannot open: no valid JSON, or nested too deep. ``raw`` holds the text."""
+    return _mentions(docs, key, doc).where(F.try_parse_json(doc).isNull()).select(*keep, F.col(doc).alias("raw"))

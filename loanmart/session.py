@@ -22,6 +22,7 @@ def local_session(app: str = "loanmart", cores: str = "*", partitions: int = 8)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )

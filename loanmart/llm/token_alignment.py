@@ -21,6 +21,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,12 @@ def _letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+#: A space between two visible characters. No token of either kind runs across one, so the words between are encoded apart.
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Words up to so many characters, and so many of them in each of two generations, are remembered in a task.
+REMEMBERED_CHARS, REMEMBERED = 64, 200_000
+
+
 class ByteLevel:
     """A byte-level vocabulary given as the JSON text of its file."""
 
@@ -56,6 +65,7 @@ class ByteLevel:
 
         letters = _letters()
         self.model = Tokenizer.from_str(source)
+        self.apart = True  # the cutting pattern begins a new part at such a space
         self.model.encode_special_tokens = True
         ids = json.loads(source)["model"]["vocab"]
         self.pieces = [b""] * (max(ids.values(), default=-1) + 1)
@@ -77,6 +87,7 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.pieces.append(bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+        self.apart = not any(re.search("[^▁]▁", self.model.id_to_piece(i)) for i in range(len(self.pieces)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
@@ -110,12 +121,15 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_from: np.ndarray, a_to: np.ndarr
                 k[i], j[i], hit[i] = ends[nearest], at[nearest], True
             else:
                 tried[i] = a_to[i] - a_from[i]
-        k, j = k[hit], j[hit]
-        cut_a[k] = cut_b[j] = True
-        miss = ~hit
-        halves = [(a_from[hit], k + 1, b_from[hit], j + 1), (k + 1, a_to[hit], j + 1, b_to[hit]), (a_from[miss], a_to[miss], b_from[miss], b_to[miss])]
-        tried = np.concatenate([np.zeros(2 * len(k), dtype=np.int64), tried[miss] + 1])
-        a_from, a_to, b_from, b_to = (np.concatenate(x) for x in zip(*halves))
+        cut_a[k[hit]] = cut_b[j[hit]] = True
+        # a hit gives two intervals in its place, so that all stay in order and lookups near each other
+        of = np.repeat(np.arange(len(hit)), 1 + hit)
+        right = np.zeros(len(of), dtype=bool)
+        right[1:] = of[1:] == of[:-1]
+        left = hit[of] & ~right
+        a_from, a_to = np.where(right, k[of] + 1, a_from[of]), np.where(left, k[of] + 1, a_to[of])
+        b_from, b_to = np.where(right, j[of] + 1, b_from[of]), np.where(left, j[of] + 1, b_to[of])
+        tried = np.where(hit[of], 0, tried[of] + 1)
 
 
 def _expanded(a, b, a_at, p, b_at, q, doc):
@@ -149,6 +163,10 @@ class _Aligner:
 
     def __init__(self, left, right):
         self.left, self.right, self.base = left, right, len(right.pieces)
+        # words met lately; what is not met again while a generation fills up goes with the next one
+        self.length = {v: [len(x) for x in v.pieces].__getitem__ for v in (left, right)}
+        self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         if len(left.pieces) * self.base > 1 << 32:
             raise ValueError("the two vocabularies have more than 2^32 pairs")
         self.sizes = [np.array([len(x) for x in v.pieces], dtype=np.int64) for v in (left, right)]
@@ -156,24 +174,45 @@ class _Aligner:
         self.first = len(left.pieces)
         self.written = [f"{mark}{i}" for mark in (";", ",") for i in range(len(left.pieces))] + [f"{mark}{i}" for mark in ("|", ",") for i in range(self.base)]
 
-    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        out = []
-        full = [i for i, t in enumerate(texts) if t]
-        for v in (self.left, self.right):
-            made: list[list[int]] = [[] for _ in texts]
-            for i, ids in zip(full, v.encode([texts[i] for i in full])):
-                made[i] = ids
-            out.append(made)
-        for i in full:
-            whole = (" " + texts[i]).encode("utf-8", "replace")
-            if any(b"".join(map(v.pieces.__getitem__, made[i])) != whole for v, made in zip((self.left, self.right), out)):
-                out[0][i], out[1][i] = [], []
-        return out[0], out[1]
+    def _read(self, words: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """Both token lists of texts, four bytes a token, and whether both have the bytes of a space and the text."""
+        lists = self.left.encode(words), self.right.encode(words)
+        whole = [(" " + w).encode("utf-8", "replace") for w in words]
+        good = np.ones(len(words), dtype=bool)
+        for v, made in zip((self.left, self.right), lists):
+            written = b"".join(map(v.pieces.__getitem__, chain.from_iterable(made)))
+            if written != b"".join(whole) or [sum(map(self.length[v], ids)) for ids in made] != [len(x) for x in whole]:
+                good &= [b"".join(map(v.pieces.__getitem__, ids)) == x for ids, x in zip(made, whole)]
+        packed = [[array("i", ids).tobytes() for ids in made] for made in lists]
+        return list(zip(*packed, good.tolist()))
+
+    def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Token ids and numbers of tokens, for both sides; no tokens for a text whose bytes differ."""
+        cut = [(BETWEEN.split(t) if self.left.apart and self.right.apart else [t]) if t else [] for t in texts]
+        words = set(chain.from_iterable(cut))
+        now = {w: kept for w in words if (kept := self.known.get(w) or self.older.get(w)) is not None}
+        missing = [w for w in words if w not in now]
+        now.update(zip(missing, self._read(missing)))
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        self.known.update((w, x) for w, x in now.items() if len(w) <= REMEMBERED_CHARS)
+        sides: tuple[list, list] = ([], [])
+        counts: tuple[list, list] = ([], [])
+        for text, parts in zip(texts, cut):
+            read = [now[w] for w in parts]
+            own = [b"".join([x[k] for x in read]) for k in (0, 1)]
+            # bytes that differ in a word might still make up the text
+            if not all([x[2] for x in read]) and any(
+                    b"".join([v.pieces[i] for i in np.frombuffer(ids, dtype=np.int32)]) != (" " + text).encode("utf-8", "replace")
+                    for v, ids in zip((self.left, self.right), own)):
+                own = [b"", b""]
+            for k in (0, 1):
+                sides[k].append(own[k])
+                counts[k].append(len(own[k]) // 4)
+        return ([np.frombuffer(b"".join(x), dtype=np.int32).astype(np.int64) for x in sides], [np.array(n, dtype=np.int64) for n in counts])
 
     def align(self, texts: list[str]) -> dict:
-        lists = self.ids(texts)
-        tokens = [np.concatenate([np.zeros(0, dtype=np.int64), *(np.array(ids, dtype=np.int64) for ids in side)]) for side in lists]
-        counts = [np.array([len(ids) for ids in side], dtype=np.int64) for side in lists]
+        tokens, counts = self.ids(texts)
         bounds = [np.concatenate([[0], np.cumsum(n)]) for n in counts]
         ends = [np.cumsum(size[t]) for size, t in zip(self.sizes, tokens)]
         some = np.flatnonzero(counts[0])

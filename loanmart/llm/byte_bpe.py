@@ -1,10 +1,12 @@
 """Byte-level BPE: token ids of whole texts by a table of merge ranks, and their bytes again.
 
-Method: a text is cut by a pattern; each piece that is no token itself starts as a linked list of its bytes. A queue has
-one bucket of list positions for each merge rank and a bitmap of two levels of the buckets in use: find-first-set in the
-top level and then in the word it names gives the lowest rank, and the bucket, a heap, its leftmost position. Each merge unlinks one node and files
-at most two new pairs; entries of pairs that a merge has changed since are stale and skipped when they come up. A piece
-of n bytes takes O(n log n) steps, whatever its length. Pieces that come again soon are merged once.
+Method: a text is cut by a pattern; the pieces that are no token themselves start as a linked list of their bytes, all
+pieces of a run of texts in one list with walls between them. A queue has one bucket of list positions for each merge
+rank and a bitmap of two levels of the buckets in use: find-first-set in the top level and then in the word it names
+gives the lowest rank. Its positions are merged from left to right; each merge unlinks one node and files at most two new
+pairs, and entries of pairs that a merge has changed since are stale and skipped. Should a merge make a pair of a lower
+rank, the rest of the bucket goes back and waits for that. A piece of n bytes takes O(n log n) steps, whatever its
+length. Pieces that come again soon are merged once.
 
 Spark deals the rows; nothing is shuffled. The rank table is read on the driver and broadcast: its size is that of the
 vocabulary file, not of the data.
@@ -19,18 +21,20 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable, Iterable
-from heapq import heappop, heappush
-from itertools import chain
+from itertools import accumulate, batched, chain
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from loanmart.llm.text import slices
+from loanmart.llm.text import CHUNK, slices
 
+#: Pieces of a long text that are merged at once.
+PART = 200_000
 #: Pieces up to so many characters, and so many of them in each of two generations, are remembered in a task.
 REMEMBERED_CHARS, REMEMBERED = 64, 250_000
 
@@ -55,112 +59,137 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids of single texts."""
+    """Ids of texts."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         # two levels serve any number of ranks, as a word has about the root of that many bits
         self.shift = (max(ranks.values(), default=0).bit_length() + 1) // 2
-        self.mask = (1 << self.shift) - 1
-        self.bits = [1 << b for b in range(1 << self.shift)]
-        # all zero between two pieces
-        self.words = [0] * (1 << self.shift)
         self.plain = regex.compile(pattern)
         letters, digits = rf"[\p{{L}}--[{NEWER_LETTERS}]]", rf"[\p{{N}}--[{NEWER_DIGITS}]]"
         self.strict = regex.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", digits), regex.V1)
         self.newer = regex.compile(f"[{NEWER_LETTERS}{NEWER_DIGITS}]")
         self.pairs = {(a, b): ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)}
-        self.known = _Known(self)
-
-    def piece(self, data: bytes) -> tuple[int, ...]:
-        whole = self.ranks.get(data)
-        return (whole,) if whole is not None else tuple(self.merged(data))
-
-    def merged(self, data: bytes) -> list[int]:
-        """Ids of bytes after all merges, lowest rank first, of one rank leftmost first."""
-        n, rank_of, bits, shift, mask = len(data), self.ranks.get, self.bits, self.shift, self.mask
+        # pieces met lately, four bytes an id; what is not met again while a generation fills up goes with the next one
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece after all merges: of a piece, the lowest rank first, and of one rank the leftmost first."""
+        # one list for all pieces; a wall stands before, between and behind them
+        data = b"\0" + b"\0".join(pieces) + b"\0"
+        n, rank_of, shift, mask = len(data), self.ranks.get, self.shift, (1 << self.shift) - 1
+        wall = bytearray(n + 1)
+        for at in accumulate([0, *(len(p) + 1 for p in pieces)]):
+            wall[at] = 1
         after, before = list(range(1, n + 1)), list(range(-1, n))
-        # the rank of the pair that begins at a node; -1 for none
-        pair = [self.pairs[x] for x in zip(data, data[1:])]
+        # the rank of the pair that begins at a node, -1 for none
+        pair = [-1 if at_wall or next_wall else self.pairs[x] for at_wall, next_wall, x in zip(wall, wall[1:], zip(data, data[1:]))]
         pair.append(-1)
-        # buckets in use, a bit for each; bit w of ``used`` says that word w has one
-        buckets, words, used = {}, self.words, 0
+        # positions by rank; a bit in ``words`` for each rank that has some, a bit in ``used`` for each word that is not zero
+        buckets: dict[int, list[int]] = {}
+        words, used = [0] * (1 << shift), 0
         for i, rank in enumerate(pair):
             if rank >= 0:
                 if rank in buckets:
                     buckets[rank].append(i)
                 else:
                     buckets[rank] = [i]
-                    w = rank >> shift
-                    words[w] |= bits[rank & mask]
-                    used |= bits[w]
+                    words[rank >> shift] |= 1 << (rank & mask)
+                    used |= 1 << (rank >> shift)
         while used:
             w = (used & -used).bit_length() - 1
             word = words[w]
             rank = w << shift | (word & -word).bit_length() - 1
-            bucket = buckets[rank]
-            i = heappop(bucket)
-            while bucket and pair[i] != rank:
-                i = heappop(bucket)  # that one was stale
-            if not bucket:
-                del buckets[rank]
-                words[w] = word = word & (word - 1)
-                if not word:
-                    used &= used - 1
-            if pair[i] != rank:
-                continue
-            gone = after[i]
-            end = after[i] = after[gone]
-            pair[gone] = pair[i] = -1
-            left = before[i]
-            filed = []
-            if end < n:
+            words[w] = word & (word - 1)
+            if not words[w]:
+                used &= used - 1
+            bucket = buckets.pop(rank)
+            bucket.sort()
+            lower = rank
+            for at, i in enumerate(bucket):
+                if pair[i] != rank:
+                    continue  # stale
+                gone = after[i]
+                after[i] = end = after[gone]
                 before[end] = i
-                new = pair[i] = rank_of(data[i:after[end]], -1)
-                if new >= 0:
-                    filed.append((new, i))
-            if left >= 0:
-                new = pair[left] = rank_of(data[left:end], -1)
-                if new >= 0:
-                    filed.append((new, left))
-            for new, at in filed:
-                if new in buckets:
-                    heappush(buckets[new], at)
+                pair[gone] = -1
+                if wall[end]:
+                    pair[i] = -1
                 else:
-                    buckets[new] = [at]
-                    w = new >> shift
-                    words[w] |= bits[new & mask]
-                    used |= bits[w]
-        out, at, ranks = [], 0, self.ranks
+                    pair[i] = new = rank_of(data[i:after[end]], -1)
+                    if new >= 0:
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
+                            words[new >> shift] |= 1 << (new & mask)
+                            used |= 1 << (new >> shift)
+                        if new < lower:
+                            lower = new
+                left = before[i]
+                if not wall[left]:
+                    pair[left] = new = rank_of(data[left:end], -1)
+                    if new >= 0:
+                        if new in buckets:
+                            buckets[new].append(left)
+                        else:
+                            buckets[new] = [left]
+                            words[new >> shift] |= 1 << (new & mask)
+                            used |= 1 << (new >> shift)
+                        if new < lower:
+                            lower = new
+                if lower < rank and at + 1 < len(bucket):
+                    # a merge made a pair of a lower rank, which goes before the rest of this bucket
+                    buckets[rank] = bucket[at + 1:] + buckets.get(rank, [])
+                    words[rank >> shift] |= 1 << (rank & mask)
+                    used |= 1 << (rank >> shift)
+                    break
+        out, ids, at, ranks = [], [], 1, self.ranks
         while at < n:
-            end = after[at]
-            out.append(ranks[data[at:end]])
-            at = end
+            if wall[at]:
+                out.append(ids)
+                ids, at = [], at + 1
+            else:
+                ids.append(ranks[data[at:after[at]]])
+                at = after[at]
         return out
 
-    def text(self, text: str) -> array:
-        pattern = self.plain if text.isascii() or not self.newer.search(text) else self.strict
-        ids = array("i")
-        ids.extend(chain.from_iterable(map(self.known.__getitem__, map(itemgetter(0), pattern.finditer(text)))))
-        return ids
-
-
-class _Known(dict):
-    """Ids by piece, of the pieces met last: what is not met again while a generation fills up goes with the next one."""
-
-    def __init__(self, encoder: Encoder):
-        self.encoder, self.older = encoder, {}
+    def read(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces; one that is a token itself is not merged."""
+        data = [p.encode("utf-8", "replace") for p in pieces]
+        whole = [self.ranks.get(d) for d in data]
+        made = iter(self.merged([d for d, w in zip(data, whole) if w is None]))
+        return [array("i", [w] if w is not None else next(made)).tobytes() for w in whole]
+
+    def ids(self, cut: list[list[str]]) -> list[np.ndarray]:
+        """Ids of texts given as their pieces."""
+        known, older = self.known, self.older
+        words = set(chain.from_iterable(cut))
+        missing = [w for w in words if w not in known]
+        for w in missing:
+            if w in older:
+                known[w] = older[w]
+        missing = [w for w in missing if w not in known]
+        known.update(zip(missing, self.read(missing)))
+        out = [np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=np.int32) for pieces in cut]
+        for w in missing:
+            if len(w) > REMEMBERED_CHARS:
+                del known[w]
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known
+        return out
 
-    def __missing__(self, text: str) -> tuple[int, ...]:
-        ids = self.older.get(text)
-        if ids is None:
-            ids = self.encoder.piece(text.encode("utf-8", "replace"))
-        if len(text) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[text] = ids
-        return ids
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts."""
+        patterns = [self.plain if t.isascii() or not self.newer.search(t) else self.strict for t in texts]
+        if sum(map(len, texts)) <= 2 * CHUNK:
+            return self.ids([p.findall(t) for p, t in zip(patterns, texts)])
+        out = []
+        for pattern, text in zip(patterns, texts):  # a long text's pieces come a part at a time
+            parts = batched(map(itemgetter(0), pattern.finditer(text)), PART)
+            out.append(np.concatenate([np.zeros(0, dtype=np.int32), *(self.ids([list(p)])[0] for p in parts)]))
+        return out
 
 
 def listed(parts: Iterable[np.ndarray]) -> pa.Array:
@@ -184,7 +213,7 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
     def work(batches):
         encoder = Encoder(table.value, pattern)
         for batch in slices(batches, text):
-            yield batch.append_column(ids, listed(np.frombuffer(encoder.text(t or ""), dtype=np.int32) for t in batch.column(text).to_pylist()))
+            yield batch.append_column(ids, listed(encoder.texts([t or "" for t in batch.column(text).to_pylist()])))
 
     return _with(docs, ids, T.ArrayType(T.IntegerType()), work)
 
@@ -194,12 +223,27 @@ def decoded(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str
     table = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def work(batches):
-        bytes_of = dict(map(reversed, table.value.items()))
+        tokens = [b""] * (max(table.value.values(), default=-1) + 2)  # the last is for all that are unknown
+        for token, rank in table.value.items():
+            tokens[rank] = token
+        data, size = np.frombuffer(b"".join(tokens), dtype=np.uint8), np.array([len(x) for x in tokens])
+        start = np.cumsum(size) - size
         for batch in batches:
-            # a row at a time: the whole column's ids would be Python objects all at once
-            column = batch.column(ids)
-            made = [b"".join([bytes_of.get(i, b"") for i in row.values.to_pylist()] if row.is_valid else ()) for row in column]
-            yield batch.append_column(out, pa.array(made, pa.binary()))
+            rows = batch.column(ids)
+            row_ends = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(rows), 0).to_numpy()]))
+            at = 0
+            while at < batch.num_rows:
+                # rows of about CHUNK tokens, one at least
+                to = max(at + 1, int(np.searchsorted(row_ends, row_ends[at] + CHUNK, side="right")) - 1)
+                flat = pc.fill_null(rows.slice(at, to - at).flatten(), -1).to_numpy(zero_copy_only=False)
+                flat = np.where((flat < 0) | (flat >= len(tokens)), len(tokens) - 1, flat)
+                n = size[flat]
+                stop = np.concatenate([[0], np.cumsum(n)])
+                text = data[np.repeat(start[flat] - stop[:-1], n) + np.arange(stop[-1])]
+                ends = stop[row_ends[at:to + 1] - row_ends[at]]
+                made = pa.Array.from_buffers(pa.large_binary(), to - at, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text.tobytes())])
+                yield batch.slice(at, to - at).append_column(out, made.cast(pa.binary()))
+                at = to
 
     return _with(docs, out, T.BinaryType(), work)
 

@@ -44,7 +44,7 @@ def test_bpe_of_odd_texts(ranks, library):
     parts = [" ", "  ", "a", "e", "é", "\n", "1", "😀", "th", "\x1c", "\x85", "'s", "ß", "ing", "\x00", "中", "ا", "<|endoftext|>", "Å", "҉"]
     for _ in range(800):
         text = "".join(rng.choices(parts, k=rng.randrange(60)))
-        assert own.text(text).tolist() == library.encode_ordinary(text)
+        assert own.texts([text])[0].tolist() == library.encode_ordinary(text)
 
 
 def test_bpe_counts_letters_as_the_library(ranks):
@@ -57,14 +57,14 @@ def test_bpe_counts_letters_as_the_library(ranks):
         theirs = tiktoken.Encoding("probe", pat_str=PATTERN, mergeable_ranks=pairs, special_tokens={})
         for low in range(0, 0x110000, 256):
             text = "\n".join(chr(c) + mark for c in range(low, low + 256) if not 0xD800 <= c < 0xE000)
-            assert own.text(text).tolist() == theirs.encode_ordinary(text), hex(low)
+            assert own.texts([text])[0].tolist() == theirs.encode_ordinary(text), hex(low)
 
 
 @pytest.mark.parametrize("kind", ["one letter", "two letters", "random", "blanks"])
 def test_bpe_of_very_long_pieces(ranks, library, kind):
     rng, n = random.Random(5), 150_000
     text = {"one letter": "a" * n, "two letters": "ab" * (n // 2), "random": "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)), "blanks": " " * n + "x"}[kind]
-    assert byte_bpe.Encoder(ranks, PATTERN).text(text).tolist() == library.encode_ordinary(text)
+    assert byte_bpe.Encoder(ranks, PATTERN).texts([text])[0].tolist() == library.encode_ordinary(text)
 
 
 def test_bpe_merges_lowest_rank_then_leftmost():
@@ -74,14 +74,25 @@ def test_bpe_merges_lowest_rank_then_leftmost():
         tokens = {bytes([b]) for b in b"abc"} | {bytes(rng.choices(b"abc", k=rng.randrange(2, 6))) for _ in range(12)}
         order = sorted(tokens, key=lambda _: rng.random())
         ranks = {t: i for i, t in enumerate(order)}
-        word = bytes(rng.choices(b"abc", k=rng.randrange(1, 40)))
-        parts = [bytes([b]) for b in word]
-        while True:
-            best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
-            if best is None:
-                break
-            parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-        assert list(byte_bpe.Encoder(ranks, PATTERN).merged(word)) == [ranks[p] for p in parts]
+        words, want = [bytes(rng.choices(b"abc", k=rng.randrange(40))) for _ in range(4)], []
+        for word in words:
+            parts = [bytes([b]) for b in word]
+            while True:
+                best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+                if best is None:
+                    break
+                parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+            want.append([ranks[p] for p in parts])
+        assert byte_bpe.Encoder(ranks, PATTERN).merged(words) == want
+
+
+def test_bpe_forgets_and_reads_parts(ranks, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(byte_bpe, "PART", 3)
+    monkeypatch.setattr(byte_bpe, "CHUNK", 4)
+    own, texts = byte_bpe.Encoder(ranks, PATTERN), ["one two three four five six seven", "", "seven one " * 30, "wordwordword" * 20]
+    for _ in range(2):
+        assert [x.tolist() for x in own.texts(texts)] == [library.encode_ordinary(t) for t in texts]
 
 
 def test_bpe_defined_cases(spark, ranks, library):

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loanmart.contracts import CACHE_ID_PATH, ENTITIES, HINT_PATH, Entity
-from loanmart.operators.documents import containers, json_path, path_exists, split_container, unnest, unnest_split
+from loanmart.operators.documents import containers, json_path, path_exists, split_container, unnest, unnest_split, unnest_tagged
 from loanmart.operators.incremental import backfill, incremental, only_keys
 from loanmart.session import settled
 
@@ -37,6 +37,25 @@ def bureau_split(docs: DataFrame, name: str | Entity, path: str | None = None) -
     return unnest_split(docs, entity(name), path)
 
 
+def bureau_tagged(docs: DataFrame, name: str | Entity, path: str | None = None) -> DataFrame:
+    """Rows and rejects of one bureau table in one pass: ``reason`` (null for rows), ``raw``, ``key``, ``row``."""
+    return unnest_tagged(docs, entity(name), path)
+
+
+def load_tagged(docs: DataFrame, name: str | Entity, path: str) -> dict[str, int]:
+    """Write rows and rejects of one bureau table with one pass, and count both on the way.
+
+    The folder has a partition for each ``kind``: ``row`` and ``reject``; it is replaced. Every element that was read is in
+    one of them.
+    """
+    seen = Observation(f"bureau-{entity(name).name}")
+    kind = F.when(F.col("reason").isNull(), "row").otherwise("reject")
+    counts = [F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("row", "reject")]
+    tagged = bureau_tagged(docs, name).withColumn("kind", kind).observe(seen, *counts)
+    tagged.write.mode("overwrite").partitionBy("kind").parquet(path)
+    return seen.get
+
+
 def bureau_tables(docs: DataFrame, *names: str | Entity) -> dict[str, DataFrame]:
     """Rows of several bureau tables with one pass over the documents; see :func:`bureau_tables_split`."""
     return {name: rows for name, (rows, _) in bureau_tables_split(docs, *names).items()}

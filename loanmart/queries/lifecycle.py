@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from loanmart import fixture_docs as fd
 from loanmart import fixtures as fx
 from loanmart.contracts import ENTITIES
+from loanmart.operators.documents import select_paths
 from loanmart.operators.incremental import without_keys
 from loanmart.plans.applications import applications
-from loanmart.plans.bureau import bureau_split
+from loanmart.plans.bureau import bureau_table, bureau_tagged
 from loanmart.queries.base import iso_time, query
 from loanmart.queries.marts import _application_oracle
 from loanmart.session import work_dir
@@ -39,9 +40,40 @@ def _doc_rejects(spark, sf_dir):
     inner, outer = "".join(f'{{"{p}":' for p in _CONTRACTS.path.split(".")), "}" * len(_CONTRACTS.path.split("."))
     doc = F.when(key % 4 == 3, F.lit('{"broken')).otherwise(F.concat(F.lit(inner), child, F.lit(outer)))
     docs = fx.table(spark, sf_dir, "orders").select(key.cast("string").alias("_id"), key.alias("number"), F.col("o_orderdate").cast("timestamp").alias("created"), doc.alias("doc"))
-    rows, rejects = bureau_split(docs, "contracts")
-    return rows.select("number", F.lit("row").alias("kind"), F.col("contract_id").alias("value")).unionByName(
-        rejects.select("number", F.col("reason").alias("kind"), F.col("raw").alias("value")))
+    tagged = bureau_tagged(docs, "contracts")
+    return tagged.select("key.number", F.coalesce("reason", F.lit("row")).alias("kind"), F.coalesce("raw", "row.contract_id").alias("value"))
+
+
+@query("q_exact_numbers", """
+select o_orderkey as number, v.level, v.field, v.value from orders, (values
+  ('leaf', 'billions', '00000000.5'), ('leaf', 'zeros', '00000000'), ('child', 'long', '234567890123456'), ('child', 'twenty', '01234567890123.12'),
+  ('child', 'small', '0.00000'), ('second', 'amount', '00000000.25'), ('second', 'days', '00000000000000')) as t(level, field, part),
+  lateral (select t.level, t.field, case when t.field = 'small' then concat(t.part, '1', cast(o_orderkey as varchar), '7')
+    else concat('1', cast(o_orderkey as varchar), t.part) end as value) v""")
+def _exact_numbers(spark, sf_dir):
+    """Amounts beyond 1e8, whole numbers of up to 19 digits and more, small fractions and trailing zeros, at three levels."""
+    number = F.concat(F.lit("1"), F.col("o_orderkey").cast("string"))
+
+    def put(part: str):
+        return F.concat(number, F.lit(part))
+
+    small = F.concat(F.lit("0.00000"), number, F.lit("70"))
+    second = F.concat(F.lit('{"overdue_principal":[{"overdue_principal_sum":'), put("00000000.25"), F.lit(',"overdue_principal_days":'), put("00000000000000.0"), F.lit("}]}"))
+    child = F.concat(F.lit('{"contract_id":'), put("234567890123456"), F.lit(',"amount":'), put("01234567890123.12"), F.lit(',"percent":'), small,
+                     F.lit(',"overdue_principals":'), second, F.lit("}"))
+    path = _CONTRACTS.path.split(".")
+    doc = F.concat(F.lit('{"a":{"billions":'), put("00000000.50"), F.lit('},"zeros":'), put("00000000.00"), F.lit(","),
+                   F.lit("".join(f'"{p}":{{' for p in path[:-1]) + f'"{path[-1]}":'), child, F.lit("}" * len(path)))
+    docs = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("_id"), F.col("o_orderkey").alias("number"), doc.alias("doc"))
+
+    def long(frame, level: str, fields: dict[str, str]):
+        pairs = [F.struct(F.lit(level).alias("level"), F.lit(f).alias("field"), F.col(c).alias("value")) for f, c in fields.items()]
+        return frame.select("number", F.inline(F.array(*pairs)))
+
+    leaves = long(select_paths(docs, {"billions": "a.billions", "zeros": "zeros"}, ["number"]), "leaf", {"billions": "billions", "zeros": "zeros"})
+    children = long(bureau_table(docs, "contracts"), "child", {"long": "contract_id", "twenty": "amount", "small": "percent"})
+    below = long(bureau_table(docs, "overdue_principals"), "second", {"amount": "overdue_principal_sum", "days": "overdue_principal_days"})
+    return leaves.unionByName(children).unionByName(below)
 
 
 @query("q_collection_mart", _application_oracle())
@@ -87,10 +119,10 @@ def _partition_predicates(spark, sf_dir):
 @query("q_lost_checkpoint", f"""
 select event_id, {iso_time('ts')} as ts, user_id, case when event_id % 5 = 0 then 'again' else event_type end as event_type, value, props from events""")
 def _lost_checkpoint(spark, sf_dir):
-    """Two files, a lost checkpoint, then a third that repeats keys: nothing is lost and nothing is there twice."""
+    """Two drops, a lost checkpoint, then a third that repeats keys: nothing is lost and nothing is there twice."""
     base, events = work_dir(spark, "lost"), fx.table(spark, sf_dir, "events")
     for part in (0, 1):
-        events.where(f"event_id % 2 = {part}").coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/first", ["event_id"], files_per_batch=1)
-    events.where("event_id % 5 = 0").withColumn("event_type", F.lit("again")).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    return stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/second", ["event_id"], files_per_batch=1)
+        events.where(F.coalesce(F.pmod("event_id", F.lit(2)), F.lit(0)) == part).repartition(4).write.mode("append").parquet(f"{base}/in")
+    stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/first", ["event_id"], files_per_batch=3)
+    events.where("event_id % 5 = 0").withColumn("event_type", F.lit("again")).repartition(4).write.mode("append").parquet(f"{base}/in")
+    return stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/second", ["event_id"], files_per_batch=6)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanmart import fixtures as fx
+from loanmart.operators import buckets as bk
 from loanmart.operators.merge import typed, upsert
 from loanmart.queries.base import iso, iso_time, query
-from loanmart.session import work_dir
+from loanmart.session import settled, work_dir
 from loanmart.sources import readers as rd
 from loanmart.sources import writers as wr
 from loanmart.streaming.ingest import stream_ingest
@@ -131,10 +132,44 @@ def _two_sinks(spark, sf_dir):
 
 @query("q_stream_ingest", f"select event_id, {iso_time('ts')} as ts, user_id, event_type, value, props from events")
 def _stream_ingest(spark, sf_dir):
-    """Three files, a batch each; the load is then called again and finds nothing new."""
+    """Three drops of several files each, a few files a batch; the load is then called again and finds nothing new."""
     base, events = work_dir(spark, "stream"), fx.table(spark, sf_dir, "events")
     for part in range(3):
-        events.where(F.pmod("event_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        drop = F.coalesce(F.pmod("event_id", F.lit(3)), F.lit(0)) == part
+        events.where(drop).repartition(4).write.mode("append").parquet(f"{base}/in")
     for _ in range(2):
-        table = stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/checkpoint", ["event_id"], files_per_batch=1)
+        table = stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/checkpoint", ["event_id"], files_per_batch=5)
     return table
+
+
+@query("q_upsert_buckets", f"""
+select o_orderkey, o_custkey, case when o_orderkey % 64 < 8 then 'U' else o_orderstatus end as o_orderstatus,
+  case when o_orderkey % 64 < 8 then 0 else o_totalprice end as o_totalprice, day, cast(1 as bigint) as files_left from ({BASE}) o""")
+def _upsert_buckets(spark, sf_dir):
+    """Two of sixteen buckets are merged, one half of their rows new; the files of the others keep their names."""
+    path, rows = work_dir(spark, "buckets"), _orders(spark, sf_dir)
+    bucket = F.pmod(F.floor(F.col("o_orderkey") / 4), F.lit(16)).cast("int")
+    bk.write_buckets(rows.where("o_orderkey % 64 >= 4"), path, bucket)
+    names = spark.read.parquet(path).select("_metadata.file_path", bk.BUCKET).distinct()
+    before = settled(names, "names")
+    source = rows.where("o_orderkey % 64 < 8").withColumns({"o_orderstatus": F.lit("U"), "o_totalprice": F.lit(0.0)})
+    touched = bk.upsert_buckets(source, path, ["o_orderkey"], bucket)
+    after = spark.read.parquet(path).select("_metadata.file_path", bk.BUCKET).distinct()
+    same = before.join(after, ["file_path", bk.BUCKET], "left_semi").select(bk.BUCKET).distinct()
+    kept = before.where(~F.col(bk.BUCKET).isin(touched)).select(bk.BUCKET).distinct().exceptAll(same).count()
+    return bk.read_buckets(spark, path).withColumn("files_left", F.lit(1 if kept == 0 and touched == [0, 1] else 0).cast("bigint"))
+
+
+@query("q_backfill_bucketed", """
+select distinct o_custkey as number from orders where o_custkey % 3 <> 0
+  and o_custkey not in (select c_custkey from customer where c_mktsegment in ('BUILDING', 'MACHINERY'))""")
+def _backfill_bucketed(spark, sf_dir):
+    """Customers of orders that a loaded table lacks; both are key tables in eight buckets."""
+    names = [f"keys_{work_dir(spark, 'n').rsplit('-', 1)[1]}" for _ in range(2)]
+    orders = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("number"))
+    loaded = fx.table(spark, sf_dir, "customer").where("c_mktsegment in ('BUILDING', 'MACHINERY')").select(F.col("c_custkey").alias("number"))
+    parent, child = (bk.write_key_table(df, name, ["number"], 8) for df, name in zip((orders, loaded), names))
+    found = bk.backfill_bucketed(parent, child, "number", F.col("number") % 3 != 0)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")  # the files stay where they lie
+    return found

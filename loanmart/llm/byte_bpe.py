@@ -19,6 +19,7 @@ there yet (``ValueError``). Repeated rows get equal results, no rows give no row
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Callable, Iterable
 from itertools import accumulate, batched, chain
@@ -68,7 +69,7 @@ class Encoder:
         self.plain = regex.compile(pattern)
         letters, digits = rf"[\p{{L}}--[{NEWER_LETTERS}]]", rf"[\p{{N}}--[{NEWER_DIGITS}]]"
         self.strict = regex.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", digits), regex.V1)
-        self.newer = regex.compile(f"[{NEWER_LETTERS}{NEWER_DIGITS}]")
+        self.newer = re.compile(f"[{NEWER_LETTERS}{NEWER_DIGITS}]")
         self.pairs = {(a, b): ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)}
         # pieces met lately, four bytes an id; what is not met again while a generation fills up goes with the next one
         self.known: dict[str, bytes] = {}
@@ -182,7 +183,7 @@ class Encoder:
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts."""
-        patterns = [self.plain if t.isascii() or not self.newer.search(t) else self.strict for t in texts]
+        patterns = [self.strict if not t.isascii() and self.newer.search(t) else self.plain for t in texts]
         if sum(map(len, texts)) <= 2 * CHUNK:
             return self.ids([p.findall(t) for p, t in zip(patterns, texts)])
         out = []

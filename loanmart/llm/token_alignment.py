@@ -36,7 +36,7 @@ from loanmart.llm.text import slices
 from loanmart.session import settled
 
 #: Bytes of text in a block, unless one text alone has more.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Tries next to the middle before all ends of an interval are looked up at once.
 TRIES = 24
 #: Links of a group that are written out one by one; of larger groups, distinct ids are paired.
@@ -53,7 +53,7 @@ def _letters() -> dict[str, int]:
 #: A space between two visible characters. No token of either kind runs across one, so the words between are encoded apart.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: Words up to so many characters, and so many of them in each of two generations, are remembered in a task.
-REMEMBERED_CHARS, REMEMBERED = 64, 200_000
+REMEMBERED_CHARS, REMEMBERED = 64, 150_000
 
 
 class ByteLevel:
@@ -164,52 +164,54 @@ class _Aligner:
     def __init__(self, left, right):
         self.left, self.right, self.base = left, right, len(right.pieces)
         # words met lately; what is not met again while a generation fills up goes with the next one
-        self.length = {v: [len(x) for x in v.pieces].__getitem__ for v in (left, right)}
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
-        if len(left.pieces) * self.base > 1 << 32:
-            raise ValueError("the two vocabularies have more than 2^32 pairs")
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.odd: set[str] = set()
+        if len(left.pieces) * self.base >= 1 << 31:
+            raise ValueError("the two vocabularies have 2^31 pairs or more")
         self.sizes = [np.array([len(x) for x in v.pieces], dtype=np.int64) for v in (left, right)]
         # what a token is written as: first of all, first of a group, a later one, first of a group's second ones
         self.first = len(left.pieces)
         self.written = [f"{mark}{i}" for mark in (";", ",") for i in range(len(left.pieces))] + [f"{mark}{i}" for mark in ("|", ",") for i in range(self.base)]
 
-    def _read(self, words: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Both token lists of texts, four bytes a token, and whether both have the bytes of a space and the text."""
-        lists = self.left.encode(words), self.right.encode(words)
+    def _read(self, words: list[str]) -> None:
+        """Remember both token lists of texts, four bytes a token, and which have other bytes than a space and the text."""
         whole = [(" " + w).encode("utf-8", "replace") for w in words]
-        good = np.ones(len(words), dtype=bool)
-        for v, made in zip((self.left, self.right), lists):
-            written = b"".join(map(v.pieces.__getitem__, chain.from_iterable(made)))
-            if written != b"".join(whole) or [sum(map(self.length[v], ids)) for ids in made] != [len(x) for x in whole]:
-                good &= [b"".join(map(v.pieces.__getitem__, ids)) == x for ids, x in zip(made, whole)]
-        packed = [[array("i", ids).tobytes() for ids in made] for made in lists]
-        return list(zip(*packed, good.tolist()))
+        for v, known in zip((self.left, self.right), self.known):
+            made = v.encode(words)
+            written = [b"".join(map(v.pieces.__getitem__, ids)) for ids in made]
+            if written != whole:
+                self.odd.update(w for w, x, y in zip(words, written, whole) if x != y)
+            known.update(zip(words, [array("i", ids).tobytes() for ids in made]))
 
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Token ids and numbers of tokens, for both sides; no tokens for a text whose bytes differ."""
         cut = [(BETWEEN.split(t) if self.left.apart and self.right.apart else [t]) if t else [] for t in texts]
-        words = set(chain.from_iterable(cut))
-        now = {w: kept for w in words if (kept := self.known.get(w) or self.older.get(w)) is not None}
-        missing = [w for w in words if w not in now]
-        now.update(zip(missing, self._read(missing)))
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        self.known.update((w, x) for w, x in now.items() if len(w) <= REMEMBERED_CHARS)
-        sides: tuple[list, list] = ([], [])
-        counts: tuple[list, list] = ([], [])
-        for text, parts in zip(texts, cut):
-            read = [now[w] for w in parts]
-            own = [b"".join([x[k] for x in read]) for k in (0, 1)]
+        missing = [w for w in set(chain.from_iterable(cut)) if w not in self.known[0]]
+        for w in missing:
+            if w in self.older[0]:
+                for known, older in zip(self.known, self.older):
+                    known[w] = older[w]
+        missing = [w for w in missing if w not in self.known[0]]
+        self._read(missing)
+        sides: list[list[bytes]] = [[], []]
+        for text, words in zip(texts, cut):
+            own = [b"".join(map(known.__getitem__, words)) for known in self.known]
             # bytes that differ in a word might still make up the text
-            if not all([x[2] for x in read]) and any(
+            if self.odd and not self.odd.isdisjoint(words) and any(
                     b"".join([v.pieces[i] for i in np.frombuffer(ids, dtype=np.int32)]) != (" " + text).encode("utf-8", "replace")
                     for v, ids in zip((self.left, self.right), own)):
                 own = [b"", b""]
-            for k in (0, 1):
-                sides[k].append(own[k])
-                counts[k].append(len(own[k]) // 4)
-        return ([np.frombuffer(b"".join(x), dtype=np.int32).astype(np.int64) for x in sides], [np.array(n, dtype=np.int64) for n in counts])
+            for side, x in zip(sides, own):
+                side.append(x)
+        for known in self.known:
+            for w in missing:
+                if len(w) > REMEMBERED_CHARS:
+                    del known[w]
+        if len(self.known[0]) > REMEMBERED:
+            self.known, self.older = ({}, {}), self.known
+            self.odd &= self.older[0].keys()
+        return [np.frombuffer(b"".join(x), dtype=np.int32).astype(np.int64) for x in sides], [np.array([len(x) // 4 for x in side], dtype=np.int64) for side in sides]
 
     def align(self, texts: list[str]) -> dict:
         tokens, counts = self.ids(texts)
@@ -272,10 +274,10 @@ def aligned(docs: DataFrame, left: str, right: str, text: str = "text", block_by
             x = aligner.align([t or "" for t in texts])
             ends = pa.array(x["pair_bounds"], pa.int32())
             new = [*(pa.array(x[c], pa.int64()) for c in _LONGS), pa.array(x["groups"], pa.string()), pa.array(np.full(len(texts), block), pa.int64()),
-                   pa.ListArray.from_arrays(ends, pa.array(x["pairs"], pa.int64())), pa.ListArray.from_arrays(ends, pa.array(x["times"], pa.int64()))]
+                   pa.ListArray.from_arrays(ends, pa.array(x["pairs"].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(x["times"], pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *made])
 
-    kinds = ["long"] * 4 + ["string", "long", "array<long>", "array<long>"]
+    kinds = ["long"] * 4 + ["string", "long", "array<int>", "array<long>"]
     added = T.StructType([T.StructField(c, T._parse_datatype_string(k)) for c, k in zip(made, kinds)])
     return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *added.fields]))
 
@@ -286,7 +288,7 @@ def _handed_in(batches):
 
     def out():
         pair, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), block), pa.int64()), pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["block", "pair", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), block), pa.int64()), pa.array(pair.astype(np.int32)), pa.array(n, pa.int64())], ["block", "pair", "n"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -305,7 +307,7 @@ def _handed_in(batches):
 
 def pair_counts(found: DataFrame, base: int) -> tuple[DataFrame, DataFrame]:
     """Blocks' pairs ``block``, ``pair``; and ``pair``, ``count`` (texts), ``best`` (no pair of the first id has a higher count)."""
-    handed = settled(found.select("block", "pairs").mapInArrow(_handed_in, "block long, pair long, n long"), "block-pairs")
+    handed = settled(found.select("block", "pairs").mapInArrow(_handed_in, "block long, pair int, n long"), "block-pairs")
     counts = settled(handed.groupBy("pair").agg(F.sum("n").alias("count")), "pair-counts")
     first = F.expr(f"pair div {int(base)}")
     # one row for each id of the first vocabulary at most

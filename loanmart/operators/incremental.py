@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,32 @@ def high_watermark(target: DataFrame, key: str) -> DataFrame:
     return target.agg(F.max(number_from_text(F.col(key))).alias("high"))
 
 
+def footer_max(spark: SparkSession, path: str, key: str) -> int | None:
+    """Largest value of a numeric key of Parquet files, taken from their footers; null for no rows.
+
+    A session of its own reads the files by the reader that answers such aggregates from footers, so the caller's
+    settings stay. No row is read; one number comes back.
+    """
+    return footer_mark(spark, path, key).first()["high"]
+
+
+def footer_mark(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The aggregate behind :func:`footer_max`, one row ``high``, in a session of its own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.parquet(path)
+    if not isinstance(table.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise ValueError(f"{key} is no whole number; use high_watermark")
+    return table.agg(F.max(key).alias("high"))
+
+
+def incremental_files(source: DataFrame, path: str, key: str) -> DataFrame:
+    """Source rows above the largest key of a Parquet table, which is not scanned; all of them when it has no rows."""
+    high = footer_max(source.sparkSession, path, key)
+    return source if high is None else source.where(F.col(key) > F.lit(high))
+
+
 def incremental(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Source rows above the target's largest key; all of them when the target is empty.
 

@@ -12,10 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanmart.operators.buckets import upsert_buckets
 from loanmart.operators.merge import upsert
 from loanmart.operators.ranking import smallest_distinct
 from loanmart.operators.temporal import day
-from loanmart.session import settled
+from loanmart.session import remove_dir, settle, settled
 from loanmart.sources.writers import backup, overwrite
 
 # Account roles that carry overdue amounts, the day limits, and the sentinel for "no default".
@@ -175,3 +176,45 @@ def refresh_job(tables: Mapping[str, DataFrame], current: DataFrame, out_path: s
     backup(current, backup_path, run_date.isoformat(), "backup_date")
     overwrite(refresh(current, fresh, run_date.isoformat()), out_path)
     return current.sparkSession.read.schema(current.schema).parquet(out_path)
+
+
+def touched_loans(links: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Loans (``glob_id``) whose days may change when ``accounts`` (``account``) have new movements.
+
+    A loan's days depend on its accounts' cases, and an account's on those of all its loans, so both are followed until
+    nothing is added. Each round joins keys only and is written; rounds are as many as the longest chain of shared accounts.
+    """
+    spark = links.sparkSession
+    pairs = settled(links.select("glob_id", "account").where("glob_id is not null and account is not null").distinct(), "loan-links")
+    found, path = settle(accounts.select("account").distinct().join(pairs, "account").select("glob_id").distinct(), "touched")
+    size = found.count()
+    while size:
+        shared = pairs.join(found, "glob_id", "left_semi").select("account").distinct()
+        grown, fresh = settle(pairs.join(shared, "account", "left_semi").select("glob_id").distinct(), "touched")
+        before, size = size, grown.count()
+        remove_dir(spark, path)
+        found, path = grown, fresh
+        if size == before:
+            break
+    return found
+
+
+def changed_days(tables: Mapping[str, DataFrame], changed: DataFrame, start: str, end: str,
+                 products: Sequence[int]) -> tuple[DataFrame, DataFrame]:
+    """Days of the loans that ``changed`` accounts reach, equal to their rows in a full :func:`default_days`; and those loans.
+
+    A loan that is among the second and not the first has no days now.
+    """
+    scope = loans_in_scope(tables["loans"], start, end, products)
+    held = tables["accounts"].where(F.col("kod_acc").isin(*OVERDUE_ROLES)).join(scope.select("glob_id"), "glob_id", "left_semi")
+    loans = touched_loans(held, changed)
+    few = tables["loans"].join(loans, "glob_id", "left_semi")
+    return default_days(few, tables["accounts"], tables["saldo"], tables["schedule"], start, end, products), loans
+
+
+def refresh_changed(tables: Mapping[str, DataFrame], changed: DataFrame, path: str, bucket: Column, run_date: dt.date, products: Sequence[int],
+                    days: int = 120) -> list[int]:
+    """The refresh by change into a table of buckets: only days that ``changed`` accounts reach are recomputed, and only
+    the buckets that hold them are rewritten. Loans that have no days any more keep their last ones, as in :func:`refresh`."""
+    fresh, _ = changed_days(tables, changed, *refresh_window(run_date, days), products)
+    return upsert_buckets(fresh.withColumn("date_modified", F.lit(run_date.isoformat())), path, ["glob_id"], bucket, ["fpd", "spd", "tpd", "date_modified"])

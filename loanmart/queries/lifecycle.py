@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from loanmart import fixture_docs as fd
 from loanmart import fixtures as fx
 from loanmart.contracts import ENTITIES
-from loanmart.operators.documents import select_paths
-from loanmart.operators.incremental import without_keys
+from loanmart.functions.scalars import minute_stamp
+from loanmart.operators.documents import path_values, select_paths
+from loanmart.operators.incremental import incremental_files, without_keys
+from loanmart.operators.merge import union_by_name
 from loanmart.plans.applications import applications
 from loanmart.plans.bureau import bureau_table, bureau_tagged
 from loanmart.queries.base import iso_time, query
 from loanmart.queries.marts import _application_oracle
-from loanmart.session import work_dir
+from loanmart.session import settled, work_dir
 from loanmart.sources import readers as rd
 from loanmart.sources import writers as wr
 from loanmart.streaming.ingest import stream_ingest
@@ -126,3 +128,114 @@ def _lost_checkpoint(spark, sf_dir):
     stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/first", ["event_id"], files_per_batch=3)
     events.where("event_id % 5 = 0").withColumn("event_type", F.lit("again")).repartition(4).write.mode("append").parquet(f"{base}/in")
     return stream_ingest(spark, f"{base}/in", events.schema, f"{base}/table", f"{base}/second", ["event_id"], files_per_batch=6)
+
+
+@query("q_replace_table", "select s_suppkey as id, s_name as name from supplier")
+def _replace_table(spark, sf_dir):
+    """Drop and create anew: rows and columns of the table before are gone."""
+    name = f"replaced_{work_dir(spark, 'n').rsplit('-', 1)[1]}"
+    old, place = work_dir(spark, "old"), work_dir(spark, "new")
+    customers = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name", "c_mktsegment")
+    wr.create_table(spark, name, customers.schema, old)
+    wr.append_table(customers, name)
+    rows = fx.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    wr.create_table(spark, name, rows.schema, place, replace=True)
+    wr.append_table(rows, name)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(place)
+
+
+@query("q_table_or_empty", """
+select 'present' as part, c_custkey as id, c_name as name from customer""")
+def _table_or_empty(spark, sf_dir):
+    """A table that is there gives its rows, one that is not an empty frame of the same columns."""
+    name, place = f"present_{work_dir(spark, 'n').rsplit('-', 1)[1]}", work_dir(spark, "present")
+    rows = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    wr.create_table(spark, name, rows.schema, place)
+    wr.append_table(rows, name)
+    present = rd.table_or_empty(spark, name, rows.schema).select(F.lit("present").alias("part"), "*")
+    absent = rd.table_or_empty(spark, f"{name}_not", rows.schema).select(F.lit("absent").alias("part"), "*")
+    return present.unionByName(absent)
+
+
+@query("q_list_tables", """
+select 'listed_' || lower(c_mktsegment) as name, count(*) as n from customer group by 1""")
+def _list_tables(spark, sf_dir):
+    """A table for each segment of the customers in a database of its own, found by listing it; each is read and counted."""
+    database = f"d_{work_dir(spark, 'n').rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
+    rows, places = settled(fx.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "segments"), {}
+    for segment in [r[0] for r in rows.select("c_mktsegment").distinct().collect()]:
+        name = f"{database}.listed_{segment.lower()}"
+        places[name.split(".")[1]] = work_dir(spark, "listed")
+        wr.create_table(spark, name, rows.schema, places[name.split(".")[1]])
+        wr.append_table(rows.where(F.col("c_mktsegment") == segment), name)
+    found = rd.list_tables(spark, database)
+    counts = [spark.read.table(f"{database}.{t}").groupBy(F.lit(t).alias("name")).agg(F.count("*").alias("n")) for t in found]
+    out = settled(union_by_name(*counts), "counts")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
+@query("q_clean_names", """
+select o_orderkey as "Unnamed_column", o_custkey as "Unnamed_column_2", o_orderstatus as status, o_totalprice as status_2 from orders""")
+def _clean_names(spark, sf_dir):
+    """Columns of a result that have no names, and one name twice."""
+    rows = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return rd.clean_names(rows.toDF("", "  ", "status", "status"))
+
+
+@query("q_minute_stamp", "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') as stamp from orders")
+def _minute_stamp(spark, sf_dir):
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", minute_stamp("o_orderdate").alias("stamp"))
+
+
+@query("q_find_in_files", r"""
+with lines as (select doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '\r\n|\r', chr(10), 'g'), chr(10))) as line,
+  generate_subscripts(string_split(regexp_replace(coalesce(text, ''), '\r\n|\r', chr(10), 'g'), chr(10)), 1) as line_number from documents)
+select lang, count(*) as n, sum(length(regexp_replace(line, '^\s+|\s+$', '', 'g'))) as chars
+from lines join documents using (doc_id) where contains(line, 'er') group by lang""")
+def _find_in_files(spark, sf_dir):
+    """All texts written as a tree of files, one folder for each language; the lines found are counted by folder."""
+    path = work_dir(spark, "tree")
+    docs = fx.table(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("none")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    docs.write.partitionBy("lang").text(path)
+    hits = rd.find_in_files(spark, path, "er")
+    lang = F.regexp_extract("file_path", "lang=([^/]*)/", 1)
+    found = hits.select(F.when(lang != "none", lang).alias("lang"), F.length("line").cast("bigint").alias("chars"))
+    return found.groupBy("lang").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+
+
+@query("q_read_collection", """
+select cast(o_orderkey as varchar) as "_id", o_orderkey as number, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as created,
+  cast(o_custkey as varchar) as client, 'x' || o_orderstatus as status from orders""")
+def _read_collection(spark, sf_dir):
+    """A collection whose connector gives typed columns; here the connector is a table of files."""
+    path = work_dir(spark, "collection")
+    fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("_id"), F.col("o_orderkey").cast("int").alias("number"), F.col("o_orderdate").cast("timestamp").alias("created"),
+        F.struct(F.col("o_custkey").alias("id"), F.struct(F.concat(F.lit("x"), "o_orderstatus").alias("status")).alias("state")).alias("client"),
+    ).write.parquet(path)
+    docs = rd.read_collection(spark, {"path": path}, "parquet")
+    return select_paths(docs, {"client": "client.id", "status": "client.state.status"}, ["_id", "number", "created"])
+
+
+@query("q_path_values", """
+select o_orderkey as number, 'by.id' || cast(o_orderkey as varchar) || '.' || k as path, v from orders,
+  (values ('n', 'n'), ('list', '[1,{"x":2.5}]'), ('`a.b`', 't')) as t(k, v)
+union all select o_orderkey, 'plain', cast(o_custkey as varchar) from orders""")
+def _path_values(spark, sf_dir):
+    """Objects keyed by ids: no schema holds all paths; lists are leaves, empty objects and JSON null are none."""
+    key = F.col("o_orderkey").cast("string")
+    doc = F.concat(F.lit('{"by":{"id'), key, F.lit('":{"n":"n","list":[1,{"x":2.50}],"a.b":"t","e":{},"z":null}},"plain":'), F.col("o_custkey").cast("string"), F.lit("}"))
+    docs = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("number"), doc.alias("doc"))
+    return path_values(docs, ["number"]).withColumnRenamed("value", "v")
+
+
+@query("q_footer_mark", """
+select o_orderkey, o_custkey from orders where o_orderkey > (select max(o_orderkey) from orders where o_orderkey % 1000 < 500 and o_orderkey < 3000)""")
+def _footer_mark(spark, sf_dir):
+    """New rows above the largest loaded key, which comes from the files' footers."""
+    orders, path = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), work_dir(spark, "loaded")
+    orders.where("o_orderkey % 1000 < 500 and o_orderkey < 3000").write.parquet(path)
+    return incremental_files(orders, path, "o_orderkey")

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from loanmart import fixture_docs as fd
 from loanmart import fixtures as fx
 from loanmart.contracts import APPLICATION_PATHS, HINT_PATH, application_columns
+from loanmart.operators.buckets import hash_bucket, read_buckets, write_buckets
 from loanmart.plans import register as reg
 from loanmart.plans import snapshot as snap
 from loanmart.plans.applications import applications
-from loanmart.plans.default_days import default_days, refresh, refresh_job
+from loanmart.plans.default_days import changed_days, default_days, refresh, refresh_job
 from loanmart.queries.base import iso, query
 from loanmart.session import settled, work_dir
 from loanmart.sources.writers import overwrite
@@ -111,6 +112,19 @@ def _refresh_job(spark, sf_dir):
     return merged.withColumn("part", F.lit("table")).unionByName(saved)
 
 
+@query("q_refresh_changed", _days_query(f"select * replace ({iso('date_vyd_d')} as date_vyd_d) from days", START, END))
+def _refresh_changed(spark, sf_dir):
+    """The mart on balances up to a day, then only what the later movements reach: equal to the mart on all balances."""
+    v = fx.views(spark, sf_dir, *DAYS_VIEWS)
+    tables = {**v, "accounts": v["loan_accounts"], "saldo": settled(v["saldo"], "saldo")}
+    late = F.col("dati") > F.lit("1998-10-01").cast("date")
+    path, bucket = work_dir(spark, "days"), hash_bucket(["glob_id"], 16)
+    first = default_days(tables["loans"], tables["accounts"], tables["saldo"].where(~late), tables["schedule"], START, END, PRODUCTS)
+    write_buckets(first, path, bucket)
+    fresh, touched = changed_days(tables, tables["saldo"].where(late).select("account"), START, END, PRODUCTS)
+    return read_buckets(spark, path).join(touched, "glob_id", "left_anti").unionByName(fresh)
+
+
 def _clamped(c: str) -> str:
     return iso(f"case when {c} is null then date '1900-01-01' when {c} < date '1753-01-01' "
                f"then date '1753-01-01' else {c} end")

@@ -30,12 +30,13 @@ def read_docs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     """
     if fmt == "json":
         lines = spark.read.text(path).select(plain_json(F.col("value")).alias("doc"))
-        when = F.get_json_object("doc", "$.created")
-        return lines.select(
-            F.get_json_object("doc", "$._id").alias("_id"),
-            F.get_json_object("doc", "$.number").try_cast("bigint").alias("number"),
+        head = F.try_variant_get(F.try_parse_json("doc"), "$", "struct<_id:string,number:string,created:string>")
+        when = F.col("h.created")
+        return lines.select("doc", head.alias("h")).select(
+            F.col("h._id").alias("_id"),
+            F.col("h.number").try_cast("bigint").alias("number"),
             F.when(when.rlike("^-?[0-9]+$"), F.timestamp_millis(when.try_cast("bigint"))).otherwise(when.try_cast("timestamp")).alias("created"),
-            F.col("doc"),
+            "doc",
         )
     return spark.read.format(fmt).load(path)
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loanmart import contracts as ct
-from loanmart.fixtures import table
+from loanmart.fixtures import kept, table
 
 T = "string"
 
@@ -209,9 +209,9 @@ def docs(spark: SparkSession, sf_dir: str, *sections: str, values: dict[str, str
             path = path.replace(ct.REPORT_077, ct.CACHE_077)
         raw[path] = _child(name, second)
     orders = table(spark, sf_dir, "orders").repartition("o_orderkey").selectExpr("o_orderkey as k", "*")
-    return orders.selectExpr(
-        "cast(k as string) as _id", "k as number", "cast(o_orderdate as timestamp) as created", f"{_nest(raw)} as doc"
-    )
+    nested = _nest(raw)
+    made = orders.selectExpr("cast(k as string) as _id", "k as number", "cast(o_orderdate as timestamp) as created", f"{nested} as doc")
+    return kept(spark, sf_dir, f"documents {nested}", made)
 
 
 def pick(*paths: str) -> dict[str, str]:

@@ -15,7 +15,7 @@ from loanmart.plans import snapshot as snap
 from loanmart.plans.applications import applications
 from loanmart.plans.default_days import changed_days, default_days, refresh, refresh_job
 from loanmart.queries.base import iso, query
-from loanmart.session import settled, work_dir
+from loanmart.session import work_dir
 from loanmart.sources.writers import overwrite
 
 PRODUCTS = (24, 34, 32)
@@ -27,7 +27,7 @@ RUN_DATE = "2001-12-31"
 def default_days_on(spark, sf_dir, start=START, end=END):
     v = fx.views(spark, sf_dir, "loans", "loan_accounts", "saldo", "schedule")
     # a balance table at rest, as the mart expects: it is scanned twice
-    saldo = settled(v["saldo"], "saldo")
+    saldo = fx.at_rest(v["saldo"], "saldo")
     return default_days(v["loans"], v["loan_accounts"], saldo, v["schedule"], start, end, PRODUCTS)
 
 
@@ -101,7 +101,7 @@ def _merge_upsert(spark, sf_dir):
   where date_vyd_d <= date '1998-06-30'""", "1998-01-01", "1998-09-01"))
 def _refresh_job(spark, sf_dir):
     v = fx.views(spark, sf_dir, *DAYS_VIEWS)
-    tables = {**v, "accounts": v["loan_accounts"], "saldo": settled(v["saldo"], "saldo")}
+    tables = {**v, "accounts": v["loan_accounts"], "saldo": fx.at_rest(v["saldo"], "saldo")}
     base = work_dir(spark, "refresh")
     loaded = default_days(tables["loans"], tables["accounts"], tables["saldo"], tables["schedule"], "1998-01-01",
                           "1998-06-30", PRODUCTS)
@@ -116,7 +116,7 @@ def _refresh_job(spark, sf_dir):
 def _refresh_changed(spark, sf_dir):
     """The mart on balances up to a day, then only what the later movements reach: equal to the mart on all balances."""
     v = fx.views(spark, sf_dir, *DAYS_VIEWS)
-    tables = {**v, "accounts": v["loan_accounts"], "saldo": settled(v["saldo"], "saldo")}
+    tables = {**v, "accounts": v["loan_accounts"], "saldo": fx.at_rest(v["saldo"], "saldo")}
     late = F.col("dati") > F.lit("1998-10-01").cast("date")
     path, bucket = work_dir(spark, "days"), hash_bucket(["glob_id"], 16)
     first = default_days(tables["loans"], tables["accounts"], tables["saldo"].where(~late), tables["schedule"], START, END, PRODUCTS)
@@ -238,7 +238,7 @@ from base l where ost_pros_ekv + ost_proc_ekv + ost_157_ekv + ost_95413_ekv + os
 
 def snapshot_tables(spark, sf_dir):
     v = fx.views(spark, sf_dir, *SNAPSHOT_VIEWS)
-    saldo = settled(v["saldo"], "saldo")
+    saldo = fx.at_rest(v["saldo"], "saldo")
     nominal = saldo.withColumn("saldo", F.floor(F.col("saldo") / F.lit(4.0)))
     return {**v, "accounts": v["loan_accounts"], "purposes": v["purpose_parts"], "saldo": saldo, "saldo_val": nominal}
 

@@ -4,7 +4,9 @@ Method: templates (short notices and openings of license texts) are cut into wor
 rolling word k-gram of every document is looked up; hits are joined with the template positions and add up by diagonal
 (document position less template position). Neighbouring diagonals of one template merge, so that left out or added
 words do not break a match. A merged run is verified: the words it covers must be ``MIN_COVER`` of the template, in a
-span not much longer than it. A phrase stands at a place if one diagonal has all its k-grams.
+span not much longer than it, and it must hold what tells the template from each sibling. A sibling is a notice of another
+label whose own text would cover as much; telling k-grams are those that the sibling lacks ("version 3 of"), and one of
+them must be in the run. A phrase stands at a place if one diagonal has all its k-grams.
 
 k is 3, or the words of a shorter template. Documents drop k-grams that no template has before the join (a lookup in the
 templates' own hashes; templates are a parameter of at most ``MOST_GRAMS`` k-grams), so the shuffle holds hits only.
@@ -78,6 +80,25 @@ def template_grams(templates: Sequence[tuple[str, str, bool]]) -> list[tuple[int
     return out
 
 
+def telling(listed: Sequence[tuple], min_cover: float = MIN_COVER) -> dict[int, list[list[int]]]:
+    """For each notice and each of its siblings the positions of the k-grams that the sibling lacks."""
+    notices: dict[int, list[tuple]] = {}
+    for row in listed:
+        if not row[2]:
+            notices.setdefault(row[0], []).append(row)
+    held = {u: {r[6] for r in rows} for u, rows in notices.items()}
+    out: dict[int, list[list[int]]] = {}
+    for t, rows in notices.items():
+        (_, label, _, n, k, _, _), sets = rows[0], []
+        for u, others in notices.items():
+            lacks = [r[5] for r in rows if r[6] not in held[u]]
+            covered = {r[5] + j for r in rows if r[6] in held[u] for j in range(k)}
+            if others[0][1] != label and lacks and len(covered) >= min_cover * n:
+                sets.append(lacks)
+        out[t] = sets
+    return out
+
+
 def _scan(known: np.ndarray, sizes: list[int]):
     def run(batches):
         codes = word_codes()
@@ -108,6 +129,7 @@ def license_scan(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     spark = docs.sparkSession
     listed = template_grams([(*p, True) for p in phrases] + [(*n, False) for n in notices])
     known = np.unique(np.array([r[6] for r in listed], dtype=np.int64))
+    tells = spark.createDataFrame(list(telling(listed).items()) or [(-1, [])], "template int, tells array<array<int>>")
     positions = spark.createDataFrame(listed, "template int, label string, phrase boolean, n int, k int, tpos int, gram long")
     own = docs.select(F.col("doc_id").cast("long"), "text")
     scanned = settled(own.mapInArrow(_scan(known, sorted({r[4] for r in listed})), _SCANNED).withColumn("row", F.monotonically_increasing_id()), "scanned")
@@ -128,7 +150,9 @@ def license_scan(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     end = F.col("last") + F.col("k") - 1
     # several places of one template may lie on neighbouring diagonals, so a run of whole places has no length to keep to
     sound = (cover >= MIN_COVER) & ((end - F.col("first") + 1 <= F.ceil(F.col("n") * 1.25) + 2) | F.col("low").isNotNull())
-    judged = merged.withColumn("cover", cover).withColumn("sound", sound & ~F.col("phrase"))
+    told = F.forall(F.coalesce("tells", F.array().cast("array<array<int>>")), lambda some: F.arrays_overlap(some, "tpos"))
+    # one row for each template
+    judged = merged.join(F.broadcast(tells), "template", "left").withColumn("cover", cover).withColumn("sound", sound & told & ~F.col("phrase"))
     base = F.col("phrase") & (F.col("places") > 0)
     span = F.concat_ws(":", "label", F.lpad(F.col("first").cast("string"), 10, "0"), F.lpad(end.cast("string"), 10, "0"))
     facts = judged.groupBy("row").agg(

@@ -118,6 +118,48 @@ def test_position_sets():
     assert len(sets) == 14 and all(any(s <= set(five) for s in sets) for five in combinations(range(8), 5))
 
 
+def notice_labels(words, notices=license_scan.NOTICES, k=3):
+    """Labels of verified notices by plain loops: votes by diagonal, neighbours merged, cover and telling k-grams checked."""
+    grams = lambda w: [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
+    texts, out = [(label, t.split()) for label, t in notices], set()
+    for label, t in texts:
+        hits = sorted((i - p, i, p) for i, g in enumerate(grams(words)) for p, h in enumerate(grams(t)) if g == h)
+        runs = []
+        for h in hits:
+            if runs and h[0] - runs[-1][-1][0] <= license_scan.NEIGHBOURS:
+                runs[-1].append(h)
+            else:
+                runs.append([h])
+        for run in runs:
+            places = {p for _, _, p in run}
+            cover = len({p + j for p in places for j in range(k)}) / len(t)
+            first, end = min(i for _, i, _ in run), max(i for _, i, _ in run) + k
+            whole = any({p for d, _, p in run if d == x} == set(range(len(t) - k + 1)) for x, _, _ in run)
+            told = True
+            for other, u in texts:
+                lacks = {p for p, g in enumerate(grams(t)) if g not in grams(u)}
+                shared = {p + j for p, g in enumerate(grams(t)) if g in grams(u) for j in range(k)}
+                if other != label and lacks and len(shared) >= 0.8 * len(t):
+                    told = told and bool(lacks & places)
+            if cover >= 0.8 and told and (end - first <= -(-len(t) * 5 // 4) + 2 or whole):
+                out.add(label)
+    return out
+
+
+def test_each_notice_has_its_own_label_only(spark):
+    rng = random.Random(9)
+    cases = [(label, text.split()) for label, text in license_scan.NOTICES]
+    texts = [t for _, t in cases]
+    for _, t in cases:  # one word changed, left out or added, and two notices in one text
+        k = rng.randrange(len(t))
+        texts += [t[:k] + ["changed"] + t[k + 1:], t[:k] + t[k + 1:], t[:k] + ["added"] + t[k:], t + ["and", "then"] + rng.choice(cases)[1]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: {*r.labels.split(",")} - {"", *r.base_labels.split(",")} for r in license_scan.license_scan(docs).collect()}
+    for i, (label, _) in enumerate(cases):
+        assert got[i] == {label}, (label, got[i])
+    assert got == {i: notice_labels(t) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_lines(spark, parts):
     rng = random.Random(2)

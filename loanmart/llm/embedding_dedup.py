@@ -9,10 +9,12 @@ about ``BLOCK`` vectors whatever the data; a pair of blocks is a tile. Tiles are
 points and axes only. A tile is one unit of work and returns link counts and a spanning forest, never the pairs.
 Survivors are verified in double precision on the vectors as given. Equal vectors are one class with a count.
 
-Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or differ in length from the most
-common length (ties: the longer) link with nothing, nor do rows with a null ``vec_id``: they have no links and are their
-own component. Every row gets its row; rows that repeat an id are vectors of their own that share the id. Other columns
-are not read. No rows give no rows.
+Vectors of each length are compared among themselves; lengths of at most ``BLOCK`` different vectors are a tile each.
+
+Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing, and are their
+own component. Vectors of different lengths do not link. A row with a null ``vec_id`` takes part like any other, counts
+for its neighbours, has its component's smallest id and is never kept. Every row gets its row; rows that repeat an id are
+vectors of their own that share the id. Other columns are not read. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -131,9 +133,11 @@ def _stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _tile(axes: np.ndarray, limit: float, part: int = 512):
+def _tile(axes: np.ndarray | None, limit: float, part: int = 512):
+    """Counts and forest of one tile; without ``axes`` coordinates stay as they are."""
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        d = len(axes)
+        d = len(rows["x"].iloc[0]) // 8
         rows = rows.sort_values("block", kind="stable")
         blocks = rows["block"].to_numpy()
         cut = int(np.searchsorted(blocks, blocks[0], side="right"))
@@ -141,7 +145,7 @@ def _tile(axes: np.ndarray, limit: float, part: int = 512):
         if same and rows["t1"].iloc[0] != rows["t2"].iloc[0]:
             return pd.DataFrame({"cid": [], "linked": [], "star": []}).astype("int64")
         u = _units(rows["x"].tolist(), d)[1]
-        y = u @ axes
+        y = u if axes is None else u @ axes
         left = np.cumsum((y * y)[:, ::-1], axis=1)[:, ::-1]
         norms = [np.sqrt(left[:, at]) if at < d else np.zeros(len(y)) for at in range(STEP, d + STEP, STEP)]
         m, cid = rows["m"].to_numpy(), rows["cid"].to_numpy()
@@ -181,22 +185,9 @@ def _tiles(boxes: DataFrame, leaves: int, width: int, limit: float) -> DataFrame
     return both.select(F.concat_ws(":", "a_leaf", "p").alias("t1"), F.concat_ws(":", "b_leaf", "q").alias("t2"))
 
 
-def embedding_components(vectors: DataFrame, limit: float = 0.9, block: int = BLOCK) -> DataFrame:
-    """``vec_id``, ``n_links``, ``component_id``, ``kept`` of each row of ``vectors`` (``vec_id``, ``embedding``)."""
-    spark = vectors.sparkSession
-    own = vectors.select(F.col("vec_id").cast("long"), "embedding")
-    clean = settled(own.mapInArrow(_cleaned, "vec_id long, x binary, d int"), "vectors")
-    sized = clean.where("d > 0 and vec_id is not null").groupBy("d").count().orderBy(F.desc("count"), F.desc("d")).first()
-    alone = lambda rows: rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                                     F.col("vec_id").isNotNull().alias("kept"))
-    if sized is None:
-        return alone(clean)
-    d = sized[0]
-    usable = (F.col("d") == d) & F.col("vec_id").isNotNull()
-    grouped = clean.where(usable).groupBy("x").agg(F.count("*").alias("m"), F.min("vec_id").alias("low"))
-    classes = settled(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+def _found(classes: DataFrame, d: int, total: int, limit: float, block: int) -> DataFrame:
+    """``cid``, ``linked``, ``star`` of the ``total`` classes of length ``d``, by tiles."""
     axes = principal_axes(classes, d)
-    total = classes.count()
     some = classes.orderBy(F.xxhash64("x"), "cid").limit(SAMPLE).select("x").collect()
     leaves = 1
     while leaves * block < total and leaves * 2 * LEAST <= SAMPLE:
@@ -224,12 +215,28 @@ def embedding_components(vectors: DataFrame, limit: float = 0.9, block: int = BL
         "cid", "m", "x", F.concat_ws(":", "leaf", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("block"))
     pairs = _tiles(boxes, leaves, width, limit)
     sides = pairs.select("t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("block"))
-    found = settled(blocked.join(sides, "block").groupBy("t1", "t2").applyInPandas(_tile(axes, limit), "cid long, linked long, star long"), "links")
+    return blocked.join(sides, "block").groupBy("t1", "t2").applyInPandas(_tile(axes, limit), "cid long, linked long, star long")
+
+
+def embedding_components(vectors: DataFrame, limit: float = 0.9, block: int = BLOCK) -> DataFrame:
+    """``vec_id``, ``n_links``, ``component_id``, ``kept`` of each row of ``vectors`` (``vec_id``, ``embedding``)."""
+    own = vectors.select(F.col("vec_id").cast("long"), "embedding")
+    clean = settled(own.mapInArrow(_cleaned, "vec_id long, x binary, d int"), "vectors")
+    alone = clean.where("d = 0").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    grouped = clean.where("d > 0").groupBy("d", "x").agg(F.count("*").alias("m"), F.min("vec_id").alias("low"))
+    classes = settled(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    # one row for each length
+    large = {r.d: r.n for r in classes.groupBy("d").agg(F.count("*").alias("n")).where(F.col("n") > block).collect()}
+    few = classes.where(~F.col("d").isin(list(large))).select("cid", "m", "x", "d", F.lit("0").alias("block"), F.lit("0").alias("t1"), F.lit("0").alias("t2"))
+    found = few.groupBy("d").applyInPandas(_tile(None, limit), "cid long, linked long, star long")
+    for d, total in sorted(large.items()):
+        found = found.unionByName(_found(classes.where(F.col("d") == d), d, total, limit, block))
+    found = settled(found, "links")
     roots = components(found.select(F.col("cid").alias("a"), F.col("star").alias("b")))
     counts = found.groupBy("cid").agg(F.sum("linked").alias("linked"))
     facts = classes.select("cid", "x", "m", "low").join(counts, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     facts = settled(facts.select("x", F.coalesce("root", "cid").alias("root"), "low", (F.col("m") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "facts")
     lows = facts.groupBy("root").agg(F.min("low").alias("component_id"))
-    whole = clean.where(usable).join(facts.join(lows, "root").select("x", "n_links", "component_id"), "x")
-    named = whole.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    return named.unionByName(alone(clean.where(~F.coalesce(usable, F.lit(False)))))
+    whole = clean.where("d > 0").join(facts.join(lows, "root").select("x", "n_links", "component_id"), "x")
+    named = whole.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return named.unionByName(alone)

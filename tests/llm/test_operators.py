@@ -72,7 +72,7 @@ def vectors(spark, n=300, d=40):
     near = rng.normal(size=d)
     rows = [(i, (rng.normal(size=d) if i % 3 else near + 0.12 * rng.normal(size=d)).tolist()) for i in range(n)]
     rows += [(n, rows[4][1]), (n + 1, rows[4][1]), (n + 2, [0.0] * d), (n + 3, None), (n + 4, [float("nan")] + [1.0] * (d - 1)), (n + 5, [None] + [1.0] * (d - 1)),
-             (n + 6, [1.0, 2.0]), (n + 7, []), (None, rows[4][1]), (9, rows[9][1]), (n + 8, [1e300] * d), (n + 9, [1e-300] * d)]
+             (n + 6, [1.0, 2.0]), (n + 10, [2.0, 4.0]), (n + 11, [-1.0, 2.0]), (None, [1.0, 2.1]), (n + 12, [5.0]), (n + 13, [7.0]), (n + 14, [-7.0]), (n + 7, []), (None, rows[4][1]), (9, rows[9][1]), (n + 8, [1e300] * d), (n + 9, [1e-300] * d)]
     return rows
 
 
@@ -81,19 +81,17 @@ def test_embeddings(spark, monkeypatch, block, sample):
     monkeypatch.setattr(embedding_dedup, "SAMPLE", sample)  # 20: two leaves of many parts
     rows = vectors(spark)
     got = embedding_dedup.embedding_components(spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, cid int"), block=block).collect()
-    good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v and len(v) == 40 and None not in v and np.isfinite(v).all() and np.any(v)]
-    units = np.stack([v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for _, v in good])
-    near = units @ units.T >= 0.9
-    np.fill_diagonal(near, False)
+    good = [(i, np.array(v, dtype=float)) for i, v in rows if v and None not in v and np.isfinite(v).all() and np.any(v)]
+    unit = [v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for _, v in good]
+    near = np.array([[i != j and len(x) == len(y) and x @ y >= 0.9 for j, y in enumerate(unit)] for i, x in enumerate(unit)])
     root = data.linked(range(len(good)), zip(*map(list, np.nonzero(near))))
     low = {}
     for k, r in root.items():
-        low[r] = min(low.get(r, good[k][0]), good[k][0])
-    want = sorted((good[k][0], int(near[k].sum()), low[root[k]]) for k in range(len(good)))
-    usable = {i for i, _ in good}
-    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got if r.vec_id in usable) == want
-    assert all((r.n_links, r.component_id) == (0, r.vec_id) for r in got if r.vec_id not in usable)
-    assert len(got) == len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
+        low[r] = min((x for x in (low.get(r), good[k][0]) if x is not None), default=None)
+    key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+    linked = [(good[k][0], int(near[k].sum()), low[root[k]], good[k][0] is not None and good[k][0] == low[root[k]]) for k in range(len(good))]
+    bad = [(i, 0, i, i is not None) for i, v in rows if not (v and None not in v and np.isfinite(v).all() and np.any(v))]
+    assert sorted(map(tuple, got), key=key) == sorted(linked + bad, key=key)
 
 
 @pytest.mark.parametrize("block", [2, 512])

@@ -2,9 +2,11 @@
 
 Method: a sentence's score is ``sigmoid(bias + sum of its words' weights)``, and a document is toxic unless every
 sentence fails to be: ``1 - prod(1 - score)``. Weights of words and of their first bytes, and the bias, are trained from
-document labels alone, on a bounded sample of labelled rows (``MAX_TRAIN``, by smallest id hash); the words that may have
-a weight are those whose document counts lean far from the label's share. Scoring covers every row and whole texts, and
-sentences with ``SENTENCE_LIMIT`` or more are named.
+document labels alone. The words that may have a weight are those whose document counts lean far from the label's share;
+they are counted over all labelled training rows, whose words travel as sets of buckets, not as text. Only the fit reads a
+bounded sample (``MAX_TRAIN``, by smallest id hash): half of each label, or all rows of a label that has fewer, weighted
+so that the labels count by their shares of all rows. Scoring covers every row and whole texts, and sentences with
+``SENTENCE_LIMIT`` or more are named.
 
 Words are runs of 0-9, A-Z (as a-z) and characters beyond ASCII; sentences end at . ! ? or a line break, as a run.
 
@@ -81,15 +83,30 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _bucket_sets(batches):
+    """Buckets of each document, rising, as steps from one to the next."""
+    for batch in slices(batches):
+        _, _, w, bucket, _, _ = _sentences(batch.column("text"))
+        pair = np.unique(w.doc[:, None] * BUCKETS + bucket)
+        of, at = pair // BUCKETS, pair % BUCKETS
+        steps = np.diff(at, prepend=0)
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        steps[first] = at[first]
+        ends = pa.array(np.searchsorted(of, np.arange(batch.num_rows + 1)), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(steps.astype(np.int32)))], ["doc_id", "steps"])
+
+
 def _word_counts(batches):
     """Documents and toxic documents by bucket, one set of rows for each task."""
     total, toxic, n, n_toxic = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64), 0, 0
-    for batch in slices(batches):
-        _, _, w, bucket, _, _ = _sentences(batch.column("text"))
+    for batch in batches:
         label = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-        pair = np.unique(w.doc[:, None] * BUCKETS + bucket)
-        total += np.bincount(pair % BUCKETS, minlength=BUCKETS)
-        toxic += np.bincount(pair % BUCKETS, weights=label[pair // BUCKETS], minlength=BUCKETS).astype(np.int64)
+        lists = batch.column("steps")
+        ends = np.cumsum(np.concatenate([[0], lists.value_lengths().to_numpy()]))
+        whole = np.concatenate([[0], np.cumsum(lists.flatten().to_numpy().astype(np.int64))])
+        bucket = whole[1:] - np.repeat(whole[ends[:-1]], np.diff(ends))
+        total += np.bincount(bucket, minlength=BUCKETS)
+        toxic += np.bincount(bucket, weights=np.repeat(label, np.diff(ends)), minlength=BUCKETS).astype(np.int64)
         n, n_toxic = n + len(label), n_toxic + int(label.sum())
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n)), pa.array(np.append(toxic[at], n_toxic))],
@@ -122,11 +139,17 @@ def _bags(chosen: np.ndarray):
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> ToxicModel:
     """Train on rows of ``labels`` (``doc_id``, ``toxic`` 0 or 1) that are not held out."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = {r["__id"]: r.toxic for r in marks.orderBy(F.xxhash64("__id"), "__id").limit(max_train).collect()}  # max_train pairs
+    marks = settled(marks, "toxic-marks")
+    sets = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long"), "text").mapInArrow(_bucket_sets, "doc_id long, steps array<int>")
+    counted = sets.join(marks, F.col("doc_id") == F.col("__id")).select("steps", "toxic").mapInArrow(_word_counts, "bucket long, n long, toxic long")
+    counts = settled(counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "word-counts")
+    # max_train pairs, half of each label if there are so many
+    many = {bool(r.toxic): r.n for r in marks.groupBy(F.col("toxic") > 0).agg(F.count("*").alias("n"), F.max("toxic").alias("toxic")).collect()}
+    take = {True: min(many.get(True, 0), max(max_train // 2, max_train - many.get(False, 0)))}
+    take[False] = min(many.get(False, 0), max_train - take[True])
+    known = {r["__id"]: r.toxic for k, n in take.items() for r in marks.where((F.col("toxic") > 0) == k).orderBy(F.xxhash64("__id"), "__id").limit(n).collect()}
     sample = docs.sparkSession.createDataFrame(list(known.items()), "__id long, toxic int")
     picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
-    counted = picked.select("text", "toxic").mapInArrow(_word_counts, "bucket long, n long, toxic long")
-    counts = settled(counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "word-counts")
     whole = counts.where("bucket = -1").first()
     share = whole.toxic / whole.n if whole and whole.n else 0.0
     if not 0 < share < 1:
@@ -144,23 +167,27 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Toxic
     word = np.concatenate([b[1] for b in bags])
     key, sentence = np.unique(doc.astype(np.int64) << 32 | np.concatenate([b[0] for b in bags]), return_inverse=True)
     blank = np.array([r.sentences for r in got]) - np.bincount(key >> 32, minlength=len(got))
-    weights, bias = _fit(sentence, word, key >> 32, blank, np.array([known[r.doc_id] for r in got], dtype=float), len(chosen))
+    y = np.array([known[r.doc_id] for r in got], dtype=float)
+    counts_for = np.where(y > 0, many.get(True, 0) / max(take[True], 1), many.get(False, 0) / max(take[False], 1))
+    weights, bias = _fit(sentence, word, key >> 32, blank, y, len(chosen), counts_for / counts_for.mean())
     spread = np.zeros(BUCKETS)
     spread[chosen] = weights
     return ToxicModel(spread, bias)
 
 
-def _fit(sentence, word, owner, blank, y, size) -> tuple[np.ndarray, float]:
-    """Adam on the mean noisy-or log loss. ``owner``: document of each sentence that has words; ``blank``: sentences without."""
+def _fit(sentence, word, owner, blank, y, size, weight=None) -> tuple[np.ndarray, float]:
+    """Adam on the mean noisy-or log loss. ``owner``: document of each sentence that has words; ``blank``: sentences without;
+    ``weight``: what each document counts for, 1 on average."""
     n = len(y)
+    weight = np.ones(n) if weight is None else weight
     p = np.zeros(size + 1)
-    p[-1] = np.log(max(y.mean(), 1e-3) / max(np.mean(blank) + len(owner) / n, 1))
+    p[-1] = np.log(max((weight * y).mean(), 1e-3) / max(np.mean(blank) + len(owner) / n, 1))
     m, v = np.zeros_like(p), np.zeros_like(p)
     for t in range(1, EPOCHS + 1):
         z = np.bincount(sentence, weights=p[word], minlength=len(owner)) + p[-1]
         clean = -(np.bincount(owner, weights=_softplus(z), minlength=n) + blank * _softplus(p[-1]))  # log P(not toxic)
         prob = np.clip(-np.expm1(clean), 1e-9, 1 - 1e-9)
-        slope = np.where(y > 0, -(1 - prob) / prob, 1.0) / n  # by the sum of softplus
+        slope = weight * np.where(y > 0, -(1 - prob) / prob, 1.0) / n  # by the sum of softplus
         ds = slope[owner] * _sigmoid(z)
         g = np.zeros_like(p)
         g[:-1] = np.bincount(word, weights=ds[sentence], minlength=size)[:size] + RIDGE / n * p[:-1]
@@ -190,7 +217,7 @@ def toxicity(docs: DataFrame, model: ToxicModel, limit: float = 0.3) -> DataFram
             score = -np.expm1(-clean) if constant is None else np.full(batch.num_rows, constant)
             own = _sigmoid(z) if constant is None else np.full(len(z), constant)
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            last = np.append(at[1:], len(w.doc)) - 1
+            last = (np.append(at[1:], len(w.doc)) - 1)[:len(at)]
             start, end = points[w.starts[at]], points[w.ends[last]]
             worst, offending = [], []
             for i in range(batch.num_rows):

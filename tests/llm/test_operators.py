@@ -290,6 +290,70 @@ def test_toxic_sentences(spark):
     assert hits and np.mean([h.startswith("you vile") for h in hits]) > 0.95
 
 
+def plain_noisy_or(sentences, weights, bias):
+    """Score of a document given as its sentences' words."""
+    clean = 1.0
+    for words in sentences or [[]]:
+        clean *= 1 - 1 / (1 + np.exp(-(bias + sum(weights.get(w, 0.0) for w in set(words)))))
+    return 1 - clean
+
+
+def test_rare_toxic_rows_are_found(spark):
+    """0.1 % toxic: a small sample has them all, words are counted on all rows, and the shares of the labels hold."""
+    rng = random.Random(16)
+    plain = [f"w{k}" for k in range(200)]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(12)) + ". " + ("utter foulmouth here." if i % 1000 in (3, 500) else "so it goes.")) for i in range(12_000)]
+    toxic = {i for i, t in rows if "foulmouth" in t}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, max_train=300)
+    assert model.constant is None
+    got = toxicity.toxicity(docs, model).collect()
+    assert {r.doc_id for r in got if r.predicted} == toxic and np.mean([r.score for r in got if r.doc_id not in toxic]) < 0.05
+
+
+def test_scores_equal_a_plain_noisy_or(spark):
+    texts = ["Vile words here. Calm line!", "calm", "", None, "vile vile vile", "one\nvile two\nthree calm"]
+    rng = np.random.default_rng(3)
+    model = toxicity.ToxicModel(rng.normal(size=toxicity.BUCKETS), -1.5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, model).collect()}
+    import pyarrow as pa
+    import re
+
+    def buckets(word):
+        _, _, _, bucket, _, _ = toxicity._sentences(pa.array([word]))
+        return bucket[0].tolist()
+
+    for i, text in enumerate(texts):
+        parts = [[b for w in re.findall("[0-9A-Za-z]+", s) for b in buckets(w)] for s in re.split(r"[.!?\n]+", text or "") if re.search("[0-9A-Za-z]", s)]
+        assert got[i] == pytest.approx(plain_noisy_or(parts, dict(enumerate(model.weights)), model.bias))
+
+
+def test_fit_equals_plain_gradient_steps():
+    """The noisy-or fit against the same loss by numeric slopes: no step along any weight lowers it."""
+    rng = np.random.default_rng(5)
+    sentence = np.repeat(np.arange(40), 3)
+    word = rng.integers(0, 5, size=120)
+    owner = np.arange(40) // 2
+    y = (np.bincount(owner, weights=np.bincount(sentence, weights=word == 0)) > 0).astype(float)
+    weight = np.where(y > 0, 0.5, 1.5)
+    weight /= weight.mean()
+    weights, bias = toxicity._fit(sentence, word, owner, np.zeros(20), y, 5, weight)
+
+    def loss(p):
+        z = np.bincount(sentence, weights=p[:-1][word]) + p[-1]
+        clean = -np.bincount(owner, weights=np.logaddexp(0, z))
+        return np.mean(weight * -(y * np.log(np.clip(-np.expm1(clean), 1e-9, 1)) + (1 - y) * clean)) + toxicity.RIDGE / 2 / 20 * (p[:-1] ** 2).sum()
+
+    best = np.append(weights, bias)
+    for k in range(6):
+        for step in (-0.05, 0.05):
+            other = best.copy()
+            other[k] += step
+            assert loss(other) > loss(best) - 2e-3
+
+
 def test_held_out_accuracy(spark):
     got = llm.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").join(llm.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out").toPandas()
     assert (got.predicted == got.toxic).mean() > 0.96

@@ -4,7 +4,8 @@ Method: neighbouring words of an item are a pair, and a document has it if at mo
 A copy that reaches ``min_score`` lacks a bounded number of the item's pairs (``_seeds_needed``), so one more than that
 number, the item's rarest in the corpus, are its seeds: each such copy has one of them. An item too short for the bound
 is found by its rarest words in the same way. Each document pass drops pairs that no test item can have by a bit table of
-fixed size (1 MB); what stays is joined exactly: the first pass counts pairs, the second takes the passages around seeds.
+fixed size (1 MB); what stays is joined exactly: the first pass counts pairs, the second takes the passages around seeds,
+with a table for each doubling of the items' lengths (at most some twenty), so that a passage is as wide as its own items ask.
 Seeds of a document and an item on neighbouring diagonals mark a window that reaches as many words further on both sides
 as a copy at the limit may have added, so it holds the whole of each copy that one of its seeds is in. The window is
 aligned with the item: +1 for an equal word, -1/4 for a changed, left out or added one. ``score`` is the best local score
@@ -102,27 +103,33 @@ def _as_words(h: np.ndarray):
     return Words(zero, zero, zero, h.view(np.uint64), np.array([0, len(h)]))
 
 
-def _known(w: Words, bits: np.ndarray, apart: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the first word and hash of the pairs (words for 0) that the bit table knows, in order."""
-    at, gram = [], []
+def _known(w: Words, tables: list[tuple[np.ndarray, int]], apart: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the first word and hash of the pairs (words for 0) that a bit table knows, in order, with the largest
+    number that stands beside such a table."""
+    at, gram, number = [], [], []
     for k in apart:
         first, h = _runs(w, k)
-        hit = np.ones(len(h), dtype=bool)
-        for shift in PROBES:
-            place = ((h >> np.uint64(shift)) & np.uint64(BITS - 1)).astype(np.int64)
-            hit &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        most = np.full(len(h), -1, dtype=np.int64)
+        for bits, own in tables:
+            hit = np.ones(len(h), dtype=bool)
+            for shift in PROBES:
+                place = ((h >> np.uint64(shift)) & np.uint64(BITS - 1)).astype(np.int64)
+                hit &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            most[hit] = np.maximum(most[hit], own)
+        hit = most >= 0
         at.append(first[hit])
         gram.append(h[hit])
-    at, gram = np.concatenate(at), np.concatenate(gram)
+        number.append(most[hit])
+    at, gram, number = np.concatenate(at), np.concatenate(gram), np.concatenate(number)
     order = np.argsort(at, kind="stable")
-    return at[order], gram[order]
+    return at[order], gram[order], number[order]
 
 
 def _counts(table, apart: list[int]):
     def run(batches):
         codes, bits = word_codes(), np.frombuffer(table.value, dtype=np.uint8)
         for batch in slices(batches):
-            gram, n = np.unique(_known(words(*raw(batch.column("text")), codes), bits, apart)[1], return_counts=True)
+            gram, n = np.unique(_known(words(*raw(batch.column("text")), codes), [(bits, 0)], apart)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(_signed(gram)), pa.array(n, pa.int64())], ["gram", "df"])
 
     return run
@@ -139,24 +146,25 @@ def _bit_table(grams: DataFrame):
     return grams.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
-def _passages(table, apart: list[int], margin: int):
-    """Runs of words around seeds that the bit table knows; hits within two margins are in one passage."""
+def _passages(tables: list[tuple], apart: list[int]):
+    """Runs of words around seeds that a bit table knows, as far as the margin that stands beside it; what overlaps is one."""
 
     def run(batches):
-        codes, bits = word_codes(), np.frombuffer(table.value, dtype=np.uint8)
+        codes, read = word_codes(), [(np.frombuffer(t.value, dtype=np.uint8), margin) for t, margin in tables]
         for batch in slices(batches):
             w = words(*raw(batch.column("text")), codes)
-            at, gram = _known(w, bits, apart)
+            at, gram, margin = _known(w, read, apart)
             if not len(at):
                 continue
             doc = w.doc[at]
+            left, right = np.maximum(at - margin, w.bounds[doc]), np.minimum(at + margin, w.bounds[doc + 1])
+            # by where they begin; a seed opens a passage if all before it end earlier
+            order = np.argsort(left, kind="stable")
+            at, gram, doc, left, right = (x[order] for x in (at, gram, doc, left, right))
             new = np.ones(len(at), dtype=bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (at[1:] - at[:-1] > 2 * margin)
+            new[1:] = left[1:] >= np.maximum.accumulate(right)[:-1]
             cuts = np.append(np.flatnonzero(new), len(at))
-            heads, tails = at[cuts[:-1]], at[cuts[1:] - 1]
-            owner = doc[cuts[:-1]]
-            low = np.maximum(heads - margin, w.bounds[owner])
-            high = np.minimum(tails + margin, w.bounds[owner + 1])
+            owner, low, high = doc[cuts[:-1]], left[cuts[:-1]], np.maximum.reduceat(right, cuts[:-1])
             base = w.bounds[owner]
             runs = [_signed(w.hash[a:b]) for a, b in zip(low, high)]
             ends = np.concatenate([[0], np.cumsum(high - low)])
@@ -224,7 +232,6 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     # ids may be null or repeated: each text has a number of its own
     tests = settled(texts.withColumn("item", F.monotonically_increasing_id()), "items")
     grams = settled(tests.select("item", "words").mapInArrow(_item_grams(min_score), "item long, ipos int, gram long, need int, pair boolean"), "item-grams")
-    longest = tests.agg(F.max("n")).first()[0]
     kinds = {r.pair for r in grams.select("pair").distinct().collect()}
     apart = [0] * (kinds != {True}) + list(range(1, ADDED + 2)) * (True in kinds)
     seen = docs.select("text").mapInArrow(_counts(_bit_table(grams), apart), "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
@@ -232,8 +239,12 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, min_score: float = MIN_
     rated = grams.join(seen, "gram", "left").withColumn("rank", F.row_number().over(order))
     rare = settled(rated.where("rank <= need").select("gram", "item", "ipos"), "seeds")
     rows = docs.select(F.col("doc_id").cast("long"), "text", *_digests(), F.monotonically_increasing_id().alias("row"))
-    margin = (longest or 1) + int(_most_added(longest or 1, min_score))
-    passages = settled(rows.mapInArrow(_passages(_bit_table(rare), apart, margin), _PASSAGES)
+    # a table for each doubling of the items' lengths: a long item widens the passages of its own seeds only
+    lengths = tests.select("item", F.ceil(F.log2("n")).cast("int").alias("size"))
+    of_size = settled(rare.join(lengths, "item").select("gram", "size"), "seed-sizes")
+    sizes = sorted(r["size"] for r in of_size.select("size").distinct().collect())
+    tables = [(_bit_table(of_size.where(F.col("size") == c).select("gram")), (1 << c) + int(_most_added(1 << c, min_score))) for c in sizes]
+    passages = settled(rows.mapInArrow(_passages(tables, apart), _PASSAGES)
                        .withColumn("pid", F.monotonically_increasing_id()), "passages")
     hits = passages.select("pid", F.explode(F.arrays_zip("at", "gram")).alias("x")).select("pid", "x.at", "x.gram")
     sized = tests.select("item", "item_id", "n", F.col("words").alias("item_words"), "n_items")

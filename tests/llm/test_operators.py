@@ -395,6 +395,27 @@ def test_a_passage_of_many_windows(spark):
     assert sorted((r.doc_id, r.item_id, r.score, r.end_word) for r in found.collect()) == [(1, i, 1.0, 30 * (i + 1)) for i in range(40)]
 
 
+def test_a_long_item_does_not_widen_other_passages(spark, monkeypatch):
+    rng = random.Random(31)
+    tests = {i: [f"i{i}x{k}" for k in range(25)] for i in range(20)} | {99: [f"long{k}" for k in range(4000)]}
+    other = lambda n: [f"p{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {i: other(6000) + tests[i % 20] + other(6000) for i in range(40)} | {50: other(100) + tests[99][:3500] + other(4000) + tests[3]}
+    taken = []
+    keep = decontaminate.settled
+
+    def seen(df, name):
+        out = keep(df, name)
+        if name == "passages":
+            taken.extend(out.select("doc_id", F.size("words").alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(decontaminate, "settled", seen)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = decontaminate.benchmark_matches(docs, spark.createDataFrame([(i, " ".join(t)) for i, t in tests.items()], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i % 20) for i in range(40)} | {(50, 99), (50, 3)}
+    assert max(r.n for r in taken if r.doc_id < 40) < 400
+
+
 def test_copies_without_five_words_in_a_row(spark):
     rng = random.Random(21)
     item = [f"q{k}" for k in range(40)]

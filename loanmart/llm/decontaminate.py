@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanmart.llm.columns import free
 from loanmart.llm.text import Words, mixed, raw, slices, word_codes, words
 from loanmart.session import settled
 
@@ -274,6 +275,7 @@ def _digests():
 def without_matches(docs: DataFrame, found: DataFrame, null_ids_stay: bool = True) -> DataFrame:
     """Rows of ``docs`` whose id and text have no match; rows with a null id stay unless ``null_ids_stay`` is false."""
     hit = found.where("doc_id is not null") if null_ids_stay else found
-    hit = hit.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__b1"), F.col("t2").alias("__b2")).distinct()
+    i, b1, b2 = free(docs.columns, "__id", "__b1", "__b2")
+    hit = hit.select(F.col("doc_id").alias(i), F.col("t1").alias(b1), F.col("t2").alias(b2)).distinct()
     t1, t2 = _digests()
-    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (t1 == F.col("__b1")) & (t2 == F.col("__b2")), "left_anti")
+    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (t1 == F.col(b1)) & (t2 == F.col(b2)), "left_anti")

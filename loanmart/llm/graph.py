@@ -13,8 +13,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of a node on the smallest one, then the smaller ones; it ends when a round
     changes nothing, and then every node points at its root. Nodes' neighbours are never gathered: a round is a
-    minimum by key and a join with it, so a hub's rows stay spread. Each round is written to the shared folder, and
-    the one before removed. Loops and nulls are left out; no links give no rows.
+    minimum by key, counted in each task first, and a join of the links with it, row by row; a hub's rows of that join
+    fall to one partition, which Spark splits when it is large. Each round is written to the shared folder, and the one
+    before removed. Loops and nulls are left out; no links give no rows.
     """
     spark = links.sparkSession
     first = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanmart.llm.columns import free
 from loanmart.llm.text import slices
 from loanmart.session import settled
 
@@ -193,13 +194,21 @@ def _kept(text: pd.Series, n_lines: pd.Series, keep: pd.Series) -> pd.Series:
     return pd.Series([one(*x) for x in zip(text, n_lines, keep)], dtype=object)
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` cut to the kept lines (null becomes empty); all its columns, then ``__n_lines``, ``__n_dropped``."""
-    own = docs.withColumns({"__t1": digests()[0], "__t2": digests()[1]})
-    marks = bitmaps.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__b1"), F.col("t2").alias("__b2"), F.col("n_lines").alias("__n_lines"),
-                           F.col("n_dropped").alias("__n_dropped"), F.col("keep").alias("__keep")).dropDuplicates(["__id", "__b1", "__b2"])
-    on = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (F.col("__t1") == F.col("__b1")) & (F.col("__t2") == F.col("__b2"))
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, made: tuple[str, str] = ("__n_lines", "__n_dropped")) -> DataFrame:
+    """``docs`` with ``text`` cut to the kept lines (null becomes empty); all its columns, then the two numbers, named ``made``."""
+    if clash := {c.lower() for c in made} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"there are columns {sorted(clash)} already")
+    t1, t2, i, b1, b2, keep = free([*docs.columns, *made], "__t1", "__t2", "__id", "__b1", "__b2", "__keep")
+    own = docs.withColumns({t1: digests()[0], t2: digests()[1]})
+    marks = bitmaps.select(F.col("doc_id").alias(i), F.col("t1").alias(b1), F.col("t2").alias(b2), F.col("n_lines").alias(made[0]),
+                           F.col("n_dropped").alias(made[1]), F.col("keep").alias(keep)).dropDuplicates([i, b1, b2])
+    on = (F.col("doc_id").cast("long").eqNullSafe(F.col(i))) & (F.col(t1) == F.col(b1)) & (F.col(t2) == F.col(b2))
     whole = own.join(marks.hint("shuffle_hash"), on)
     # rows that lose nothing hand no bitmap to Python
-    text = F.pandas_udf(_kept, "string")("text", "__n_lines", F.when(F.col("__n_dropped") > 0, F.col("__keep")))
-    return whole.withColumn("text", text).select(*docs.columns, "__n_lines", "__n_dropped")
+    text = F.pandas_udf(_kept, "string")("text", made[0], F.when(F.col(made[1]) > 0, F.col(keep)))
+    return whole.withColumn("text", text).select(*docs.columns, *made)
+
+
+def without_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` cut to the kept lines, with their own columns, whatever these are called."""
+    return apply_bitmaps(docs, bitmaps, tuple(free(docs.columns, "__n_lines", "__n_dropped"))).select(*docs.columns)

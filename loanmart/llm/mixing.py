@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanmart.llm.columns import free
 from loanmart.llm.text import mixed, raw, slices, sums
 from loanmart.session import settled
 
@@ -233,9 +234,10 @@ def mixture(docs: DataFrame, targets: Mapping[str, Mapping] | None = None, share
 
 def sampled(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``mix`` selected, all their columns, and ``mix_weight`` (in place of a column of that name)."""
-    picked = mix.where("selected").groupBy("doc_id", "t1", "t2").agg(F.max("weight").alias("w")).select(
-        F.col("doc_id").alias("__id"), F.col("t1").alias("__p1"), F.col("t2").alias("__p2"), F.col("w").alias("__w"))
-    own = docs.withColumns({"__t1": F.xxhash64("text"), "__t2": F.xxhash64(F.lit(1), F.col("text"))})
-    on = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (F.col("__t1") == F.col("__p1")) & (F.col("__t2") == F.col("__p2"))
-    out = own.join(picked.hint("shuffle_hash"), on).withColumn("mix_weight", F.col("__w"))
+    t1, t2, i, p1, p2, w = free(docs.columns, "__t1", "__t2", "__id", "__p1", "__p2", "__w")
+    picked = mix.where("selected").groupBy("doc_id", "t1", "t2").agg(F.max("weight").alias(w)).select(
+        F.col("doc_id").alias(i), F.col("t1").alias(p1), F.col("t2").alias(p2), w)
+    own = docs.withColumns({t1: F.xxhash64("text"), t2: F.xxhash64(F.lit(1), F.col("text"))})
+    on = (F.col("doc_id").cast("long").eqNullSafe(F.col(i))) & (F.col(t1) == F.col(p1)) & (F.col(t2) == F.col(p2))
+    out = own.join(picked.hint("shuffle_hash"), on).withColumn("mix_weight", F.col(w))
     return out.select(*[c for c in docs.columns if c != "mix_weight"], "mix_weight")

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.spans import banded, digits, flag, fold, found
+from loanmart.llm.spans import banded, digits, flag, fold, found, last_before
 from loanmart.llm.trees import Cells, boosted, boosted_column, calibrated, counted, evaluate
 from loanmart.session import settled
 
@@ -37,7 +37,7 @@ PATTERNS = {
 }
 # The generators' patterns and the words that speak for a kind nearby.
 GENERATORS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:@|[\[(] ?at ?[\])]) ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]++)*+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|[\[(] ?at ?[\])]) ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]++)*+",
     "ip": r"(?<![0-9.])[0-9]++(?:[.][0-9]++){2,7}",
     "card": r"(?<![0-9])[0-9]{2,}+(?:[\x20.-][0-9]{2,}+)*+",
     "phone": r"[+(]?(?<![0-9])[0-9]++(?:[\x20().-]{1,3}[0-9]++)++",
@@ -115,31 +115,36 @@ def _scanned(docs: DataFrame) -> DataFrame:
 
     base = [exact(k) for k in KINDS]
     wide = F.concat(*[_candidates(text, k) for k in KINDS]).alias("cands")
-    return settled(docs.select(F.col("doc_id").cast("long"), *base, wide), "spans")
+    return docs.select(F.col("doc_id").cast("long"), *base, wide)
 
 
-def _inside(c: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda b: (c["s"] < b["e"]) & (b["s"] < c["e"]))
+def _near(c: Column) -> Column:
+    """For a candidate by kind: whether it equals a base span of the kind, and whether it overlaps one."""
+    def seen(kind):
+        last = last_before(F.col(f"b_{kind}"), c["e"])
+        same = F.coalesce((last["s"] == c["s"]) & (last["e"] == c["e"]), F.lit(False))
+        return F.struct(same.alias("same"), F.coalesce(last["e"] > c["s"], F.lit(False)).alias("inside")).alias(kind)
+
+    return F.struct(*[seen(k) for k in KINDS])
 
 
 def _label(c: Column) -> Column:
     """1, 0, or null where the exact rules don't judge."""
     out = F.lit(None).cast("int")
     for i, kind in enumerate(KINDS):
-        same = F.exists(f"b_{kind}", lambda b: (c["s"] == b["s"]) & (c["e"] == b["e"]))
-        near = _inside(c, F.col(f"b_{kind}"))
-        others = F.lit(False)
+        own, others = c["near"][kind], F.lit(False)
         for other in KINDS:
             if other != kind:
-                others = others | _inside(c, F.col(f"b_{other}"))
-        out = F.when(c["kind"] == i, F.when(same, 1).when(near, None).when(others | (F.coalesce(c["judged"], F.lit(False)) & ~c["good"]), 0)).otherwise(out)
+                others = others | c["near"][other]["inside"]
+        out = F.when(c["kind"] == i, F.when(own["same"], 1).when(own["inside"], None).when(others | (F.coalesce(c["judged"], F.lit(False)) & ~c["good"]), 0)).otherwise(out)
     return out
 
 
 def pii_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone`` (base), ``base_sha256``,
     ``spans`` (all, as kind:start:end by start, then kind in the order of ``KINDS``, comma-joined), ``n_added``."""
-    rows = _scanned(docs)
+    rows = _scanned(docs).withColumn("cands", F.transform("cands", lambda c: c.withField("near", _near(c))))
+    rows = settled(rows, "spans")
     labelled = rows.where(F.size("cands") > 0).select(fold().alias("held"), F.explode(F.transform("cands", lambda c: c.withField("label", _label(c)))).alias("c")).select("held", "c.*")
     fitted, tested = (counted(labelled.where("held" if h else "not held"), BINS) for h in (False, True))
     model = boosted(fitted)
@@ -154,7 +159,7 @@ def pii_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
         for i, kind in enumerate(KINDS):
             if limits[i] is not None:
                 limit = 1 / (1 + math.exp(-limits[i]))
-                out = F.when(c["kind"] == i, (p >= limit) & c["good"] & ~_inside(c, F.col(f"b_{kind}"))).otherwise(out)
+                out = F.when(c["kind"] == i, (p >= limit) & c["good"] & ~c["near"][kind]["inside"]).otherwise(out)
         return out
 
     def placed(spans, kind=None):

@@ -15,6 +15,7 @@ gets its row; other columns are not read. No documents give no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanmart.llm.columns import free
 from loanmart.llm.text import mixed, raw, slices, spaced_codes, span_hashes, sums, words
 
 BUCKETS = 1 << 15
@@ -141,8 +143,13 @@ def _fit(row, col, x, y, grades) -> OrdinalModel:
     return OrdinalModel(list(grades), p[:BUCKETS + 1], theta)
 
 
-def graded_by(docs: DataFrame, model: OrdinalModel, least: int, limit: float = 0.5) -> DataFrame:
-    """``docs`` (all columns) with ``__n_words``, ``__expected``, ``__tail`` = P(grade >= least) and ``__keep``."""
+GRADED = ("__n_words", "__expected", "__tail", "__keep")
+
+
+def graded_by(docs: DataFrame, model: OrdinalModel, least: int, limit: float = 0.5, made: Sequence[str] = GRADED) -> DataFrame:
+    """``docs`` (all columns) with number of words, expected grade, P(grade >= least) and whether to keep, named ``made``."""
+    if clash := {c.lower() for c in made} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"there are columns {sorted(clash)} already")
     wanted = [i for i, g in enumerate(model.grades) if g >= least]
     at = wanted[0] - 1 if wanted else None  # P(grade > grades[at])
     weights = model.weights
@@ -169,10 +176,17 @@ def graded_by(docs: DataFrame, model: OrdinalModel, least: int, limit: float = 0
                 tail = tails[:, at]
                 expected = model.grades[0] + tails @ np.diff(model.grades)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(expected), pa.array(tail), pa.array((n > 0) & (tail >= limit))],
-                                             [*batch.schema.names, "__n_words", "__expected", "__tail", "__keep"])
+                                             [*batch.schema.names, *made])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, __n_words long, __expected double, __tail double, __keep boolean")
+    added = ", ".join(f"`{c}` {t}" for c, t in zip(made, ("long", "double", "double", "boolean")))
+    return docs.mapInArrow(run, f"{schema}, {added}")
+
+
+def good_rows(docs: DataFrame, model: OrdinalModel, least: int, limit: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` to keep, with their own columns, whatever these are called."""
+    made = free(docs.columns, *GRADED)
+    return graded_by(docs, model, least, limit, made).where(F.col(made[-1])).select(*docs.columns)
 
 
 def quality_grades(docs: DataFrame, model: OrdinalModel, least: int, limit: float = 0.5) -> DataFrame:

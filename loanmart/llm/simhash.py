@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanmart.llm.columns import free
 from loanmart.llm.graph import components
 from loanmart.llm.text import slices
 from loanmart.session import settled
@@ -163,10 +164,11 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), F.col("t1").alias("__b1"), F.col("t2").alias("__b2")))
-    kept = found.groupBy("root").agg(first.alias("k")).select("k.__id", "k.__b1", "k.__b2")
-    own = docs.withColumns({"__t1": F.xxhash64("text"), "__t2": F.xxhash64(F.lit(1), F.col("text"))})
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__t1") == F.col("__b1")) & (F.col("__t2") == F.col("__b2"))
+    t1, t2, i, b1, b2, n = free(docs.columns, "__t1", "__t2", "__id", "__b1", "__b2", "__n")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias(i), F.col("t1").alias(b1), F.col("t2").alias(b2)))
+    kept = found.groupBy("root").agg(first.alias("k")).select(f"k.{i}", f"k.{b1}", f"k.{b2}")
+    own = docs.withColumns({t1: F.xxhash64("text"), t2: F.xxhash64(F.lit(1), F.col("text"))})
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.col(t1) == F.col(b1)) & (F.col(t2) == F.col(b2))
     # rows equal in id and text are one
-    numbered = own.join(kept, on, "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__t1", "__t2").orderBy(F.lit(0))))
-    return numbered.where("__n = 1").select(*docs.columns)
+    numbered = own.join(kept, on, "left_semi").withColumn(n, F.row_number().over(Window.partitionBy("doc_id", t1, t2).orderBy(F.lit(0))))
+    return numbered.where(F.col(n) == 1).select(*docs.columns)

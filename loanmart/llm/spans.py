@@ -6,6 +6,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPANS = "array<struct<s:int,e:int,v:string>>"
+#: Places that are added up at once.
+RUN = 256
+
+
+def running(lengths: Column) -> Column:
+    """Sums of an int array up to and with each element.
+
+    In runs of ``RUN``: the sums inside a run, then those of the runs before it, so that the steps grow with the array
+    and not with its square.
+    """
+    nothing = F.array().cast("array<int>")
+
+    def sums(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
+        step = lambda state, x: F.struct((state["at"] + x).alias("at"), F.array_append(state["out"], state["at"] + x).alias("out"))
+        return F.aggregate(values, start, step, lambda state: state["out"])
+
+    runs = F.transform(F.sequence(F.lit(0), F.ceil(F.size(lengths) / RUN).cast("int") - 1), lambda i: sums(F.slice(lengths, i * RUN + 1, F.lit(RUN))))
+    # one struct, so that the runs are made once
+    held = F.transform(F.array(runs), lambda r: F.struct(r.alias("runs"), sums(F.transform(r, lambda x: F.element_at(x, -1))).alias("ends")))[0]
+    whole = F.transform(F.array(held), lambda h: F.flatten(F.transform(h["runs"], lambda x, i: F.transform(x, lambda v: v + F.when(i == 0, 0).otherwise(F.get(h["ends"], i - 1))))))[0]
+    return F.when(F.size(lengths) == 0, nothing).when(F.size(lengths) <= RUN, sums(lengths)).otherwise(whole)
+
+
+def parts(text: Column, pattern: str) -> Column:
+    """Leftmost non-overlapping matches ``m``, each with the piece ``p`` of text before it."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    # there is one piece more than matches
+    return F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("p"), matches.alias("m"))
+
+
+def placed(found_parts: Column) -> Column:
+    """Structs of start ``s``, exclusive end ``e`` and value ``v`` for :func:`parts`."""
+    ends = running(F.transform(found_parts, lambda x: F.length(x["p"]) + F.length(x["m"])))
+    return F.zip_with(found_parts, ends, lambda x, e: F.struct((e - F.length(x["m"])).alias("s"), e.alias("e"), x["m"].alias("v")))
 
 
 def found(text: Column, pattern: str, hint: Column) -> Column:
@@ -14,22 +49,25 @@ def found(text: Column, pattern: str, hint: Column) -> Column:
     ``hint`` is a cheap condition that every text with a match meets. The places follow from the lengths of the matches
     and of the pieces between them.
     """
-    def walk(parts):
-        nothing = F.array().cast(SPANS)
-        start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
+    spans = F.transform(F.array(parts(text, pattern)), placed)[0]
+    return F.when(F.coalesce(hint, F.lit(False)), spans).otherwise(F.array().cast(SPANS))
 
-        def add(state, x):
-            s = state["at"] + F.length(x["p"])
-            e = s + F.length(x["m"])
-            return F.struct(e.alias("at"), F.array_append(state["out"], F.struct(s.alias("s"), e.alias("e"), x["m"].alias("v"))).cast(SPANS).alias("out"))
 
-        return F.aggregate(parts, start, add, lambda state: state["out"])
+def last_before(spans: Column, at: Column) -> Column:
+    """Of sorted spans that do not overlap the last that starts before ``at``, found by halving; null for none.
 
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    # there is one piece more than matches
-    parts = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(matches)).alias("p"), matches.alias("m"))
-    return F.when(F.coalesce(hint, F.lit(False)), walk(parts)).otherwise(F.array().cast(SPANS))
+    It is the one that a span ending at ``at`` overlaps if it overlaps any: ends rise as starts do.
+    """
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + F.lit(1))).cast("int"))
+
+    def halve(state: Column, _: Column) -> Column:
+        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        below = F.get(spans, mid)["s"] < at
+        open_ = state["lo"] < state["hi"]
+        return F.struct(F.when(open_ & below, mid + 1).otherwise(state["lo"]).alias("lo"), F.when(open_ & ~below, mid).otherwise(state["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi"))
+    return F.when(F.size(spans) > 0, F.get(spans, F.aggregate(steps, start, halve, lambda state: state["lo"]) - 1))
 
 
 def digits(v: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, t1 string, fp string, at array<int>, node long, label string, words string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, t1 string, fp string, at array<int>, node long, label string, words string, `__keep` boolean, `__t1` string, `__id` long, `__n_lines` int, `__b1` string, `__n` int, `__w` double"
 ABC = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LINE = "A line that is long enough to be counted, " * 2
 BLANK = " \t\n\x0b\x0c\r"
@@ -18,7 +18,7 @@ def documents(spark):
         (12, "twice"), (12, "twice, but another text"), (13, "ÄÖ é 😀 mail a.b@c.de +1 (456) 555-2186 10.0.0.1 4111 1111 1111 1111 token=\"0a1b2c3d4e5f60718293\""),
         (14, "Licensed under CC BY-NC 4.0. cc by cc by. General Public License; all rights reserved, all rights reserved"), (15, "a b"), (16, "\x00 \x01 b"),
     ]
-    rows = [(i, t, "en" if i and i % 2 else None, "src" if i and i % 3 else None, None if t is None else len(t), 1, "x", "y", [1], 5, "z", None) for i, t in texts]
+    rows = [(i, t, "en" if i and i % 2 else None, "src" if i and i % 3 else None, None if t is None else len(t), 1, "x", "y", [1], 5, "z", None, True, "t", 7, 1, "b", 2, None) for i, t in texts]
     return spark.createDataFrame(rows, DOCS)
 
 

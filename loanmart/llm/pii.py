@@ -88,8 +88,7 @@ def _candidates(text: Column, kind: str) -> Column:
 
     def shown(c):
         v, d = c["v"], F.length(digits(c["v"]))
-        before = F.lower(F.substring(text, F.greatest(c["s"] - CONTEXT, F.lit(0)) + 1, F.least(c["s"], F.lit(CONTEXT))))
-        after = F.substring(text, c["e"] + 1, F.lit(1))
+        before, after = F.lower(c["before"]), c["after"]
         good = {"email": v.rlike(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), "phone": d.between(9, 15)}.get(kind, _valid(kind, v))
         fair = F.lit(None).cast("boolean") if kind == "email" else F.lit(True)
         # an e-mail without @ is not judged; one with @ is
@@ -101,7 +100,7 @@ def _candidates(text: Column, kind: str) -> Column:
             flag(v.contains("(")).alias("parens"), flag(v.rlike("(?:^|[^0-9])[0-9]{4}$")).alias("tail"),
             banded(F.length(F.regexp_replace(v, "[^.]", "")), 0, 1).alias("dots"))
 
-    wide = F.filter(found(text, GENERATORS[kind], _hint(text, kind, True)), lambda c: F.length(digits(c["v"])) >= enough)
+    wide = F.filter(found(text, GENERATORS[kind], _hint(text, kind, True), CONTEXT), lambda c: F.length(digits(c["v"])) >= enough)
     return F.transform(wide, shown)
 
 

@@ -3,7 +3,7 @@
 Method: high-recall patterns propose candidates: key formats wherever they stand between other letters and digits, also
 in a path or a joined name; in the rest of the text every value after a secret's name, whatever its length and characters
 (in quotes up to the closing quote, else up to a blank, quote or one of ``,;&<>``, without closing punctuation), and every
-long token with a digit within its first 200 other characters. Labelled findings
+long token with a digit. Labelled findings
 train a random forest that takes out false positives; its features are binned length, character transitions, kind of
 characters, dictionary coverage, path and neighbouring words. The forest is fitted on counts by feature combination
 over all labelled findings, its threshold is calibrated on findings outside the fit to ``PRECISION``, and scoring is one
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.spans import banded, flag, fold, found
+from loanmart.llm.spans import banded, blanked, flag, fold, found
 from loanmart.llm.trees import calibrated, counted, evaluate, forest, forest_column
 from loanmart.session import settled
 
@@ -37,7 +37,7 @@ NAMES = SECRET + "$"
 #: The first look back is the cheap one.
 GENERATOR = (rf"(?<=[:=] ?[\"']?)(?<=(?i:{SECRET}))(?:(?<=[\"'])[^\"'\r\n]++(?=[\"'])"
              r"|[^\s\"'`<>,;&:=.!?)\]}](?:[^\s\"'`<>,;&]*[^\s\"'`<>,;&:.!?)\]}])?)"
-             r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}")
+             r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}")
 FORMATS = (r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
            r"|^sk_(?:live|test)_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^-----BEGIN")
 ORDINARY = r"^[0-9]+$|^[0-9]{4}-[0-9]{2}-[0-9]{2}[T0-9-]*$|^[+0-9-]+$"
@@ -50,10 +50,8 @@ HINT = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_(?:live|test)_|AIza|PRIVATE KEY"
 BINS = {"length": 11, "turns": 5, "signs": 5, "cover": 3, "path": 3, "named": 2, "assigned": 2, "quoted": 2}
 
 
-def _features(c: Column, text: Column, path: Column) -> Column:
-    v = c["v"]
-    before = F.lower(F.substring(text, F.greatest(c["s"] - CONTEXT, F.lit(0)) + 1, F.least(c["s"], F.lit(CONTEXT))))
-    after = F.substring(text, c["e"] + 1, F.lit(1))
+def _features(c: Column, path: Column) -> Column:
+    v, before, after = c["v"], F.lower(c["before"]), c["after"]
     n = F.length(v)
     # one mark for each run of letters, digits or signs
     runs = F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[A-Z]+", "A"), "[a-z]+", "a"), "[0-9]+", "0"), "[^A-Za-z0-9]+", "-"))
@@ -70,26 +68,16 @@ def _features(c: Column, text: Column, path: Column) -> Column:
         flag(after.rlike("[\"']")).alias("quoted"))
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """``text`` with a line feed for each character of ``spans``, so that all places stay."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(state, c):
-        return F.struct(c["e"].alias("at"), F.concat(state["out"], F.substring(text, state["at"] + 1, c["s"] - state["at"]), F.repeat(F.lit("\n"), c["e"] - c["s"])).alias("out"))
-
-    return F.aggregate(spans, start, add, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
-
-
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """``doc_id`` and ``cands`` (places, features, fixed label) of each row; one pass over the texts."""
     text = F.coalesce("text", F.lit(""))
     at = F.col(path).cast("string")
-    keyed = docs.select(F.col("doc_id").cast("long"), text.alias("text"), at.alias("at"), found(text, KEYS, text.rlike(HINT)).alias("keys"))
+    hint = text.rlike(HINT)
     # known keys are blanked, so that what they are joined with is looked at by itself
-    left = F.when(F.size("keys") > 0, _blanked(F.col("text"), F.col("keys"))).otherwise(F.col("text"))
-    spans = keyed.select("doc_id", "text", "at", "keys", left.alias("left")).select(
-        "doc_id", "text", "at", F.array_sort(F.concat("keys", found(F.col("left"), GENERATOR, F.col("left").rlike("[0-9:=]")))).alias("spans"))
-    return settled(spans.select("doc_id", F.transform("spans", lambda c: _features(c, F.col("text"), F.col("at"))).alias("cands")), "secrets")
+    left = F.when(hint, blanked(text, KEYS)).otherwise(text)
+    keyed = docs.select(F.col("doc_id").cast("long"), at.alias("at"), found(text, KEYS, hint, CONTEXT).alias("keys"), left.alias("left"))
+    spans = keyed.select("doc_id", "at", F.array_sort(F.concat("keys", found(F.col("left"), GENERATOR, F.col("left").rlike("[0-9:=]"), CONTEXT))).alias("spans"))
+    return settled(spans.select("doc_id", F.transform("spans", lambda c: _features(c, F.col("at"))).alias("cands")), "secrets")
 
 
 def secret_spans(docs: DataFrame, findings: DataFrame | None = None, precision: float = PRECISION, path: str = "source") -> DataFrame:

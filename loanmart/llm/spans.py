@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPANS = "array<struct<s:int,e:int,v:string>>"
+SPANS = "array<struct<s:int,e:int,v:string,before:string,after:string>>"
 #: Places that are added up at once.
 RUN = 256
 
@@ -30,27 +30,43 @@ def running(lengths: Column) -> Column:
     return F.when(F.size(lengths) == 0, nothing).when(F.size(lengths) <= RUN, sums(lengths)).otherwise(whole)
 
 
-def parts(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches ``m``, each with the piece ``p`` of text before it."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # there is one piece more than matches
-    return F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("p"), matches.alias("m"))
+def found(text: Column, pattern: str, hint: Column, context: int = 0) -> Column:
+    """Leftmost non-overlapping matches as structs of start ``s``, exclusive end ``e`` and value ``v``; with ``context``
+    also up to so many characters ``before`` them, back to the beginning of the match before, and the one ``after``.
 
+    ``hint`` is a cheap condition that every text with a match meets. The places follow from the lengths of the matches
+    and of the pieces between them, and what stands around from the pieces, so no text is searched from its start again.
+    """
+    both = F.struct(F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"))
 
-def placed(found_parts: Column) -> Column:
-    """Structs of start ``s``, exclusive end ``e`` and value ``v`` for :func:`parts`."""
-    ends = running(F.transform(found_parts, lambda x: F.length(x["p"]) + F.length(x["m"])))
-    return F.zip_with(found_parts, ends, lambda x, e: F.struct((e - F.length(x["m"])).alias("s"), e.alias("e"), x["m"].alias("v")))
+    def spans(x: Column) -> Column:
+        pieces, matches = x["pieces"], x["matches"]
 
+        def one(m: Column, i: Column) -> Column:
+            around = [F.lit("").alias("before"), F.lit("").alias("after")]
+            if context:
+                left = F.concat(F.coalesce(F.get(matches, i - 1), F.lit("")), F.get(pieces, i))
+                right = F.concat(F.left(F.get(pieces, i + 1), F.lit(1)), F.left(F.coalesce(F.get(matches, i + 1), F.lit("")), F.lit(1)))
+                around = [F.right(left, F.lit(context)).alias("before"), F.left(right, F.lit(1)).alias("after")]
+            e = F.get(x["ends"], i)
+            return F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("v"), *around)
 
-def found(text: Column, pattern: str, hint: Column) -> Column:
-    """Leftmost non-overlapping matches as structs of start ``s``, exclusive end ``e`` and value ``v``.
+        return F.transform(matches, one)
 
-    ``hint`` is a cheap condition that every text with a match meets. The places follow from the lengths of the matches
-    and of the pieces between them.
-    """
-    spans = F.transform(F.array(parts(text, pattern)), placed)[0]
-    return F.when(F.coalesce(hint, F.lit(False)), spans).otherwise(F.array().cast(SPANS))
+    def with_ends(x: Column) -> Column:
+        pieces, matches = x["pieces"], x["matches"]
+        sizes = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.length(p) + F.length(m))
+        return x.withField("ends", running(sizes))
+
+    whole = F.transform(F.transform(F.array(both), with_ends), spans)[0]
+    return F.when(F.coalesce(hint, F.lit(False)), whole).otherwise(F.array().cast(SPANS))
+
+
+def blanked(text: Column, pattern: str) -> Column:
+    """``text`` with a line feed for each character of the matches, so that all places stay."""
+    both = F.struct(F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"))
+    fill = lambda x: F.zip_with(x["pieces"], x["matches"], lambda p, m: F.concat(p, F.repeat(F.lit("\n"), F.coalesce(F.length(m), F.lit(0)))))
+    return F.transform(F.array(both), lambda x: F.array_join(fill(x), ""))[0]
 
 
 def last_before(spans: Column, at: Column) -> Column:

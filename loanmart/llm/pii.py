@@ -88,7 +88,7 @@ def _candidates(text: Column, kind: str) -> Column:
 
     def shown(c):
         v, d = c["v"], F.length(digits(c["v"]))
-        before, after = F.lower(c["before"]), c["after"]
+        before, after = F.lower(c["before"]), F.left(c["after"], F.lit(1))
         good = {"email": v.rlike(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), "phone": d.between(9, 15)}.get(kind, _valid(kind, v))
         fair = F.lit(None).cast("boolean") if kind == "email" else F.lit(True)
         # an e-mail without @ is not judged; one with @ is

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPANS = "array<struct<s:int,e:int,v:string,before:string,after:string>>"
-#: Places that are added up at once.
-RUN = 256
+#: Places that are added up at once, and characters behind a match that are handed over.
+RUN, AFTER = 256, 8
 
 
 def running(lengths: Column) -> Column:
@@ -32,7 +32,7 @@ def running(lengths: Column) -> Column:
 
 def found(text: Column, pattern: str, hint: Column, context: int = 0) -> Column:
     """Leftmost non-overlapping matches as structs of start ``s``, exclusive end ``e`` and value ``v``; with ``context``
-    also up to so many characters ``before`` them, back to the beginning of the match before, and the one ``after``.
+    also up to so many characters ``before`` them, back to the beginning of the match before, and up to ``AFTER`` behind them.
 
     ``hint`` is a cheap condition that every text with a match meets. The places follow from the lengths of the matches
     and of the pieces between them, and what stands around from the pieces, so no text is searched from its start again.
@@ -46,8 +46,8 @@ def found(text: Column, pattern: str, hint: Column, context: int = 0) -> Column:
             around = [F.lit("").alias("before"), F.lit("").alias("after")]
             if context:
                 left = F.concat(F.coalesce(F.get(matches, i - 1), F.lit("")), F.get(pieces, i))
-                right = F.concat(F.left(F.get(pieces, i + 1), F.lit(1)), F.left(F.coalesce(F.get(matches, i + 1), F.lit("")), F.lit(1)))
-                around = [F.right(left, F.lit(context)).alias("before"), F.left(right, F.lit(1)).alias("after")]
+                right = F.concat(F.left(F.get(pieces, i + 1), F.lit(AFTER)), F.left(F.coalesce(F.get(matches, i + 1), F.lit("")), F.lit(AFTER)))
+                around = [F.right(left, F.lit(context)).alias("before"), F.left(right, F.lit(AFTER)).alias("after")]
             e = F.get(x["ends"], i)
             return F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("v"), *around)
 

@@ -246,6 +246,61 @@ def test_secrets_of_any_length_and_place(spark):
     assert all("hunter" in x and r.n_secrets == 1 for r in secret_scan.secret_spans(more).collect() for x in [plain[r.doc_id]])
 
 
+def test_words_behind_a_secrets_name_are_no_secrets(spark):
+    """The forest against planted cases: looks decide, not the name; precision on documents outside the fit."""
+    rng = random.Random(41)
+    words = "required none recipe below these see the of and with report value garden summer letter window".split()
+    hexes = lambda: "".join(rng.choices("0123456789abcdef", k=rng.choice((18, 24, 32))))
+    rows, planted, false = [], {}, {}
+    for i in range(1200):
+        filler = " ".join(rng.choices(words, k=14))
+        name, word = rng.choice(("password", "token", "secret", "auth")), rng.choice(words[:6])
+        secret = hexes() if i % 2 else "Aq" + hexes()[:9] + "!x"
+        text = {0: f"{filler}. {name}={secret} {filler}", 1: f"the {name}: {word} {filler}", 2: f"{filler} title: {word} and size: {rng.randrange(999)}", 3: f"{filler} see item {hexes()} or 2024-03-{i % 28 + 1:02d}"}[i // 2 % 4]
+        if i // 2 % 4 == 0:
+            planted[i] = (text.index(secret), text.index(secret) + len(secret))
+        if i // 2 % 4 == 1:
+            false[i] = (text.index(": ") + 2, text.index(": ") + 2 + len(word))
+        rows.append((i, text, "src"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: {tuple(map(int, x.split(":"))) for x in r.spans.split(",") if x} for r in secret_scan.secret_spans(docs).collect()}
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    hit, wrong = sum(planted[i] in got[i] for i in planted if i in held), sum(false[i] in got[i] for i in false if i in held)
+    assert wrong == 0 and hit >= 0.95 * sum(i in held for i in planted)
+    assert not any(got[i] for i in range(1200) if i // 2 % 4 == 2)
+
+
+def test_forest_column_equals_plain_scoring(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 4, size=(200, 3))
+    cells = trees.Cells(x, rng.integers(0, 5, size=200) * 1.0, rng.integers(0, 5, size=200) * 1.0)
+    model = trees.forest(cells)
+
+    def plain(node, row):
+        while len(node) > 1:
+            node = node[2] if row[node[0]] <= node[1] else node[3]
+        return node[0]
+
+    frame = spark.createDataFrame([tuple(map(int, r)) for r in x], "a int, b int, c int")
+    got = [r.p for r in frame.select(trees.forest_column(model, [F.col(c) for c in "abc"]).alias("p")).collect()]
+    assert got == pytest.approx([np.mean([plain(t, r) for t in model]) for r in x])
+
+
+def test_texts_with_many_spans(spark):
+    """As many addresses and keys as a log has: equal to plain code, and as fast as their number asks."""
+    ips = " ".join(f"10.{i % 256}.{i // 256}.{i % 300}" for i in range(9000))
+    long_mail = "a" * 300 + "@" + "b" * 200 + ".org"
+    docs = spark.createDataFrame([(1, ips, "s"), (2, long_mail + " x (at) y.z", "s"), (3, " ".join(f"password=k{i}v{i * 31}" for i in range(9000)) + " " + "x" * 500 + "7" + "y" * 20, "s")],
+                                 "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in pii.pii_spans(docs).collect()}
+    assert got[1].base_sha256 == hashlib.sha256(data.pii(ips).encode()).hexdigest() and got[2].n_email == 1
+    found = {r.doc_id: r.cands for r in secret_scan.candidates(docs).collect()}[3]
+    import re
+
+    text = docs.where("doc_id = 3").first().text
+    assert [(c.s, c.e) for c in found] == [m.span(1) for m in re.finditer(r"password=(\S+)", text)] + [(len(text) - 521, len(text))]
+
+
 def test_trees():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 4, size=(400, 3))

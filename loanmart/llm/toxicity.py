@@ -141,7 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Toxic
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     marks = settled(marks, "toxic-marks")
     sets = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long"), "text").mapInArrow(_bucket_sets, "doc_id long, steps array<int>")
-    counted = sets.join(marks, F.col("doc_id") == F.col("__id")).select("steps", "toxic").mapInArrow(_word_counts, "bucket long, n long, toxic long")
+    # shuffled at every size, as the labels grow with the documents; a label may stand for several rows of an id
+    counted = sets.hint("merge").join(marks, F.col("doc_id") == F.col("__id")).select("steps", "toxic").mapInArrow(_word_counts, "bucket long, n long, toxic long")
     counts = settled(counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "word-counts")
     # max_train pairs, half of each label if there are so many
     many = {bool(r.toxic): r.n for r in marks.groupBy(F.col("toxic") > 0).agg(F.count("*").alias("n"), F.max("toxic").alias("toxic")).collect()}
@@ -162,14 +163,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Toxic
     got = sorted(bags.collect(), key=lambda r: r.doc_id)
     if not got or not len(chosen):
         return ToxicModel(np.zeros(BUCKETS), 0.0, share)
+    sentences, y_of, owner_of = np.array([r.sentences for r in got]), [r.doc_id for r in got], np.array([len(r.bag) // 8 for r in got])
     bags = [np.frombuffer(r.bag, dtype="<i4").reshape(2, -1) for r in got]
-    doc = np.repeat(np.arange(len(got)), [b.shape[1] for b in bags])
-    word = np.concatenate([b[1] for b in bags])
-    key, sentence = np.unique(doc.astype(np.int64) << 32 | np.concatenate([b[0] for b in bags]), return_inverse=True)
-    blank = np.array([r.sentences for r in got]) - np.bincount(key >> 32, minlength=len(got))
-    y = np.array([known[r.doc_id] for r in got], dtype=float)
+    del got
+    word = np.concatenate([b[1] for b in bags]).astype(np.int64)
+    place = np.concatenate([b[0] for b in bags])  # rises in each document
+    del bags
+    doc = np.repeat(np.arange(len(owner_of), dtype=np.int32), owner_of)
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
+    sentence, owner = np.cumsum(new) - 1, doc[new].astype(np.int64)
+    blank = sentences - np.bincount(owner, minlength=len(sentences))
+    del doc, place, new
+    y = np.array([known[i] for i in y_of], dtype=float)
     counts_for = np.where(y > 0, many.get(True, 0) / max(take[True], 1), many.get(False, 0) / max(take[False], 1))
-    weights, bias = _fit(sentence, word, key >> 32, blank, y, len(chosen), counts_for / counts_for.mean())
+    weights, bias = _fit(sentence, word, owner, blank, y, len(chosen), counts_for / counts_for.mean())
     spread = np.zeros(BUCKETS)
     spread[chosen] = weights
     return ToxicModel(spread, bias)

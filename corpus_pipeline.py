@@ -13,12 +13,12 @@ from loanmart.session import settled
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal classifier rates grade 1 or better."""
     model = quality.fit(docs, quality_ratings(spark, sf_dir))
-    return quality.graded_by(docs, model, least=1, limit=KEEP_LIMIT).where("__keep").select(*docs.columns)
+    return quality.good_rows(docs, model, least=1, limit=KEEP_LIMIT)
 
 
 def shared_lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that another document keeps; ``n_chars`` follows the text."""
-    kept = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs, min_chars=40, min_docs=5))
+    kept = line_dedup.without_lines(docs, line_dedup.line_bitmaps(docs, min_chars=40, min_docs=5))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.operators.merge import upsert
-from loanmart.session import settled, work_dir
+from loanmart.session import remove_dir, settled, work_dir
 
 BUCKET = "_bucket"
+#: Below a table, where a merge keeps its result until all buckets are replaced; Spark's readers pass over it.
+PENDING = "_pending"
 
 
 def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -37,12 +39,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a merge whose driver was lost while it replaced buckets; true if there was one."""
+    pending = f"{path}/{PENDING}"
+    whole = exists(spark, f"{pending}/_SUCCESS")
+    if whole:
+        _write(spark.read.parquet(pending), path, "overwrite")
+    if exists(spark, pending):
+        remove_dir(spark, pending)
+    return whole
+
+
 def merge_buckets(source: DataFrame, path: str, bucket: Column, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
     """Replace the buckets that ``source`` touches by ``merge(their rows, source)``; returns their numbers.
 
     The source is written once with its buckets, whose numbers are then few integers; only these buckets are read. The
-    merged rows are complete in the shared folder before the first bucket is replaced, and a merge that is run again
-    after a failure replaces the same buckets.
+    merged rows are complete below the table before the first bucket is replaced, and the next merge begins by finishing
+    one that was broken off there, so no bucket is lost half-way.
     """
     spark = source.sparkSession
     staged = settled(source.withColumn(BUCKET, bucket), "merge-source")
@@ -50,13 +63,14 @@ def merge_buckets(source: DataFrame, path: str, bucket: Column, merge: Callable[
     if not touched:
         return []
     fresh = staged.drop(BUCKET)
-    if exists(spark, path):
-        table = spark.read.schema(staged.schema).parquet(path)
-        fresh = merge(table.where(F.col(BUCKET).isin(touched)).drop(BUCKET), fresh)
-    else:
-        fresh = merge(fresh.limit(0), fresh)
-    merged = settled(fresh.withColumn(BUCKET, bucket), "merged")
-    _write(merged, path, "overwrite")
+    if not exists(spark, path):
+        _write(merge(fresh.limit(0), fresh).withColumn(BUCKET, bucket), path, "overwrite")
+        return touched
+    recover(spark, path)
+    table = spark.read.schema(staged.schema).parquet(path)
+    merged = merge(table.where(F.col(BUCKET).isin(touched)).drop(BUCKET), fresh).withColumn(BUCKET, bucket)
+    merged.write.mode("overwrite").parquet(f"{path}/{PENDING}")
+    recover(spark, path)
     return touched
 
 

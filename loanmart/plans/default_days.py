@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanmart.operators.buckets import upsert_buckets
+from loanmart.operators.buckets import read_buckets, upsert_buckets
 from loanmart.operators.merge import upsert
 from loanmart.operators.ranking import smallest_distinct
 from loanmart.operators.temporal import day
@@ -178,6 +178,17 @@ def refresh_job(tables: Mapping[str, DataFrame], current: DataFrame, out_path: s
     return current.sparkSession.read.schema(current.schema).parquet(out_path)
 
 
+def refresh_buckets(tables: Mapping[str, DataFrame], path: str, bucket: Column, backup_path: str, run_date: dt.date, products: Sequence[int],
+                    days: int = 120) -> DataFrame:
+    """:func:`refresh_job` on a table of buckets at ``path``: recompute the look-back window, back up, and rewrite in place
+    only the buckets that hold its loans."""
+    fresh = default_days(tables["loans"], tables["accounts"], tables["saldo"], tables["schedule"], *refresh_window(run_date, days), products)
+    spark = fresh.sparkSession
+    backup(read_buckets(spark, path), backup_path, run_date.isoformat(), "backup_date")
+    upsert_buckets(fresh.withColumn("date_modified", F.lit(run_date.isoformat())), path, ["glob_id"], bucket, ["fpd", "spd", "tpd", "date_modified"])
+    return read_buckets(spark, path)
+
+
 def touched_loans(links: DataFrame, accounts: DataFrame) -> DataFrame:
     """Loans (``glob_id``) whose days may change when ``accounts`` (``account``) have new movements.
 

@@ -13,7 +13,7 @@ from loanmart.operators.buckets import hash_bucket, read_buckets, write_buckets
 from loanmart.plans import register as reg
 from loanmart.plans import snapshot as snap
 from loanmart.plans.applications import applications
-from loanmart.plans.default_days import changed_days, default_days, refresh, refresh_job
+from loanmart.plans.default_days import changed_days, default_days, refresh, refresh_buckets, refresh_job
 from loanmart.queries.base import iso, query
 from loanmart.session import work_dir
 from loanmart.sources.writers import overwrite
@@ -93,12 +93,15 @@ def _merge_upsert(spark, sf_dir):
     return refresh(target, fresh, RUN_DATE)
 
 
-@query("q_refresh_job", _days_query(f"""
+REFRESH_SQL = _days_query(f"""
   , merged as (select date_vyd_d, glob_id, k_vid_cred, fpd, spd, tpd, case when date_vyd_d < date '1998-05-01'
     then '1998-07-10' else '1998-09-10' end as date_modified from days)
   select 'table' as part, * replace ({iso('date_vyd_d')} as date_vyd_d) from merged
   union all select 'backup', {iso('date_vyd_d')}, glob_id, k_vid_cred, fpd, spd, tpd, '1998-07-10' from merged
-  where date_vyd_d <= date '1998-06-30'""", "1998-01-01", "1998-09-01"))
+  where date_vyd_d <= date '1998-06-30'""", "1998-01-01", "1998-09-01")
+
+
+@query("q_refresh_job", REFRESH_SQL)
 def _refresh_job(spark, sf_dir):
     v = fx.views(spark, sf_dir, *DAYS_VIEWS)
     tables = {**v, "accounts": v["loan_accounts"], "saldo": fx.at_rest(v["saldo"], "saldo")}
@@ -112,6 +115,19 @@ def _refresh_job(spark, sf_dir):
     return merged.withColumn("part", F.lit("table")).unionByName(saved)
 
 
+@query("q_refresh_buckets", REFRESH_SQL)
+def _refresh_buckets(spark, sf_dir):
+    """The refresh job on a table in buckets, which is rewritten in place where the window's loans are."""
+    v = fx.views(spark, sf_dir, *DAYS_VIEWS)
+    tables = {**v, "accounts": v["loan_accounts"], "saldo": fx.at_rest(v["saldo"], "saldo")}
+    base, bucket = work_dir(spark, "refresh"), hash_bucket(["glob_id"], 16)
+    loaded = default_days(tables["loans"], tables["accounts"], tables["saldo"], tables["schedule"], "1998-01-01", "1998-06-30", PRODUCTS)
+    write_buckets(loaded.withColumn("date_modified", F.lit("1998-07-10")), f"{base}/table", bucket)
+    merged = refresh_buckets(tables, f"{base}/table", bucket, f"{base}/backup", dt.date(1998, 9, 10), PRODUCTS)
+    saved = spark.read.parquet(f"{base}/backup").drop("backup_date").withColumn("part", F.lit("backup"))
+    return merged.withColumn("part", F.lit("table")).unionByName(saved)
+
+
 @query("q_refresh_changed", _days_query(f"select * replace ({iso('date_vyd_d')} as date_vyd_d) from days", START, END))
 def _refresh_changed(spark, sf_dir):
     """The mart on balances up to a day, then only what the later movements reach: equal to the mart on all balances."""

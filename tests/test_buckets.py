@@ -53,6 +53,30 @@ def test_partial_upsert_leaves_other_files(spark, tmp_path):
         bk.upsert_buckets(spark.createDataFrame([(1, "p", 1), (1, "q", 1)], SCHEMA), path, ["k"], bucket)
 
 
+def test_a_merge_that_was_broken_off_is_finished(spark, tmp_path, monkeypatch):
+    """The driver is lost between the removal of an old bucket and its replacement."""
+    import shutil
+
+    path, bucket = str(tmp_path / "t"), bk.hash_bucket(["k"], 4)
+    target = spark.createDataFrame([(i, "old", i) for i in range(40)], SCHEMA)
+    source = spark.createDataFrame([(i, "new", i) for i in range(30, 50)], SCHEMA)
+    bk.write_buckets(target, path, bucket)
+    real = bk._write
+
+    def lost(rows, at, mode):
+        shutil.rmtree(next((tmp_path / "t").glob("_bucket=*")))
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(bk, "_write", lost)
+    with pytest.raises(RuntimeError):
+        bk.upsert_buckets(source, path, ["k"], bucket)
+    monkeypatch.setattr(bk, "_write", real)
+    assert bk.read_buckets(spark, path).count() < 50
+    bk.upsert_buckets(spark.createDataFrame([(99, "next", 1)], SCHEMA), path, ["k"], bucket)
+    want = rows(upsert(target, source, ["k"]).union(spark.createDataFrame([(99, "next", 1)], SCHEMA)))
+    assert rows(bk.read_buckets(spark, path)) == want and not bk.recover(spark, path)
+
+
 def test_random_partial_upserts(spark, tmp_path):
     rng, path, bucket, want = random.Random(1), str(tmp_path / "t"), bk.hash_bucket(["k"], 5), {}
     for _ in range(4):

@@ -96,10 +96,6 @@ def key_from_parts(*cs: Column | str, width: int = 2) -> Column:
     return F.concat(*[F.lpad(_col(c).cast("string"), width, "0") for c in cs]).try_cast("bigint")
 
 
-def major_units(c: Column | str, per: int = 100) -> Column:
-    return _col(c) / F.lit(per)
-
-
 def status_flag(c: Column | str) -> Column:
     """Null and 0 give 0, above 0 gives 1. Negatives stay; text that is no number gives null (a reject)."""
     n = _col(c).cast("string").try_cast("double")

@@ -80,6 +80,10 @@ def _open_on_date(spark, sf_dir):
 
 @query("q_days_past_due", f"with saldo as ({SALDO}), {DPD_SQL} select * from dpd")
 def _days_past_due(spark, sf_dir):
+    """Days from the beginning of an account's current unbroken run of non-zero balances to the report date.
+
+    This is our own definition: the function the snapshot calls for it is not among what there is to read.
+    """
     return tm.days_past_due(fx.view(spark, sf_dir, "saldo"), REPORT_DATE)
 
 

@@ -115,11 +115,6 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def table_or_empty(spark: SparkSession, name: str, schema: str | T.StructType) -> DataFrame:
     """A catalog table, or an empty frame when it does not exist."""
     return spark.read.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], schema)

@@ -141,7 +141,8 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping] | None = None, power:
         by = by.withColumn("raw", F.pow("all", F.lit(power)))
     rows = settled(by, "source-cells")
     whole = float(rows.agg(F.sum("raw")).first()[0] or 1.0)
-    factor_l, factor_t = np.ones(len(goal_l)), np.ones(len(goal_t))
+    # logarithms, as factors run away in opposite directions where targets contradict each other
+    factor_l, factor_t = np.zeros(len(goal_l)), np.zeros(len(goal_t))
 
     def scaled(batch, factor_l, factor_t):
         lists = batch.column("cells")
@@ -149,7 +150,10 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping] | None = None, power:
         row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
         at_l = np.array([place[0][k] for k in inner.field("lang").to_pylist()], dtype=np.int64)
         at_t = np.array([place[1][k] for k in inner.field("topic").to_pylist()], dtype=np.int64)
-        w = inner.field("tokens").to_numpy(zero_copy_only=False) * factor_l[at_l] * factor_t[at_t]
+        w = np.log(inner.field("tokens").to_numpy(zero_copy_only=False)) + factor_l[at_l] + factor_t[at_t]
+        top = np.full(batch.num_rows, -np.inf)
+        np.maximum.at(top, row, w)
+        w = np.exp(w - np.where(np.isfinite(top), top, 0.0)[row])
         own = np.bincount(row, weights=w, minlength=batch.num_rows)
         goal = batch.column("raw").to_numpy(zero_copy_only=False) / whole
         return row, at_l, at_t, inner, w * np.where(own > 0, goal / np.where(own > 0, own, 1), 0)[row]
@@ -178,7 +182,8 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping] | None = None, power:
             m *= pull_l[:, None]
             pull_t = np.divide(goal_t, m.sum(axis=0), out=np.zeros_like(goal_t), where=m.sum(axis=0) > 0)
             m *= pull_t[None, :]
-            factor_l, factor_t = factor_l * pull_l, factor_t * pull_t
+            with np.errstate(divide="ignore"):  # a value without a goal has weight 0
+                factor_l, factor_t = factor_l + np.log(pull_l), factor_t + np.log(pull_t)
             if np.abs(m.sum(axis=1) - goal_l).max() <= tolerance / 10:
                 break
     last = factor_l, factor_t

@@ -559,6 +559,80 @@ def test_raking(spark):
     assert all(r.w == pytest.approx(want[r.source, r.lang, r.topic], rel=1e-5) for r in got) and len(got) == len(rows)
 
 
+def test_contradicting_targets_stay_finite(spark, sf_dir):
+    got = mixing.mixture(llm.table(spark, sf_dir, "documents")).collect()
+    assert all(0 <= r.prob <= 1 and np.isfinite(r.weight) for r in got) and sum(r.n_tokens * r.prob for r in got) > 0
+
+
+def test_mixture_equals_a_plain_one(spark):
+    """Probabilities and weights of the operator by plain raking of the cells and a plain search for the rate."""
+    rng = random.Random(77)
+    styles = [[f"{c}{k}{c}" for k in range(30)] for c in ("alpha", "omega", "kappa")]
+    docs = [(i, " ".join(rng.choices(rng.choice(styles), k=rng.randrange(5, 60))), rng.choice("aab"), rng.choice(("s1", "s1", "s1", "s2", None))) for i in range(400)]
+    made = mixing.mixture(spark.createDataFrame([*docs, (900, "", "a", "s1")], "doc_id long, text string, lang string, source string"), topics=3)
+    rows = [r.asDict() for r in made.collect()]
+    axes, cells, total = ("source", "lang", "topic"), {}, sum(r["n_tokens"] for r in rows)
+    for r in rows:
+        if r["n_tokens"]:
+            cells[tuple(r[a] for a in axes)] = cells.get(tuple(r[a] for a in axes), 0) + r["n_tokens"]
+    goals = []
+    for k in range(3):
+        own = {}
+        for c, t in cells.items():
+            own[c[k]] = own.get(c[k], 0) + t
+        raw = {v: t ** 0.5 for v, t in own.items()}
+        goals.append({v: x / sum(raw.values()) for v, x in raw.items()})
+    w = dict(cells)
+    for _ in range(3000):
+        for k in (1, 2, 0):
+            own = {}
+            for c, x in w.items():
+                own[c[k]] = own.get(c[k], 0.0) + x
+            w = {c: x * goals[k][c[k]] / own[c[k]] for c, x in w.items()}
+    low, high = 0.0, max(t / w[c] for c, t in cells.items())
+    for _ in range(200):
+        mid = (low + high) / 2
+        if sum(min(t, mid * w[c]) for c, t in cells.items()) < 0.5 * total:
+            low = mid
+        else:
+            high = mid
+    for r in rows:
+        c = tuple(r[a] for a in axes)
+        p = high * w[c] / cells[c] if r["n_tokens"] else 1.0
+        assert r["prob"] == pytest.approx(min(1, p), abs=0.02) and r["weight"] == pytest.approx(max(1, p) if r["n_tokens"] else 1, rel=0.03)
+    drawn = [r for r in rows if r["prob"] >= 1]
+    assert all(r["selected"] for r in drawn) and not any(r["selected"] for r in rows if r["prob"] == 0)
+    share = sum(r["selected"] for r in rows) - sum(r["prob"] for r in rows)
+    assert abs(share) <= 4 * sum(r["prob"] * (1 - r["prob"]) for r in rows) ** 0.5 + 1
+
+
+def test_ordinal_fit_equals_plain_gradient_steps():
+    """No step along a weight or a threshold lowers the loss that the fit ends at by more than a trace."""
+    rng = np.random.default_rng(7)
+    n = 300
+    kind = rng.integers(0, 4, size=n)
+    y = np.clip(kind - (rng.random(n) < 0.3), 0, 2)
+    row, col, x = np.arange(n), kind, np.ones(n)
+    model = quality._fit(row, col, x, y, [0, 1, 2])
+
+    def loss(weights, theta):
+        z = weights[kind]
+        above = np.stack([np.ones(n), *(1 / (1 + np.exp(-(z - t))) for t in theta), np.zeros(n)], axis=1)
+        return -np.mean(np.log(np.maximum(above[np.arange(n), y] - above[np.arange(n), y + 1], 1e-9))) + quality.RIDGE / 2 * (weights ** 2).sum()
+
+    best = loss(model.weights, model.thresholds)
+    for k in range(4):
+        for step in (-0.1, 0.1):
+            other = model.weights.copy()
+            other[k] += step
+            assert loss(other, model.thresholds) > best - 2e-3
+    for k in range(2):
+        for step in (-0.1, 0.1):
+            other = model.thresholds.copy()
+            other[k] += step
+            assert loss(model.weights, other) > best - 2e-3
+
+
 def test_mixture_meets_targets(spark):
     docs = llm.table(spark, "/root/testdata/sf0.01", "documents")
     mix = mixing.mixture(docs, {"source": {f"src{k}": 1 + k % 3 for k in range(20)}}, share=0.4)

@@ -36,6 +36,8 @@ from loanmart.session import settled
 WIDTH = 16
 #: Bytes of the keys in one tree, and characters of one piece of a list of members.
 UNIT_BYTES, PIECE_CHARS = 8 << 20, 1 << 16
+#: Rows handed to Spark at once.
+ROWS = 20_000
 NOBODY = hashlib.sha256(b"").hexdigest()
 
 CLOSED, OPEN, PIECE = 0, 1, 2
@@ -214,8 +216,8 @@ class _Rows:
         return pa.RecordBatch.from_arrays([pa.array(self.rows[n], kinds[t]) for n, t in zip(names, types)], list(names))
 
 
-def unit_rows(keys: list[Key], unit: int) -> pa.RecordBatch:
-    """Rows of the trie of sorted distinct keys."""
+def unit_rows(keys: list[Key], unit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the trie of sorted distinct keys, some at a time."""
     root = None
     for number, k in enumerate(keys):
         root = insert(root, k.key, number)
@@ -267,7 +269,10 @@ def unit_rows(keys: list[Key], unit: int) -> pa.RecordBatch:
                 conv_id=low[i], parent=low[p] if closed and not side[p] else None, parent_side=side[p] if closed else None,
                 n_convs=n[i], n_children=children[i], n_leaves=leaves[i], saved=saved[i],
                 ends=own.ends if own else NOBODY if closed else None, list=own.list if own else None)
-    return out.batch()
+        if len(out.rows["kind"]) >= ROWS:
+            yield out.batch()
+            out = _Rows()
+    yield out.batch()
 
 
 def _units(unit_bytes: int, piece_chars: int):
@@ -314,14 +319,14 @@ def _units(unit_bytes: int, piece_chars: int):
                     pieces = _Rows()
                 continue
             if held and held + len(x.key) > unit_bytes:
-                yield unit_rows(keys, unit)
+                yield from unit_rows(keys, unit)
                 unit, keys, held = unit + 1, [], 0
             keys.append(x)
             held += len(x.key) + WIDTH
         if pieces.rows["kind"]:
             yield pieces.batch()
         if keys:
-            yield unit_rows(keys, unit)
+            yield from unit_rows(keys, unit)
 
     return work
 

@@ -23,6 +23,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -53,7 +54,7 @@ def _letters() -> dict[str, int]:
 #: A space between two visible characters. No token of either kind runs across one, so the words between are encoded apart.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: Words up to so many characters, and so many of them in each of two generations, are remembered in a task.
-REMEMBERED_CHARS, REMEMBERED = 64, 150_000
+REMEMBERED_CHARS, REMEMBERED = 64, 250_000
 
 
 class ByteLevel:
@@ -65,7 +66,7 @@ class ByteLevel:
 
         letters = _letters()
         self.model = Tokenizer.from_str(source)
-        self.apart = True  # the cutting pattern begins a new part at such a space
+        self.apart = self.in_line = True  # the cutting pattern begins a new part at such a space
         self.model.encode_special_tokens = True
         ids = json.loads(source)["model"]["vocab"]
         self.pieces = [b""] * (max(ids.values(), default=-1) + 1)
@@ -87,6 +88,7 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.pieces.append(bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+        self.in_line = False  # a long line costs it more than its words
         self.apart = not any(re.search("[^▁]▁", self.model.id_to_piece(i)) for i in range(len(self.pieces)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -164,12 +166,12 @@ class _Aligner:
     def __init__(self, left, right):
         self.left, self.right, self.base = left, right, len(right.pieces)
         # words met lately; what is not met again while a generation fills up goes with the next one
+        self.sizes = [np.array([len(x) for x in v.pieces], dtype=np.int64) for v in (left, right)]
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.odd: set[str] = set()
         if len(left.pieces) * self.base >= 1 << 31:
             raise ValueError("the two vocabularies have 2^31 pairs or more")
-        self.sizes = [np.array([len(x) for x in v.pieces], dtype=np.int64) for v in (left, right)]
         # what a token is written as: first of all, first of a group, a later one, first of a group's second ones
         self.first = len(left.pieces)
         self.written = [f"{mark}{i}" for mark in (";", ",") for i in range(len(left.pieces))] + [f"{mark}{i}" for mark in ("|", ",") for i in range(self.base)]
@@ -177,13 +179,32 @@ class _Aligner:
     def _read(self, words: list[str]) -> None:
         """Remember both token lists of texts, four bytes a token, and which have other bytes than a space and the text."""
         whole = [(" " + w).encode("utf-8", "replace") for w in words]
-        for v, known in zip((self.left, self.right), self.known):
+        for v, size, known in zip((self.left, self.right), self.sizes, self.known):
+            line = self._line(v, size, words, whole) if v.in_line else None
+            if line is not None:
+                known.update(zip(words, line))
+                continue
             made = v.encode(words)
             written = [b"".join(map(v.pieces.__getitem__, ids)) for ids in made]
             if written != whole:
                 self.odd.update(w for w, x, y in zip(words, written, whole) if x != y)
             known.update(zip(words, [array("i", ids).tobytes() for ids in made]))
 
+    def _line(self, v, size: np.ndarray, words: list[str], whole: list[bytes]) -> Iterator[bytes] | None:
+        """Token lists of words that are encoded as one line; None if they do not stand in a line by themselves."""
+        if not words or any(w[0].isspace() or w[-1].isspace() for w in words):
+            return None
+        ids = v.encode([" ".join(words)])[0]
+        if b"".join(map(v.pieces.__getitem__, ids)) != b"".join(whole):
+            return None
+        ids = np.array(ids, dtype=np.int32)
+        stop, ends = np.cumsum(size[ids]), np.cumsum([len(x) for x in whole])
+        at = np.searchsorted(stop, ends)
+        if not np.array_equal(stop[at], ends):
+            return None
+        stops = (4 * (at + 1)).tolist()
+        return map(ids.tobytes().__getitem__, map(slice, [0, *stops], stops))
+
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Token ids and numbers of tokens, for both sides; no tokens for a text whose bytes differ."""
         cut = [(BETWEEN.split(t) if self.left.apart and self.right.apart else [t]) if t else [] for t in texts]
@@ -193,7 +214,9 @@ class _Aligner:
                 for known, older in zip(self.known, self.older):
                     known[w] = older[w]
         missing = [w for w in missing if w not in self.known[0]]
-        self._read(missing)
+        # those with blanks at an end stand in no line
+        self._read([w for w in missing if not (w[0].isspace() or w[-1].isspace())])
+        self._read([w for w in missing if w[0].isspace() or w[-1].isspace()])
         sides: list[list[bytes]] = [[], []]
         for text, words in zip(texts, cut):
             own = [b"".join(map(known.__getitem__, words)) for known in self.known]

@@ -164,11 +164,17 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    t1, t2, i, b1, b2, n = free(docs.columns, "__t1", "__t2", "__id", "__b1", "__b2", "__n")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias(i), F.col("t1").alias(b1), F.col("t2").alias(b2)))
-    kept = found.groupBy("root").agg(first.alias("k")).select(f"k.{i}", f"k.{b1}", f"k.{b2}")
-    own = docs.withColumns({t1: F.xxhash64("text"), t2: F.xxhash64(F.lit(1), F.col("text"))})
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.col(t1) == F.col(b1)) & (F.col(t2) == F.col(b2))
+    id_, none, t1, t2, n = names = free(docs.columns, "__id", "__none", "__t1", "__t2", "__n")
+    key = list(names[:4])
+
+    def keyed(doc_id, a, b) -> list:
+        # a null id as two columns that are never null, so that the join and the numbering share one partitioning
+        return [F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias(id_), doc_id.isNull().alias(none), a.alias(t1), b.alias(t2)]
+
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("t1").alias("a"), F.col("t2").alias("b")))
+    kept = found.groupBy("root").agg(first.alias("k")).select("k.*")
+    kept = kept.select(*keyed(F.col("id"), F.col("a"), F.col("b")))
+    own = docs.select("*", *keyed(F.col("doc_id"), F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))))
     # rows equal in id and text are one
-    numbered = own.join(kept, on, "left_semi").withColumn(n, F.row_number().over(Window.partitionBy("doc_id", t1, t2).orderBy(F.lit(0))))
+    numbered = own.join(kept, key, "left_semi").withColumn(n, F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
     return numbered.where(F.col(n) == 1).select(*docs.columns)

@@ -19,12 +19,12 @@ rows give no rows.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
-from array import array
-from collections.abc import Iterator
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ from loanmart.session import settled
 
 #: Bytes of text in a block, unless one text alone has more.
 BLOCK_BYTES = 4 << 20
+#: Set in the ids of the second vocabulary where both stand in one record.
+SECOND = 1 << 31
 #: Tries next to the middle before all ends of an interval are looked up at once.
 TRIES = 24
 #: Links of a group that are written out one by one; of larger groups, distinct ids are paired.
@@ -165,76 +167,78 @@ class _Aligner:
 
     def __init__(self, left, right):
         self.left, self.right, self.base = left, right, len(right.pieces)
-        # words met lately; what is not met again while a generation fills up goes with the next one
         self.sizes = [np.array([len(x) for x in v.pieces], dtype=np.int64) for v in (left, right)]
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        # words met lately; what is not met again while a generation fills up goes with the next one
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.odd: set[str] = set()
-        if len(left.pieces) * self.base >= 1 << 31:
-            raise ValueError("the two vocabularies have 2^31 pairs or more")
         # what a token is written as: first of all, first of a group, a later one, first of a group's second ones
         self.first = len(left.pieces)
         self.written = [f"{mark}{i}" for mark in (";", ",") for i in range(len(left.pieces))] + [f"{mark}{i}" for mark in ("|", ",") for i in range(self.base)]
 
     def _read(self, words: list[str]) -> None:
-        """Remember both token lists of texts, four bytes a token, and which have other bytes than a space and the text."""
+        """Remember the tokens of texts: the first ones' ids and the second ones' with ``SECOND`` set, four bytes each; and
+        which texts have other bytes than a space and the text."""
+        if not words:
+            return
         whole = [(" " + w).encode("utf-8", "replace") for w in words]
-        for v, size, known in zip((self.left, self.right), self.sizes, self.known):
-            line = self._line(v, size, words, whole) if v.in_line else None
-            if line is not None:
-                known.update(zip(words, line))
-                continue
-            made = v.encode(words)
-            written = [b"".join(map(v.pieces.__getitem__, ids)) for ids in made]
-            if written != whole:
-                self.odd.update(w for w, x, y in zip(words, written, whole) if x != y)
-            known.update(zip(words, [array("i", ids).tobytes() for ids in made]))
-
-    def _line(self, v, size: np.ndarray, words: list[str], whole: list[bytes]) -> Iterator[bytes] | None:
-        """Token lists of words that are encoded as one line; None if they do not stand in a line by themselves."""
-        if not words or any(w[0].isspace() or w[-1].isspace() for w in words):
-            return None
-        ids = v.encode([" ".join(words)])[0]
-        if b"".join(map(v.pieces.__getitem__, ids)) != b"".join(whole):
-            return None
-        ids = np.array(ids, dtype=np.int32)
-        stop, ends = np.cumsum(size[ids]), np.cumsum([len(x) for x in whole])
-        at = np.searchsorted(stop, ends)
-        if not np.array_equal(stop[at], ends):
-            return None
-        stops = (4 * (at + 1)).tolist()
-        return map(ids.tobytes().__getitem__, map(slice, [0, *stops], stops))
+        line, sizes = b"".join(whole), np.array([len(x) for x in whole])
+        sides = []
+        for v, size, mark in zip((self.left, self.right), self.sizes, (0, SECOND)):
+            ids, stops = self._in_line(v, size, words, sizes) if v.in_line else (None, None)
+            if ids is None:
+                made = v.encode(words)
+                stops = np.cumsum([len(x) for x in made])
+                ids = np.fromiter(chain.from_iterable(made), dtype=np.int64, count=int(stops[-1]))
+            ends = np.concatenate([[0], np.cumsum(size[ids])])[stops]
+            if not np.array_equal(ends, np.cumsum(sizes)) or b"".join(map(v.pieces.__getitem__, ids.tolist())) != line:
+                pieces = [v.pieces[i] for i in ids.tolist()]
+                self.odd.update(w for w, x, lo, hi in zip(words, whole, [0, *stops], stops) if b"".join(pieces[lo:hi]) != x)
+            cuts = (4 * stops).tolist()
+            sides.append(map((ids | mark).astype(np.uint32).tobytes().__getitem__, map(slice, [0, *cuts], cuts)))
+        self.known.update(zip(words, map(add, *sides)))
+
+    def _in_line(self, v, size: np.ndarray, words: list[str], sizes: np.ndarray):
+        """Ids of words that are encoded as one line, and how many there are up to each word's end; None where no token ends there."""
+        if any(w[0].isspace() or w[-1].isspace() for w in words):
+            return None, None
+        ids = np.array(v.encode([" ".join(words)])[0], dtype=np.int64)
+        stop, ends = np.cumsum(size[ids]), np.cumsum(sizes)
+        at = np.minimum(np.searchsorted(stop, ends), len(ids) - 1)
+        return (ids, at + 1) if np.array_equal(stop[at], ends) else (None, None)
 
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Token ids and numbers of tokens, for both sides; no tokens for a text whose bytes differ."""
         cut = [(BETWEEN.split(t) if self.left.apart and self.right.apart else [t]) if t else [] for t in texts]
-        missing = [w for w in set(chain.from_iterable(cut)) if w not in self.known[0]]
-        for w in missing:
-            if w in self.older[0]:
-                for known, older in zip(self.known, self.older):
-                    known[w] = older[w]
-        missing = [w for w in missing if w not in self.known[0]]
+        missing = []
+        for w in set(chain.from_iterable(cut)).difference(self.known):
+            if (old := self.older.get(w)) is not None:
+                self.known[w] = old
+            else:
+                missing.append(w)
         # those with blanks at an end stand in no line
         self._read([w for w in missing if not (w[0].isspace() or w[-1].isspace())])
         self._read([w for w in missing if w[0].isspace() or w[-1].isspace()])
-        sides: list[list[bytes]] = [[], []]
-        for text, words in zip(texts, cut):
-            own = [b"".join(map(known.__getitem__, words)) for known in self.known]
+        records = [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        for i, words in enumerate(cut):
             # bytes that differ in a word might still make up the text
-            if self.odd and not self.odd.isdisjoint(words) and any(
-                    b"".join([v.pieces[i] for i in np.frombuffer(ids, dtype=np.int32)]) != (" " + text).encode("utf-8", "replace")
-                    for v, ids in zip((self.left, self.right), own)):
-                own = [b"", b""]
-            for side, x in zip(sides, own):
-                side.append(x)
-        for known in self.known:
-            for w in missing:
-                if len(w) > REMEMBERED_CHARS:
-                    del known[w]
-        if len(self.known[0]) > REMEMBERED:
-            self.known, self.older = ({}, {}), self.known
-            self.odd &= self.older[0].keys()
-        return [np.frombuffer(b"".join(x), dtype=np.int32).astype(np.int64) for x in sides], [np.array([len(x) // 4 for x in side], dtype=np.int64) for side in sides]
+            if self.odd and not self.odd.isdisjoint(words):
+                ids, whole = np.frombuffer(records[i], dtype=np.uint32), (" " + texts[i]).encode("utf-8", "replace")
+                own = ids[ids < SECOND], ids[ids >= SECOND] - SECOND
+                if any(b"".join([v.pieces[k] for k in side]) != whole for v, side in zip((self.left, self.right), own)):
+                    records[i] = b""
+        for w in missing:
+            if len(w) > REMEMBERED_CHARS:
+                del self.known[w]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+            self.odd &= self.older.keys()
+        ids = np.frombuffer(b"".join(records), dtype=np.uint32).astype(np.int64)
+        second = ids >= SECOND
+        upto = np.concatenate([[0], np.cumsum(second)])[np.concatenate([[0], np.cumsum([len(r) // 4 for r in records])]).astype(np.int64)]
+        n_b = np.diff(upto)
+        n_a = np.array([len(r) // 4 for r in records], dtype=np.int64) - n_b
+        return [ids[~second], ids[second] - SECOND], [n_a, n_b]
 
     def align(self, texts: list[str]) -> dict:
         tokens, counts = self.ids(texts)
@@ -267,6 +271,18 @@ class _Aligner:
         return out
 
 
+#: By the files' digests: a worker's next task finds the vocabularies read and words known.
+_READY: dict[bytes, _Aligner] = {}
+
+
+def _aligner(left: str, right: bytes) -> _Aligner:
+    key = hashlib.sha256(left.encode() + right).digest()
+    if key not in _READY:
+        _READY.clear()
+        _READY[key] = _Aligner(ByteLevel(left), Pieces(right))
+    return _READY[key]
+
+
 def _broadcast(spark, left, right):
     """Both files' contents; their size is that of the vocabularies."""
     with open(left, encoding="utf-8") as a, open(right, "rb") as b:
@@ -285,8 +301,7 @@ def aligned(docs: DataFrame, left: str, right: str, text: str = "text", block_by
     files = _broadcast(docs.sparkSession, left, right)
 
     def work(batches):
-        source = files.value
-        aligner = _Aligner(ByteLevel(source[0]), Pieces(source[1]))
+        aligner = _aligner(*files.value)
         block, inside = TaskContext.get().partitionId() << 32, 0
         for batch in slices(batches, text):
             texts = batch.column(text).to_pylist()

@@ -14,8 +14,8 @@ own ids and a tree of ``unit_bytes`` must fit into a task.
 Members' ids are hashed as they stream by. Of a key that lies in two partitions, or has more ids than fit one piece, the
 pieces of its list are hashed in order in a later step, a piece at a time.
 
-Defined cases: turns go by ``turn`` (null first), then role and id; repeated rows are turns of their own. A null role or
-text is empty. Rows without ``conv_id`` belong to no conversation. Other columns are not read. No rows give no nodes.
+Defined cases: turns go by ``turn`` (null first), equal ones by role, the first ``BEGINNING`` characters of the text and id;
+repeated rows are turns of their own. A null role or text is empty. Rows without ``conv_id`` belong to no conversation. Other columns are not read. No rows give no nodes.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from loanmart.session import settled
 
-#: Bytes of a turn's id.
-WIDTH = 16
+#: Bytes of a turn's id, and characters of a text by which equal turns are ordered.
+WIDTH, BEGINNING = 16, 32
 #: Bytes of the keys in one tree, and characters of one piece of a list of members.
 UNIT_BYTES, PIECE_CHARS = 8 << 20, 1 << 16
 #: Rows handed to Spark at once.
@@ -56,7 +56,9 @@ def turn_id(role, text):
 def conversation_turns(rows: DataFrame) -> DataFrame:
     """``conv_id`` and ``turns``, structs of ``id`` and ``bytes`` (of the text) in order."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    one = F.struct(F.col("turn"), role.alias("role"), F.hex(turn_id(role, text)).alias("id"), F.octet_length(text).alias("bytes"))
+    # equal turns go by role and text; the beginning stands for the text, which does not travel
+    one = F.struct(F.col("turn"), role.alias("role"), F.left(text, F.lit(BEGINNING)).alias("begins"), F.hex(turn_id(role, text)).alias("id"),
+                   F.octet_length(text).alias("bytes"))
     each = rows.where(F.col("conv_id").isNotNull()).select(F.col("conv_id").cast("long").alias("conv_id"), one.alias("t"))
     whole = each.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
     return whole.select("conv_id", F.transform("t", lambda t: F.struct(t["id"].alias("id"), t["bytes"].alias("bytes"))).alias("turns"))

@@ -160,8 +160,8 @@ _CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_tra
 
 @query("op11_conversation_trie", f"""
 WITH turn AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
-known AS (SELECT conv_id, turn, role, sha256(strlen(role) || ':' || role || text) AS id, strlen(text) AS bytes FROM turn),
-own AS (SELECT conv_id, id, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) - 1 AS pos FROM known),
+known AS (SELECT conv_id, turn, role, left(text, 32) AS begins, sha256(strlen(role) || ':' || role || text) AS id, strlen(text) AS bytes FROM turn),
+own AS (SELECT conv_id, id, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, begins, id) - 1 AS pos FROM known),
 conv AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)),
 head AS (SELECT c.conv_id, o.pos, o.id, o.bytes FROM conv c JOIN own o ON o.conv_id = c.base WHERE o.pos < c.h),
 rest AS (SELECT c.conv_id, 1000000 + o.pos AS pos, o.id, o.bytes FROM conv c JOIN own o ON o.conv_id = c.conv_id WHERE o.pos >= c.h),

@@ -22,7 +22,7 @@ def plain_rebuilt(rows):
         if c is not None:
             role, text = role or "", text or ""
             digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
-            own.setdefault(c, []).append(((turn is not None, turn or 0, role, digest[:32]), (role, text)))
+            own.setdefault(c, []).append(((turn is not None, turn or 0, role, text[:32], digest[:32]), (role, text)))
     own = {c: [t for _, t in sorted(x)] for c, x in own.items()}
     out = {}
     for c in own:

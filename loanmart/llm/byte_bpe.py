@@ -19,6 +19,7 @@ there yet (``ValueError``). Repeated rows get equal results, no rows give no row
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from array import array
 from collections.abc import Callable, Iterable
@@ -193,6 +194,17 @@ class Encoder:
         return out
 
 
+#: By table and pattern: a worker's next task finds the pieces that its last one has met.
+_READY: dict[tuple[str, str], Encoder] = {}
+
+
+def _encoder(mark: str, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    if (mark, pattern) not in _READY:
+        _READY.clear()
+        _READY[mark, pattern] = Encoder(ranks, pattern)
+    return _READY[mark, pattern]
+
+
 def listed(parts: Iterable[np.ndarray]) -> pa.Array:
     """A column of int lists."""
     parts = list(parts)
@@ -210,9 +222,10 @@ def _with(docs: DataFrame, made: str, kind: T.DataType, work: Callable) -> DataF
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text`` as an int array."""
     table = docs.sparkSession.sparkContext.broadcast(ranks)
+    mark = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
 
     def work(batches):
-        encoder = Encoder(table.value, pattern)
+        encoder = _encoder(mark, table.value, pattern)
         for batch in slices(batches, text):
             yield batch.append_column(ids, listed(encoder.texts([t or "" for t in batch.column(text).to_pylist()])))
 

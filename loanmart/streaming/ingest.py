@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loanmart.operators.buckets import BUCKET, hash_bucket, merge_buckets
+from loanmart.operators.buckets import BUCKET, exists, hash_bucket, merge_buckets
 from loanmart.session import staging
 
 #: Buckets of the current table.
@@ -33,10 +33,12 @@ def newest(loaded: DataFrame, keys: list[str]) -> DataFrame:
     """Per key the row of the newest file, with its version.
 
     Files that arrived together are ordered by path, rows of one key in one file by their remaining columns, largest last.
+    Rows without a key replace nothing and all stay; equal ones of one file count once.
     """
+    no_key = " or ".join(f"`{k}` is null" for k in keys)
     rest = [c for c in loaded.columns if c not in (*keys, *VERSION)]
-    best = loaded.groupBy(*keys).agg(F.max(F.struct(*VERSION, *rest)).alias("_row"))
-    return best.select(*[c if c in keys else F.col(f"_row.`{c}`") for c in loaded.columns])
+    best = loaded.where(f"not ({no_key})").groupBy(*keys).agg(F.max(F.struct(*VERSION, *rest)).alias("_row"))
+    return best.select(*[c if c in keys else F.col(f"_row.`{c}`") for c in loaded.columns]).unionByName(loaded.where(no_key).distinct())
 
 
 def merge_batch(target: str, keys: list[str], buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
@@ -106,4 +108,4 @@ def stream_ingest(spark: SparkSession, path: str, schema: str | T.StructType, ta
     """Load what has arrived and return the current table."""
     stream = arriving(spark, path, schema, glob=glob, files_per_batch=files_per_batch)
     load_available(stream, target, checkpoint, keys, buckets).awaitTermination()
-    return current(spark, target)
+    return current(spark, target) if exists(spark, target) else spark.createDataFrame([], schema)

@@ -107,6 +107,16 @@ def test_a_second_batch_reads_touched_buckets_only(spark, tmp_path):
     assert rows(ing.current(spark, target)) == table
 
 
+def test_rows_without_a_key_and_no_files_at_all(spark, tmp_path):
+    src, target = tmp_path / "in", str(tmp_path / "t")
+    src.mkdir()
+    assert ing.stream_ingest(spark, str(src), "id long, v string", target, str(tmp_path / "c"), ["id"]).collect() == []
+    spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "id long, v string").coalesce(1).write.mode("append").parquet(str(src))
+    for checkpoint in ("c", "c", "other"):  # nothing new, then a lost checkpoint
+        got = ing.stream_ingest(spark, str(src), "id long, v string", target, str(tmp_path / checkpoint), ["id"])
+        assert rows(got) == [(1, "c"), (None, "a"), (None, "b")]
+
+
 def test_partitions_do_not_grow_with_files(spark, tmp_path):
     src, target = tmp_path / "in", str(tmp_path / "t")
     for i in range(12):

@@ -176,7 +176,7 @@ class _Aligner:
         self.first = len(left.pieces)
         self.written = [f"{mark}{i}" for mark in (";", ",") for i in range(len(left.pieces))] + [f"{mark}{i}" for mark in ("|", ",") for i in range(self.base)]
 
-    def _read(self, words: list[str]) -> None:
+    def _read(self, words: list[str], one_line: bool) -> None:
         """Remember the tokens of texts: the first ones' ids and the second ones' with ``SECOND`` set, four bytes each; and
         which texts have other bytes than a space and the text."""
         if not words:
@@ -185,7 +185,7 @@ class _Aligner:
         line, sizes = b"".join(whole), np.array([len(x) for x in whole])
         sides = []
         for v, size, mark in zip((self.left, self.right), self.sizes, (0, SECOND)):
-            ids, stops = self._in_line(v, size, words, sizes) if v.in_line else (None, None)
+            ids, stops = self._in_line(v, size, words, sizes) if one_line and v.in_line and v.apart else (None, None)
             if ids is None:
                 made = v.encode(words)
                 stops = np.cumsum([len(x) for x in made])
@@ -200,8 +200,6 @@ class _Aligner:
 
     def _in_line(self, v, size: np.ndarray, words: list[str], sizes: np.ndarray):
         """Ids of words that are encoded as one line, and how many there are up to each word's end; None where no token ends there."""
-        if any(w[0].isspace() or w[-1].isspace() for w in words):
-            return None, None
         ids = np.array(v.encode([" ".join(words)])[0], dtype=np.int64)
         stop, ends = np.cumsum(size[ids]), np.cumsum(sizes)
         at = np.minimum(np.searchsorted(stop, ends), len(ids) - 1)
@@ -216,9 +214,10 @@ class _Aligner:
                 self.known[w] = old
             else:
                 missing.append(w)
-        # those with blanks at an end stand in no line
-        self._read([w for w in missing if not (w[0].isspace() or w[-1].isspace())])
-        self._read([w for w in missing if w[0].isspace() or w[-1].isspace()])
+        # words with blanks at an end, which only a text's first and last can have, stand in no line
+        edges = {w for words in cut if words for w in (words[0], words[-1]) if w[0].isspace() or w[-1].isspace()}
+        self._read([w for w in missing if w not in edges], True)
+        self._read([w for w in missing if w in edges], False)
         records = [b"".join(map(self.known.__getitem__, words)) for words in cut]
         for i, words in enumerate(cut):
             # bytes that differ in a word might still make up the text
@@ -227,9 +226,8 @@ class _Aligner:
                 own = ids[ids < SECOND], ids[ids >= SECOND] - SECOND
                 if any(b"".join([v.pieces[k] for k in side]) != whole for v, side in zip((self.left, self.right), own)):
                     records[i] = b""
-        for w in missing:
-            if len(w) > REMEMBERED_CHARS:
-                del self.known[w]
+        for w in [w for w in missing if len(w) > REMEMBERED_CHARS]:
+            del self.known[w]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
             self.odd &= self.older.keys()

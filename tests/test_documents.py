@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanmart.contracts import ENTITIES, read_contract
+from loanmart.operators import documents
 from loanmart.operators.documents import (
     any_element,
     conform,
@@ -22,6 +23,7 @@ from loanmart.operators.documents import (
     unnest_rejects,
 )
 from loanmart.plans.bureau import cache_ids, created_between, hints
+from loanmart.session import settled
 
 
 def docs(spark, *trees, raw=False):
@@ -184,6 +186,26 @@ def test_key_search(spark):
     assert got == want == [(0, "1"), (1, "x"), (1, "y"), (3, "deep")]
 
 
+def test_descent_carries_only_what_can_hold_more(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(documents, "settled", lambda df, name: written.append(kept := settled(df, name)) or kept)
+    tree = {"a": {"b": {"c": {"d": {"e": {"f": {"g": {"w": "x" * 99, "hit": {"v": 1}, **{f"k{i}": i for i in range(20)}}}}}}}}}
+    df = docs(spark, tree, {"a": 1}).withColumnsRenamed({"number": "key", "_id": "value"})
+    got = [tuple(r) for r in key_search(df, "hit", ["v"], ["key", "value"]).collect()]
+    # atoms at the last level opened together are not taken up again
+    assert got == [(0, "id0", "1")] and [w.count() for w in written] == [1]
+    assert path_values(df, ["key"]).where("path = 'a.b.c.d.e.f.g.k7'").collect() == [(0, "a.b.c.d.e.f.g.k7", "7")]
+
+
+def test_derived_text_is_made_once(spark):
+    made = docs(spark, {"hit": {"v": 1}}).repartition("number").selectExpr("number", "concat(upper(doc), lower(doc)) as doc")
+    jobs = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(documents, "settled", lambda df, name: jobs.append(df._jdf.queryExecution().optimizedPlan().toString()) or settled(df, name))
+        key_search(made, "hit", ["v"]).collect()
+    assert jobs[0].count("upper(") == 1
+
+
 def test_row_count_is_the_sum_of_children(spark):
     trees = [at("c", [{"x": i} for i in range(n)]) for n in (0, 1, 2, 5, 9)]
     rows = docs(spark, *trees).select(F.explode(one_or_many(json_path("doc", "c"), ["x"])))

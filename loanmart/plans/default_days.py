@@ -43,20 +43,41 @@ def first_three_dates(schedule: DataFrame) -> DataFrame:
     return dates.where(F.col("p3").isNotNull())
 
 
-def paid_by_day(moves: DataFrame) -> DataFrame:
-    """Running payments per account, per (account, branch, day). The running sum spans all branches of the account."""
-    daily = moves.groupBy("account", "id_mfo", "dati").agg(
-        F.sum("obor_c").alias("paid_day"), F.max("datn").alias("datn")
-    )
-    w = Window.partitionBy("account").orderBy("dati")
-    return daily.withColumn("paid", F.sum("paid_day").over(w)).drop("paid_day")
-
+def account_facts(moves: DataFrame) -> DataFrame:
+    """What an account's movements (with ``own``: the branch is one of its loans') say, per account and branch.
 
-def overdue_levels(moves: DataFrame) -> DataFrame:
-    """The three smallest distinct overdue amounts per account (rank, obor_d_y) with their first day per branch."""
-    firsts = moves.groupBy("account", "id_mfo", "obor_d_y").agg(F.min("dati").alias("first_day"))
-    w = Window.partitionBy("account").orderBy("obor_d_y")
-    return firsts.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= 3)
+    ``paid`` runs over all branches of the account; ``d1`` is the smallest overdue amount, ``m1``, ``m2``, ``m3`` the first days of
+    the three smallest distinct ones. Days and amounts are two kinds of rows in one plan, so the movements, which are the
+    largest input, travel once; a window holds an account's days and distinct amounts per branch, not its movements.
+    """
+    kinds = moves.withColumn("by_amount", F.explode(F.array(F.lit(False), F.lit(True))))
+    reduced = kinds.groupBy(
+        "account", "id_mfo", "own", "by_amount",
+        F.when(~F.col("by_amount"), F.col("dati")).alias("day"), F.when(F.col("by_amount"), F.col("obor_d_y")).alias("amount"),
+    ).agg(F.sum("obor_c").alias("paid_day"), F.max("datn").alias("datn"), F.min("dati").alias("first_day"))
+    # rows of the wanted kind come first in each order
+    whole = Window.partitionBy("account")
+    level = F.when(F.col("by_amount"), F.col("level"))
+    own = F.col("own")
+    known = (
+        reduced.withColumn("paid", F.sum("paid_day").over(whole.orderBy("by_amount", "day")))
+        .withColumn("level", F.dense_rank().over(whole.orderBy(F.col("by_amount").desc(), "amount")))
+        .withColumns({
+            "d1": F.max(F.when((level == 1) & own, F.col("amount"))).over(whole),
+            "m1": F.min(F.when((level == 1) & own, F.col("first_day"))).over(whole),
+            "m2": F.min(F.when(level == 2, F.col("first_day"))).over(whole),
+            "m3": F.min(F.when(level == 3, F.col("first_day"))).over(whole),
+        })
+    )
+    unpaid, covered = F.col("paid") < F.col("d1"), F.col("paid") >= F.col("d1")
+    return known.where(~F.col("by_amount")).groupBy("account", "id_mfo").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(unpaid).alias("n_unpaid"),
+        F.count_if(covered).alias("n_covered"),
+        F.min(F.when(covered, F.col("day"))).alias("covered_on"),
+        F.max("datn").alias("datn"),
+        *[F.max(c).alias(c) for c in ("d1", "m1", "m2", "m3")],
+    )
 
 
 def _min_or_zero(applies: Column, value: Column) -> Column:
@@ -75,39 +96,11 @@ def default_days(loans: DataFrame, accounts: DataFrame, saldo: DataFrame, schedu
     # table if its size allows, and shuffles by key otherwise
     held = settled(scope.join(roles, "glob_id"), "default-days-scope")
     moves = saldo.where(F.col("obor_d_y") != 0).select("account", "id_mfo", "dati", "datn", "obor_c", "obor_d_y")
-    moves = moves.join(held.select("account"), "account", "left_semi")
-
-    branches = held.select("account", F.col("id_mfo").alias("own_mfo")).distinct()
-    own = F.col("id_mfo") == F.col("own_mfo")
-    level = F.col("rank")
-    marks = (
-        overdue_levels(moves)
-        .join(branches, "account")
-        .groupBy("account")
-        .agg(
-            F.max(F.when((level == 1) & own, F.col("obor_d_y"))).alias("d1"),
-            F.min(F.when((level == 1) & own, F.col("first_day"))).alias("m1"),
-            F.min(F.when(level == 2, F.col("first_day"))).alias("m2"),
-            F.min(F.when(level == 3, F.col("first_day"))).alias("m3"),
-        )
-    )
+    branches = held.groupBy("account").agg(F.collect_set("id_mfo").alias("branches"))
+    moves = moves.join(branches, "account").withColumn("own", F.array_contains("branches", F.col("id_mfo"))).drop("branches")
 
-    unpaid, covered = F.col("paid") < F.col("d1"), F.col("paid") >= F.col("d1")
     # per account and branch first, so that an account shared by many loans is joined as a single row
-    account_facts = (
-        paid_by_day(moves)
-        .join(marks, "account", "left")
-        .groupBy("account", "id_mfo")
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.count_if(unpaid).alias("n_unpaid"),
-            F.count_if(covered).alias("n_covered"),
-            F.min(F.when(covered, F.col("dati"))).alias("covered_on"),
-            F.max("datn").alias("datn"),
-            *[F.max(c).alias(c) for c in ("d1", "m1", "m2", "m3")],
-        )
-    )
-    per_account = held.join(account_facts, ["account", "id_mfo"])
+    per_account = held.join(account_facts(moves), ["account", "id_mfo"])
     # one row per loan and account from here on; it is read three times below
     per_account = settled(per_account, "default-days")
     loan_end = per_account.groupBy("glob_id").agg(F.max("datn").alias("loan_datn"))

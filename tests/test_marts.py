@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 
+from loanmart.plans import default_days as days
 from loanmart.plans.applications import application_rejects, applications
 from loanmart.plans.default_days import default_days, first_three_dates
 from loanmart.queries import marts
+from loanmart.session import settled
 from loanmart.sources.readers import read_docs
 from tests.oracle import rows as sorted_rows
 
@@ -68,6 +71,35 @@ def test_default_days(spark, seed, shared, limit):
     assert mine
 
 
+def test_balances_travel_once(spark, tmp_path, monkeypatch):
+    data, plans = lending(2, True), {}
+    for n, schema in SCHEMAS.items():
+        spark.createDataFrame(data[n], schema).write.parquet(f"{tmp_path}/{n}")
+    t = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in SCHEMAS}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return settled(df, name)
+
+    monkeypatch.setattr(days, "settled", noted)
+    default_days(t["loans"], t["loan_accounts"], t["saldo"], t["schedule"], "1997-01-01", "1997-12-31", [24, 34, 32]).collect()
+    assert len(re.findall(r"Relation \[[^]]*obor_d_y", plans["default-days"])) == 1
+
+
+def test_a_whole_account_is_judged_by_its_distinct_days_and_amounts(spark):
+    """A day with many movements and amounts, in own and foreign branches, counts once per branch."""
+    d = [D0 + dt.timedelta(n) for n in range(4)]
+    moves = [(1, 0, d[0], d[1], 10, 300, True)] * 3 + [(1, 1, d[0], d[2], 5, 100, False), (1, 0, d[1], d[2], 70, 200, True),
+             (1, 0, d[1], d[3], None, 400, True), (1, None, d[2], d[3], 300, 100, None), (2, 0, d[3], None, 1, 7, True)]
+    schema = "account bigint, id_mfo int, dati date, datn date, obor_c bigint, obor_d_y bigint, own boolean"
+    got = {(r.account, r.id_mfo): tuple(r)[2:] for r in days.account_facts(spark.createDataFrame(moves, schema)).collect()}
+    # the smallest amount is foreign, so it has a day for no loan; paid runs 35, 105, 405 over all branches
+    none = (None, None, d[1], d[0])
+    assert got == {(1, 0): (2, 0, 0, None, d[3], *none), (1, 1): (1, 0, 0, None, d[2], *none), (1, None): (1, 0, 0, None, d[3], *none),
+                   (2, 0): (1, 1, 0, None, None, 7, d[3], None, None)}
+
+
+
 def test_repeated_dates_count_once(spark):
     day = [D0 + dt.timedelta(i) for i in range(4)]
     rows = [(1, day[2]), (1, day[0]), (1, day[0]), (1, day[1]), (1, day[3]), (2, day[0]), (2, day[0]), (2, day[1]),
